@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from gridledger.llm import shards
+from gridledger.llm import packing, shards, tokens
 from gridledger.llm.common import read_table
 
 
+def op2_token_files(spark, sf_dir):
+    return tokens.token_files(read_table(spark, sf_dir, "documents"))
+
+
 def op7_byte_shards(spark, sf_dir):
     return shards.byte_shards(read_table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op9_packing(spark, sf_dir):
+    return packing.pack(read_table(spark, sf_dir, "documents"), capacity=2048, end_id=1)
+
+
 def queries():
-    return {f.__name__: f for f in (op7_byte_shards,)}
+    return {f.__name__: f for f in (op2_token_files, op7_byte_shards, op9_packing)}
 
 
 def oracle_sql():
