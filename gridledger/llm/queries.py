@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from gridledger.llm import packing, shards, tokens
+from gridledger.llm import exact, mixing, oracles, packing, shards, tokens
 from gridledger.llm.common import read_table
 
 
+def op1_mixing(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+
+
 def op2_token_files(spark, sf_dir):
     return tokens.token_files(read_table(spark, sf_dir, "documents"))
 
 
+def op6_exact_dedup(spark, sf_dir):
+    return exact.exact_copies(read_table(spark, sf_dir, "documents"))
+
+
 def op7_byte_shards(spark, sf_dir):
     return shards.byte_shards(read_table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -19,8 +27,8 @@ def op9_packing(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op2_token_files, op7_byte_shards, op9_packing)}
+    return {f.__name__: f for f in (op1_mixing, op2_token_files, op6_exact_dedup, op7_byte_shards, op9_packing)}
 
 
 def oracle_sql():
-    return {}
+    return {"op1_mixing": oracles.MIXING, "op6_exact_dedup": oracles.EXACT_DEDUP}
