@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridledger.llm import exact, mixing, oracles, packing, shards, tokens
+from gridledger.llm import exact, licenses, mixing, oracles, packing, secrets, shards, tokens
 from gridledger.llm.common import read_table
 
 
@@ -22,12 +22,20 @@ def op7_byte_shards(spark, sf_dir):
     return shards.byte_shards(read_table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op8_license_scan(spark, sf_dir):
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), capacity=2048, end_id=1)
 
 
+def op10_secret_scan(spark, sf_dir):
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_mixing, op2_token_files, op6_exact_dedup, op7_byte_shards, op9_packing)}
+    return {f.__name__: f for f in (op1_mixing, op2_token_files, op6_exact_dedup, op7_byte_shards, op8_license_scan, op9_packing, op10_secret_scan)}
 
 
 def oracle_sql():
