@@ -86,8 +86,8 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, ordinal = encoder(vocabulary), 0
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
                 rows = []
                 for doc_id, coded in zip(part["doc_id"].to_pylist(), codes.encode(part["text"].to_pylist())):
                     raw = memoryview(coded + end)

@@ -118,8 +118,8 @@ def _segments(vocabulary: str, end_id: int):
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 1024):
+                part = batch.slice(i, 1024)
                 rows = zip(part["range"].to_pylist(), part["doc_id"].to_pylist(), codes.encode(part["text"].to_pylist()))
                 for key, doc_id, coded in rows:
                     if doc_ids and (key != at or size >= SEGMENT_IDS):
