@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridledger.llm import exact, language, licenses, mixing, oracles, packing, secrets, shards, tokens
+from gridledger.llm import exact, language, licenses, mixing, oracles, packing, secrets, shards, tokens, vectors
 from gridledger.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op2_token_files(spark, sf_dir):
     return tokens.token_files(read_table(spark, sf_dir, "documents"))
 
 
+def op3_vector_search(spark, sf_dir):
+    return vectors.search(read_table(spark, sf_dir, "embeddings"), k=20, query_every=20)
+
+
 def op4_language_id(spark, sf_dir):
     return language.identify(read_table(spark, sf_dir, "documents"), documents_per_language=1500, windows_per_document=4)
 
@@ -39,7 +43,7 @@ def op10_secret_scan(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_mixing, op2_token_files, op4_language_id, op6_exact_dedup, op7_byte_shards, op8_license_scan, op9_packing, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_mixing, op2_token_files, op3_vector_search, op4_language_id, op6_exact_dedup, op7_byte_shards, op8_license_scan, op9_packing, op10_secret_scan)}
 
 
 def oracle_sql():
