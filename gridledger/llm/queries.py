@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridledger.llm import exact, language, licenses, mixing, oracles, packing, secrets, shards, tokens, vectors
+from gridledger.llm import exact, language, licenses, mixing, neardup, oracles, packing, secrets, shards, tokens, vectors
 from gridledger.llm.common import read_table
 
 
@@ -22,6 +22,10 @@ def op4_language_id(spark, sf_dir):
     return language.identify(read_table(spark, sf_dir, "documents"), documents_per_language=1500, windows_per_document=4)
 
 
+def op5_near_copies(spark, sf_dir):
+    return neardup.near_copies(read_table(spark, sf_dir, "documents"), words=5, similarity=0.8)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact.exact_copies(read_table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_secret_scan(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_mixing, op2_token_files, op3_vector_search, op4_language_id, op6_exact_dedup, op7_byte_shards, op8_license_scan, op9_packing, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_mixing, op2_token_files, op3_vector_search, op4_language_id, op5_near_copies, op6_exact_dedup, op7_byte_shards, op8_license_scan, op9_packing, op10_secret_scan)}
 
 
 def oracle_sql():
