@@ -2,40 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridledger.sources.scratch import scratch_dir, scratch_path, stage_table
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir, else (local tests) one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = os.path.join(tempfile.gettempdir(), f"gridledger-{spark.sparkContext.applicationId}")
-    return base.rstrip("/")
-
+__all__ = ["bucket_of", "buckets_for", "clean_text", "range_bounds", "read_table", "scratch_dir", "scratch_path", "stage_table"]
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
-
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Writes df once to the shared folder and returns a reader of it.
-
-    The written files cut the lineage: what is read twice cannot differ between reads, and a lost
-    executor costs a reread of files and not a recomputation of everything upstream.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def clean_text(column: str | Column = "text") -> Column:
