@@ -167,9 +167,9 @@ def slug(text: Column) -> Column:
 
 
 def human_size(n: Column) -> Column:
-    """Bytes with a unit: whole bytes, else one decimal."""
+    """Bytes with a unit: whole bytes, else one decimal, halves to even."""
     kb, mb = 1024.0, 1024.0 * 1024.0
-    return F.when(n < kb, F.format_string("%d B", n)).when(n < mb, F.format_string("%.1f KB", n / kb)).otherwise(F.format_string("%.1f MB", n / mb))
+    return F.when(n < kb, F.format_string("%d B", n)).when(n < mb, F.format_string("%.1f KB", F.bround(n / kb, 1))).otherwise(F.format_string("%.1f MB", F.bround(n / mb, 1)))
 
 
 def dms(degrees: Column, minutes: Column, seconds: Column, hemisphere: Column) -> Column:

@@ -61,7 +61,8 @@ def rank_ladder(clusters: DataFrame, centres: list[float], key: str = "page") ->
     higher by its distance in steps (at least one), never above 0. Half steps round to even."""
     levels = F.array(*[F.lit(float(c)) for c in centres])
     up = Window.partitionBy(key).orderBy("centre")
-    step = F.greatest(F.lit(1), F.bround((F.col("centre") - F.lag("centre").over(up)) / PLAN_STEP).cast("int"))
+    below = F.lag("centre").over(up)
+    step = F.when(below.isNotNull(), F.greatest(F.lit(1), F.bround((F.col("centre") - below) / PLAN_STEP).cast("int")))
     lowest = nearest(F.first("centre").over(up), levels)
     climbed = F.coalesce(F.sum(step).over(up.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
     return clusters.withColumn("rank", F.greatest(F.lit(0), lowest - climbed).cast("bigint"))
