@@ -25,7 +25,10 @@ from gridledger.llm.common import clean_text, scratch_path, stage_table
 _ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    # Executors close the stores of ended queries at the next maintenance.
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
 
 
@@ -42,8 +45,13 @@ def _arrivals(docs: DataFrame, digest) -> DataFrame:
     )
 
 
-def _state(arrivals_path: str, schema, spark, checkpoint: str, files_per_batch: int) -> DataFrame:
-    """Runs the stream over all arrivals, then reads its state: digest, n_bytes, keep_id, locator, group_size."""
+def _state(arrivals_path: str, schema, spark, files_per_batch: int) -> DataFrame:
+    """Runs the stream over all arrivals; what its state came to: digest, n_bytes, keep_id, locator, group_size.
+
+    Each batch hands on the keys it changed, written under the batch's number, so a batch that is run again
+    replaces its own rows. The keeper and the number of rows of a key only rise; the greatest are the last.
+    """
+    changed = scratch_path(spark, "dedup-state")
     before = {k: spark.conf.get(k, None) for k in _ROCKSDB}
     try:
         for k, v in _ROCKSDB.items():
@@ -55,17 +63,22 @@ def _state(arrivals_path: str, schema, spark, checkpoint: str, files_per_batch:
             .groupBy("digest", "n_bytes")
             .agg(F.max(F.struct("doc_id", "locator")).alias("keeper"), F.sum("rows").alias("group_size"))
         )
-        query = stream.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        query.awaitTermination()
-        state = spark.read.format("statestore").load(checkpoint)
-        kept, total = state.schema["value"].dataType.names
-        state = state.select(
-            "key.digest", "key.n_bytes", F.col(f"value.`{kept}`.doc_id").alias("keep_id"), F.col(f"value.`{kept}`.locator").alias("locator"), F.col(f"value.`{total}`").alias("group_size")
+        kinds = stream.schema
+        query = (
+            stream.writeStream.outputMode("update")
+            .foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{changed}/batch={batch}"))
+            .option("checkpointLocation", scratch_path(spark, "dedup-checkpoint"))
+            .trigger(availableNow=True)
+            .start()
         )
-        return stage_table(state, "dedup-state")
+        query.awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    if query.lastProgress is None:  # no arrivals, no batch
+        return spark.createDataFrame([], kinds).select("digest", "n_bytes", "keeper.doc_id", "keeper.locator", "group_size").toDF("digest", "n_bytes", "keep_id", "locator", "group_size")
+    last = spark.read.schema(kinds).parquet(changed).groupBy("digest", "n_bytes").agg(F.max("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
+    return last.select("digest", "n_bytes", F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.locator").alias("locator"), "group_size")
 
 
 def exact_copies(docs: DataFrame, digest=sha256, files_per_batch: int = 64) -> DataFrame:
@@ -75,7 +88,7 @@ def exact_copies(docs: DataFrame, digest=sha256, files_per_batch: int = 64) -> D
     arriving = _arrivals(docs, digest)
     arriving.write.parquet(path)
     arrivals = spark.read.schema(arriving.schema).parquet(path)
-    state = _state(path, arriving.schema, spark, scratch_path(spark, "dedup-checkpoint"), files_per_batch)
+    state = _state(path, arriving.schema, spark, files_per_batch)
     members = stage_table(
         arrivals.drop("locator").join(state.drop("locator"), ["digest", "n_bytes"]).select("doc_id", "digest", "n_bytes", "keep_id", "group_size"), "dedup-members"
     )
