@@ -39,7 +39,7 @@ PREFIX_BLOCK = 512
 CLUSTER_BLOCK = 256
 SHINGLE_BLOCK = 400_000
 
-_BLOCK_CHARS = 1_000_000
+_BLOCK_CHARS = 300_000
 _rng = np.random.default_rng(41)
 _BYTE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
@@ -129,7 +129,18 @@ def _text_blocks(column, limit: int = _BLOCK_CHARS):
         yield first, block
 
 
-def _signed(words: int):
+def _prefixes(sig: np.ndarray, depth: int) -> np.ndarray:
+    """For each tree a hash of it and the first values of its signature."""
+    sig = sig.reshape(-1, TREES, DEPTH).astype(np.uint64)
+    key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), sig.shape[:2]).copy()
+    for d in range(depth):
+        key = _mix(key * np.uint64(_BASES[1]) + sig[:, :, d])
+    return key.view(np.int64)
+
+
+def _signed(words: int, depth: int):
+    """doc_id, text_key, node, n_shingles, prefixes, bits: the low bytes of the MinHash values are enough to compare them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in _text_blocks(batch["text"]):
@@ -143,32 +154,16 @@ def _signed(words: int):
                         part["text_key"],
                         pa.array([x.tobytes() if ok else None for x, ok in zip(sequence, some)], pa.binary()),
                         pa.array(stops - starts, pa.int64()),
-                        pa.array([x.tobytes() if ok else None for x, ok in zip(sig, some)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * TREES, pa.int32()), pa.array(_prefixes(sig, depth).ravel())),
+                        pa.array([x.tobytes() for x in sig.astype(np.uint8)], pa.binary()),
                     ],
-                    names=["doc_id", "text_key", "node", "n_shingles", "signature"],
+                    names=["doc_id", "text_key", "node", "n_shingles", "prefixes", "bits"],
                 )
 
     return run
 
 
 # ---- candidates ------------------------------------------------------------------------------------------
-def _prefixes(depth: int):
-    """node, prefix: one row a tree; the prefix is a hash of the tree and the first values of its signature."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(batch["signature"].to_pylist()), "<u4").reshape(-1, TREES, DEPTH).astype(np.uint64)
-            key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), sig.shape[:2]).copy()
-            for d in range(depth):
-                key = _mix(key * np.uint64(_BASES[1]) + sig[:, :, d])
-            nodes = batch["node"].take(pa.array(np.repeat(np.arange(batch.num_rows), TREES)))
-            yield pa.RecordBatch.from_arrays([nodes, pa.array(key.ravel().view(np.int64))], names=["node", "prefix"])
-
-    return run
-
-
 class _Forest:
     """Union of positions; find() halves paths."""
 
@@ -262,34 +257,26 @@ def _ties(similarity: float):
     return run
 
 
-def _block_pairs(rows: DataFrame, size: str, per_block: int) -> DataFrame:
-    """Rows once for each pair of blocks of their group that they belong to: own, low, high."""
-    rows = rows.withColumn("n_blocks", F.ceil(F.col(size) / per_block).cast("int") if isinstance(size, str) else size)
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Rows once for each pair of the n_blocks of their group that they belong to: own, low, high."""
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     return rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
 
 def candidate_ties(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """a, b: pairs that connect all nodes whose signatures meet in the forest and are near enough."""
-    keyed = nodes.select("node", "signature").mapInArrow(_prefixes(depth_for(similarity)), "node binary, prefix bigint")
-    keyed = stage_table(keyed, "forest-prefixes")
+    """a, b: pairs that connect all nodes that meet in the forest and whose signatures are near enough.
+
+    nodes: node, prefixes (one a tree), bits.
+    """
+    keyed = nodes.select("node", F.explode("prefixes").alias("prefix"))
     crowded = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = keyed.join(crowded, "prefix")
-    bits = nodes.select("node", "signature").mapInArrow(_low_bits, "node binary, bits binary")
-    rows = _block_pairs(met.join(bits, "node"), "n", PREFIX_BLOCK).select("prefix", "low", "high", "own", "node", "bits")
+    met = keyed.join(crowded, "prefix").join(nodes.select("node", "bits"), "node")
+    rows = _block_pairs(met.withColumn("n_blocks", F.ceil(F.col("n") / PREFIX_BLOCK).cast("int"))).select("prefix", "low", "high", "own", "node", "bits")
     dealt = rows.repartition("prefix", "low", "high").sortWithinPartitions("prefix", "low", "high", "node")
     return dealt.mapInArrow(_ties(similarity), "a binary, b binary").distinct()
 
 
-def _low_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The low byte of each MinHash value, enough to compare signatures."""
-    for batch in batches:
-        if batch.num_rows:
-            sig = np.frombuffer(b"".join(batch["signature"].to_pylist()), "<u4").reshape(batch.num_rows, -1).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([x.tobytes() for x in sig], pa.binary())], names=["node", "bits"])
-
-
 # ---- components ------------------------------------------------------------------------------------------
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node, component (its least node) of all nodes with an edge, by alternating stars.
@@ -409,7 +396,9 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     text_key = F.xxhash64("text")
     signed = stage_table(
-        docs.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(_signed(words), "doc_id bigint, text_key bigint, node binary, n_shingles bigint, signature binary"),
+        docs.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(
+            _signed(words, depth_for(similarity)), "doc_id bigint, text_key bigint, node binary, n_shingles bigint, prefixes array<bigint>, bits binary"
+        ),
         "forest-signatures",
     )
     # Copies are merged where they are read; one of a node's rows speaks for it.
@@ -420,7 +409,8 @@ def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
         ),
         "forest-nodes",
     )
-    chosen = signed.join(reps, signed["doc_id"].eqNullSafe(reps["rep_id"]) & (signed["text_key"] == reps["rep_key"]) & (signed["node"] == reps["node"]), "left_semi")
+    speaks = signed["doc_id"].eqNullSafe(reps["rep_id"]) & (signed["text_key"] == reps["rep_key"]) & (signed["node"] == reps["node"])
+    chosen = stage_table(signed.join(reps.hint("merge"), speaks, "left_semi").select("node", "prefixes", "bits"), "forest-chosen")
     clusters = stage_table(components(candidate_ties(chosen, similarity), "candidates"), "forest-clusters")
 
     # Exact verification inside the clusters.
@@ -432,11 +422,11 @@ def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     )
     texts = docs.select("doc_id", text_key.alias("text_key"), "text")
     sets = (
-        texts.join(members, texts["doc_id"].eqNullSafe(members["rep_id"]) & (texts["text_key"] == members["rep_key"]))
+        texts.join(members.hint("merge"), texts["doc_id"].eqNullSafe(members["rep_id"]) & (texts["text_key"] == members["rep_key"]))
         .select("node", "cluster", "n_blocks", "copies", "text")
         .mapInArrow(_shingle_sets(words), "node binary, cluster bigint, n_blocks int, copies bigint, shingles binary")
     )
-    rows = _block_pairs(sets, F.col("n_blocks"), 1).select("cluster", "low", "high", "own", "node", "copies", "shingles")
+    rows = _block_pairs(sets).select("cluster", "low", "high", "own", "node", "copies", "shingles")
     dealt = rows.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "node")
     links = stage_table(dealt.mapInArrow(_links(similarity), "node binary, links bigint, tie binary"), "forest-links")
     groups = components(links.select(F.col("node").alias("a"), F.col("tie").alias("b")), "links")
