@@ -27,6 +27,8 @@ _ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    # Many small stores: no space is set aside for their logs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # Executors close the stores of ended queries at the next maintenance.
     "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
