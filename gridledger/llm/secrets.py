@@ -27,7 +27,10 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
-TOKEN = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: Every long enough run, from its first character; runs of ACCESS and HEX lie inside.
+TOKEN = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+#: What a text must hold for ASSIGN, in lower case.
+KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
 #: Encodings in order: pattern, size of the alphabet, and how uneven language in it is (sum of squared shares).
 ENCODINGS = (
@@ -44,46 +47,67 @@ STRATA = (24, 32, 48, 96)
 BINS = 400  # of a tenth of a decade each
 
 
-def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Spans (start, kind, stop) of all matches, from the lengths of what lies between and of the matches."""
-    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    fits = F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), lambda v: F.length(v) >= keep) if keep else F.transform(found, lambda v: F.lit(True))
-    empty = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
-    rows = F.arrays_zip(F.transform(F.slice(between, 1, F.size(found)), F.length).alias("gap"), F.transform(found, F.length).alias("size"), fits.alias("fits"))
+def _let(value: Column, body) -> Column:
+    """body(value) with value evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _spans(text: Column, found: Column, pattern: str, kind: int, fits: Column | None = None) -> Column:
+    """Spans (start, kind, stop, text) of all matches, from the lengths of what lies between and of the matches."""
+    between = F.split(text, pattern, -1)
+    rows = F.arrays_zip(F.transform(F.slice(between, 1, F.size(found)), F.length).alias("gap"), found.alias("text"), (fits if fits is not None else F.transform(found, lambda v: F.lit(True))).alias("fits"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["size"]).alias("stop"))
-        return F.struct((start + x["size"]).alias("at"), F.when(x["fits"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        stop = start + F.length(x["text"])
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), x["text"].alias("text"))
+        return F.struct(stop.alias("at"), F.when(x["fits"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), _no_spans().alias("out")), step, lambda acc: acc["out"])
+
 
-    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+def _no_spans() -> Column:
+    return F.array().cast("array<struct<start:int,kind:int,stop:int,text:string>>")
 
 
 def log_p(s: Column) -> Column:
     """-log10 of the p-value that a token is written language."""
-    n = F.length(s).cast("double")
+    encoding = F.lit(len(ENCODINGS) - 1)
+    for i, (pattern, _, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
+        encoding = F.when(s.rlike(pattern), F.lit(i)).otherwise(encoding)
+    # Runs: adjacent characters of unlike class. Each run is written as one sign; words of a name are one run.
+    # No pattern repeats a group, which would need stack in proportion to a token's length.
+    classes = s
+    for pattern, sign in (("[A-Z]?[a-z]+[_-]?", "a"), ("a+", "a"), ("[A-Z]+[_-]?", "B"), ("B+", "B"), ("[0-9]+", "0"), ("[^aB0]+", "-")):
+        classes = F.regexp_replace(classes, pattern, sign)
     chars = F.split(s, "")
-    size, uneven = F.lit(ENCODINGS[-1][1]), F.lit(ENCODINGS[-1][2])
-    for pattern, a, q in reversed(ENCODINGS[:-1]):
-        size, uneven = F.when(s.rlike(pattern), F.lit(a)).otherwise(size), F.when(s.rlike(pattern), F.lit(q)).otherwise(uneven)
-    size = size.cast("double")
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc + F.pow(n - F.length(F.replace(s, c, F.lit(""))), F.lit(2.0)))
-    distance = size * squares / n - n
+    start = F.struct(*[F.lit(0.0).alias(k) for k in ("before", "sum", "squares", "products")])
+    moments = F.aggregate(
+        F.transform(chars, lambda c: F.ascii(c).cast("double")),
+        start,
+        lambda acc, x: F.struct(x.alias("before"), (acc["sum"] + x).alias("sum"), (acc["squares"] + x * x).alias("squares"), (acc["products"] + acc["before"] * x).alias("products")),
+    )
+    even = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc + F.pow((F.length(s) - F.length(F.replace(s, c, F.lit("")))).cast("double"), F.lit(2.0)))
+    facts = F.struct(F.length(s).cast("double").alias("n"), encoding.alias("e"), (F.length(classes) - 1).alias("changes"), moments.alias("m"), even.alias("even"), F.ascii(F.substring(s, 1, 1)).cast("double").alias("first"), F.ascii(F.substring(s, -1, 1)).cast("double").alias("last"))
+    return _let(facts, _evidence)
+
+
+def _evidence(f: Column) -> Column:
+    """-log10 p from a token's counts: the tests' distances in standard deviations, summed and turned into a tail."""
+    n = f["n"]
+    size = F.element_at(F.array(*[F.lit(float(a)) for _, a, _ in ENCODINGS]), f["e"] + 1)
+    uneven = F.element_at(F.array(*[F.lit(q) for _, _, q in ENCODINGS]), f["e"] + 1)
+    distance = size * f["even"] / n - n
     excess = (n - 1) * (size * uneven - 1)
     z_even = (size - 1 + excess - distance) / F.sqrt(2 * (size - 1) + 4 * excess)
-    # Runs: adjacent characters of unlike class. Each class is written as one sign, then runs of it are one sign.
-    classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "[a-z]+", "a"), "[A-Z]+", "B"), "[0-9]+", "0"), "[^aB0]+", "-")
-    changes = F.length(classes) - 1
-    z_runs = (changes - (n - 1) * CLASS_CHANGES) / F.sqrt((n - 1) * CLASS_CHANGES * (1 - CLASS_CHANGES))
-    codes = F.transform(chars, lambda c: F.ascii(c).cast("double"))
-    mean = F.aggregate(codes, F.lit(0.0), lambda acc, x: acc + x) / n
-    start = F.struct(F.lit(0.0).alias("before"), F.lit(0.0).alias("products"), F.lit(0.0).alias("squares"))
-    step = lambda acc, x: F.struct((x - mean).alias("before"), (acc["products"] + acc["before"] * (x - mean)).alias("products"), (acc["squares"] + (x - mean) * (x - mean)).alias("squares"))
-    serial = F.aggregate(codes, start, step, lambda acc: F.when(acc["squares"] > 0, acc["products"] / acc["squares"]).otherwise(F.lit(1.0)))
+    z_runs = (f["changes"] - (n - 1) * CLASS_CHANGES) / F.sqrt(F.greatest(n - 1, F.lit(1.0)) * CLASS_CHANGES * (1 - CLASS_CHANGES))
+    mean = f["m"]["sum"] / n
+    spread = f["m"]["squares"] - n * mean * mean
+    serial = F.when(spread > 1e-9, (f["m"]["products"] - mean * (2 * f["m"]["sum"] - f["first"] - f["last"]) + (n - 1) * mean * mean) / spread).otherwise(F.lit(1.0))
     clip = lambda z: F.greatest(F.lit(-6.0), F.least(F.lit(6.0), z))
     z = (clip(z_even) + clip(z_runs)) / F.sqrt(F.lit(2.0)) - F.greatest(F.lit(0.0), F.abs(serial) * F.sqrt(n) - 3)
     # The tail of the normal distribution, by its logistic approximation.
-    return F.log(1 + F.exp(F.least(F.lit(600.0), 1.5976 * z + 0.070565 * z * z * z))) / F.log(F.lit(10.0))
+    return _let(z, lambda v: F.log(1 + F.exp(F.least(F.lit(600.0), 1.5976 * v + 0.070565 * v * v * v))) / F.log(F.lit(10.0)))
 
 
 def _stratum(n: Column) -> Column:
@@ -108,14 +132,26 @@ def discovery_bins(scored: DataFrame, alpha: float) -> list[int]:
 
 def scan(docs: DataFrame, alpha: float = 0.001) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, code points)."""
-    empty = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
     text = F.col("text")
-    rows = docs.select("doc_id", clean_text().alias("text")).select(
+    lower = F.lower(text)
+    named = lower.contains(KEYWORDS[0])
+    for word in KEYWORDS[1:]:
+        named = named | lower.contains(word)
+    # One pass of each text finds the long runs; the other patterns are tried only where they can match.
+    rows = docs.select("doc_id", clean_text().alias("text")).withColumns({"runs": F.regexp_extract_all(text, F.lit(TOKEN), 0), "named": named})
+    runs = F.col("runs")
+    whole = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), 0)
+    long_values = F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), 1), lambda v: F.length(v) >= 6)
+    bare = lambda spans: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["stop"].alias("stop")))
+    rows = rows.select(
         "doc_id",
-        F.when(text.rlike(ASSIGN), _spans(text, ASSIGN, 0, keep=6)).otherwise(empty).alias("assign"),
-        F.when(text.contains("AKIA"), _spans(text, ACCESS, 1)).otherwise(empty).alias("access"),
-        F.when(text.rlike(HEX), _spans(text, HEX, 2)).otherwise(empty).alias("hex"),
-        F.transform(_spans(text, TOKEN, 3), lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), log_p(F.substring(text, x["start"] + 1, x["stop"] - x["start"])).alias("log_p"))).alias("tokens"),
+        bare(F.when(F.col("named"), _spans(text, whole(ASSIGN), ASSIGN, 0, long_values)).otherwise(_no_spans())).alias("assign"),
+        bare(F.when(F.exists(runs, lambda r: r.contains("AKIA")), _spans(text, whole(ACCESS), ACCESS, 1)).otherwise(_no_spans())).alias("access"),
+        bare(F.when(F.exists(runs, lambda r: r.rlike(HEX)), _spans(text, whole(HEX), HEX, 2)).otherwise(_no_spans())).alias("hex"),
+        F.transform(
+            F.when(F.size(runs) > 0, _spans(text, runs, TOKEN, 3)).otherwise(_no_spans()),
+            lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), log_p(x["text"]).alias("log_p")),
+        ).alias("tokens"),
     )
     scored = stage_table(rows, "secret-tokens")
     least = discovery_bins(scored, alpha)

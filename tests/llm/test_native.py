@@ -144,6 +144,13 @@ def test_random_tokens_are_found_and_words_are_not(documents):
         assert [t[int(a) : int(b)] for _, a, b in spans] == ([planted[i]] if i in planted else []), i
 
 
+def test_very_long_tokens(documents):
+    rng = random.Random(5)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200_000))
+    out = {r.doc_id: r.spans for r in secrets.scan(documents([(1, "x " + key), (2, "ab" * 200_000), (3, "aB" * 100_000)])).collect()}
+    assert out == {1: "random:2:200002", 2: "hex:0:400000", 3: ""}
+
+
 @pytest.mark.parametrize("text", ["q", "0123456789012345", "a" * 16, "Zz9+" * 4])
 def test_evidence_is_a_number(spark, text):
     from pyspark.sql import functions as F
