@@ -92,3 +92,24 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def tree_json(nodes: DataFrame) -> DataFrame:
     """table_id, row_index, json: a compact object a node; one line a node keeps a table of any size writable."""
     return nodes.select("table_id", "row_index", F.to_json(F.struct(*[c for c in nodes.columns if c != "table_id"])).alias("json"))
+
+
+def csv_rows(nodes: DataFrame, amounts: DataFrame, totals: DataFrame) -> DataFrame:
+    """row_index, id, kind, page, label, code, ps, mooe, co, total: flat rows without the table root.
+
+    amounts: id, role, value; totals: id, role, value of the row's total, which stands for its column's amount.
+    """
+    picked = amounts.join(totals.select("id", F.col("role").alias("t_role"), F.col("value").alias("t_value")), "id", "left")
+    value = F.coalesce(F.when(F.col("t_role") == F.col("role"), F.col("t_value")), F.col("value"))
+    wide = wide_amounts(picked.select("id", "role", value.alias("value")))
+    return nodes.where("kind <> 'table_root'").join(wide, "id", "left").select("row_index", "id", "kind", "page", "label", "code", "ps", "mooe", "co", "total")
+
+
+def station_chip(kind: Column, start: Column, stop: Column) -> Column:
+    """A road station as a short label: K 0564+150 – 0564+200."""
+    return F.concat(kind, F.lit(" "), start, F.when(stop.isNotNull(), F.concat(F.lit(" – "), stop)).otherwise(F.lit("")))
+
+
+def flag_source(index_total: int, summary_total: int) -> str:
+    """Where flagged pages are read from: the index, if it knows as many flags as the stages' summaries."""
+    return "index" if index_total >= summary_total else "summary"

@@ -178,4 +178,41 @@ ORACLES = {
     "reconcile_union_rollup": """WITH a AS (SELECT 'C' AS branch, c_nationkey AS k, concat_ws('_', l_returnflag, l_linestatus, c_mktsegment) AS fund, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey GROUP BY ALL
       UNION ALL SELECT 'S', s_nationkey, concat_ws('_', l_returnflag, l_linestatus), sum(CAST(round(l_extendedprice * 100) AS BIGINT)) FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
       SELECT branch, n_name AS nation, fund, replace(fund, '_', '2') AS sort_key, CAST(cents AS BIGINT) AS cents FROM a LEFT JOIN nation ON n_nationkey = k""",
+    # ---- row views and regions
+    "left_of_label": "WITH l AS (SELECT page, band_id, x0 AS left_x FROM {phrases} WHERE phrase_id % 8 = 1) SELECT p.page, p.band_id AS row_id, p.phrase_id FROM {phrases} p JOIN l ON l.page = p.page AND l.band_id = p.band_id WHERE (p.x0 + p.x1) / 2 < l.left_x",
+    "row_views": """WITH c AS (SELECT page, band_id AS row_id, phrase_id, CASE WHEN phrase_id % 4 = 1 THEN 'Labels' ELSE 'Amount ' || CAST(phrase_id % 8 AS STRING) END AS role, CASE WHEN phrase_id % 3 = 0 THEN '' ELSE text END AS text, x0 FROM {phrases}),
+      l AS (SELECT page, row_id, arg_min(text, phrase_id) AS label FROM c WHERE role = 'Labels' GROUP BY 1, 2), a AS (SELECT page, row_id, arg_max(role, phrase_id) AS role, arg_max_null(try_cast(regexp_replace(text, '[^0-9]', '', 'g') AS BIGINT), phrase_id) AS total, count(DISTINCT role) AS n FROM c WHERE role <> 'Labels' AND text <> '' GROUP BY 1, 2),
+      k AS (SELECT page, band_id AS row_id, arg_min(text, x0) AS code FROM {phrases} WHERE phrase_id % 8 = 6 GROUP BY 1, 2)
+      SELECT r.page, r.row_id, coalesce(l.label, '') AS label, a.role, a.total, coalesce(a.n, 0) AS n_amounts, k.code, r.row_id * 2E0 AS distance FROM (SELECT DISTINCT page, row_id FROM c) r LEFT JOIN l USING (page, row_id) LEFT JOIN a USING (page, row_id) LEFT JOIN k USING (page, row_id) WHERE coalesce(l.label, '') <> '' OR a.n > 0""",
+    "embedded_headers": "SELECT page, CAST(floor(band_id / 4) AS BIGINT) AS row_id, phrase_id, CAST(row_number() OVER (PARTITION BY page, CAST(floor(band_id / 4) AS BIGINT) ORDER BY band_id, phrase_id) - 1 AS BIGINT) AS seq, text FROM {phrases} WHERE x0 >= 540 AND observation <> 'money_candidate'",
+    "label_line_metrics": """WITH l AS (SELECT page, CAST(floor(band_id / 2) AS BIGINT) AS row_id, band_id, min(x0) AS x0, max(x1) AS x1, list(token_id) AS ids FROM {tokens} WHERE token_id % 4 < 2 GROUP BY 1, 2, 3), n AS (SELECT *, count(*) OVER (PARTITION BY page, row_id) AS n FROM l),
+      g AS (SELECT page, band_id, token_id AS r, lag(token_id) OVER w AS l, round(x0 - lag(x1) OVER w, 2) AS gap, round((x0 - lag(x1) OVER w) / 5, 2) AS spaces FROM {tokens} WINDOW w AS (PARTITION BY page, band_id ORDER BY x0, token_id)),
+      m AS (SELECT n.page, n.band_id, g.gap, g.spaces, row_number() OVER (PARTITION BY n.page, n.band_id ORDER BY g.gap DESC, g.r DESC) AS k FROM n JOIN g ON g.page = n.page AND g.band_id = n.band_id WHERE n.n >= 2 AND g.l IS NOT NULL AND list_contains(n.ids, g.l) AND NOT list_contains(n.ids, g.r))
+      SELECT n.page, n.row_id, n.band_id, round((n.x1 - n.x0) / 800, 6) AS fill, coalesce(m.gap, 0E0) AS run_gap_pt, coalesce(m.spaces, 0E0) AS run_gap_spaces, round(800 - n.x1, 3) AS trail_gap_pt FROM n LEFT JOIN m ON m.page = n.page AND m.band_id = n.band_id AND m.k = 1 WHERE n.n >= 2""",
+    "seed_role_lookup": "WITH c AS (SELECT page, CAST(floor(x1 / 90) AS BIGINT) AS column_id, min(x0) AS l FROM {phrases} GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY l, column_id) - 1 AS k FROM c) SELECT page, column_id, CASE WHEN page = 13 AND column_id = 8 THEN 'Total' WHEN page = 13 AND column_id = 6 THEN 'CO' WHEN k = 0 THEN 'Labels' ELSE 'Amount ' || CAST(k AS STRING) END AS role FROM r",
+    "centre_displacement": f"""WITH {_CLUSTERS}, cl AS (SELECT page, cluster_no, median(distance) AS centre FROM k GROUP BY 1, 2), j AS (SELECT cl.*, c, row_number() OVER (PARTITION BY page, cluster_no ORDER BY abs(centre - c), c DESC) AS n FROM cl, (SELECT unnest([120E0, 100E0, 80E0, 60E0, 45E0, 30E0, 15E0, 0E0]) AS c) x) SELECT page, CAST(cluster_no AS BIGINT) AS cluster_no, round(centre, 3) AS centre, c AS profile, round(abs(centre - c), 3) AS displacement FROM j WHERE n = 1 AND abs(centre - c) > 4""",
+    "open_levels_at_end": "WITH r AS (SELECT table_id, doc_pos, rank FROM {rows} WHERE NOT attached) SELECT table_id, count(*) AS n_open FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.table_id = r.table_id AND q.doc_pos > r.doc_pos AND q.rank <= r.rank) GROUP BY table_id",
+    "type_gate_failures": "SELECT page, 'expected pap, found ' || CASE WHEN page BETWEEN 13 AND 108 THEN 'by_ou' ELSE 'unclassified' END AS message FROM {row_pages} WHERE NOT page BETWEEN 109 AND 690",
+    "pages_off_span": "SELECT page FROM {row_pages} WHERE page < 13 OR page > 108",
+    "tree_page_slice": "WITH n AS (SELECT page, count(*) AS n FROM {tree} WHERE page IS NOT NULL GROUP BY 1), f AS (SELECT page, count(*) AS f FROM {findings} GROUP BY 1) SELECT coalesce(n.page, f.page) AS page, coalesce(n, 0) AS n_nodes, coalesce(f, 0) AS n_flags FROM n FULL OUTER JOIN f ON f.page = n.page",
+    "centre_statistics": """WITH r AS (SELECT user_id, CAST(floor(distance / 25) AS BIGINT) AS level, distance FROM {ticks}), m AS (SELECT level, median(distance) AS m FROM r GROUP BY 1)
+      SELECT level, count(*) AS n, count(DISTINCT user_id) AS n_pages, min(distance) AS least, max(distance) AS greatest, round(quantile_cont(distance, 0.05), 6) AS p05, round(quantile_cont(distance, 0.95), 6) AS p95, round(median(abs(distance - m)), 6) AS mad, round(max(abs(distance - level * 25)), 6) AS furthest FROM r JOIN m USING (level) GROUP BY level""",
+    "page_confidence": "SELECT page, round(avg((token_id % 64) / 64) FILTER (token_id % 3 > 0), 4) AS confidence FROM {tokens} GROUP BY page",
+    "repaired_claims": "SELECT page, CASE WHEN phrase_id % 24 = 2 AND phrase_id % 7 > 0 THEN phrase_id + 8 ELSE phrase_id - 1 END AS label_id, phrase_id AS amount_id FROM {phrases} WHERE phrase_id % 4 = 2 AND (phrase_id % 5 > 0 OR (phrase_id % 24 = 2 AND phrase_id % 7 > 0))",
+    "layout_region_filter": "WITH b AS (SELECT page, CASE WHEN phrase_id % 5 = 0 THEN 'header' ELSE 'table' END AS label, round(phrase_id % 100 / 100, 4) AS score, round(x0 / 2, 2) AS x0, round(y0 / 2, 2) AS y0, round(x1 / 2, 2) AS x1, round(y1 / 2, 2) AS y1 FROM {phrases} WHERE phrase_id % 100 >= 40) SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY y0, x0, label, score) - 1 AS BIGINT) AS region_id, label, score, x0, y0, x1, y1, label = 'header' AS chrome FROM b",
+    "money_or_year": "SELECT token_id, CASE token_id % 4 WHEN 2 THEN NOT (length(text) = 5 AND try_cast(replace(text, ',', '') AS INT) BETWEEN 1900 AND 2100) ELSE FALSE END AS is_money FROM {tokens}",
+    "cell_text_fill": """WITH c AS (SELECT page, phrase_id AS cell_id, x0, y0, x0 + 90 AS x1, y0 + 40 AS y1 FROM {phrases} WHERE phrase_id % 40 = 2), j AS (SELECT c.page, c.cell_id, p.y0, p.x0, p.text, p.phrase_id FROM c JOIN {phrases} p ON p.page = c.page
+        WHERE ((p.x0 + p.x1) / 2 BETWEEN c.x0 AND c.x1 AND (p.y0 + p.y1) / 2 BETWEEN c.y0 AND c.y1) OR greatest(0, least(c.x1, p.x1) - greatest(c.x0, p.x0)) * greatest(0, least(c.y1, p.y1) - greatest(c.y0, p.y0)) >= 0.05E0 * 3600),
+      f AS (SELECT *, lag(text) OVER (PARTITION BY page, cell_id ORDER BY y0, x0, text, phrase_id) AS b FROM j) SELECT page, cell_id, string_agg(text, ' ' ORDER BY y0, x0, text, phrase_id) AS text FROM f WHERE b IS NULL OR b <> text GROUP BY 1, 2""",
+    "grid_quality": "WITH g AS (SELECT page, y0 AS r, CAST(floor(x0 / 90) AS BIGINT) AS c FROM {tokens}), n AS (SELECT page, count(DISTINCT r) AS n_rows, count(DISTINCT c) AS n_columns FROM g GROUP BY 1), u AS (SELECT page, count(*) AS n FROM (SELECT DISTINCT page, r, c FROM g) d GROUP BY 1) SELECT page, n_rows, n_columns, round(n / (n_rows * n_columns), 3) AS fill, n_rows >= 3 AND n_columns >= 2 AND n / (n_rows * n_columns) >= 0.15 AS ok FROM n JOIN u USING (page)",
+    "zone_schema": """WITH z AS (SELECT page, CASE WHEN page % 11 = 0 THEN 'text' WHEN page % 13 = 0 THEN 'figure' ELSE 'table' END AS label, page % 4 AS r, CASE WHEN page % 4 < 2 THEN page % 6 ELSE 0 END AS m FROM {row_pages}),
+      o AS (SELECT page, CASE WHEN r >= 2 THEN 'lattice' WHEN page % 9 = 0 AND m <= 2 THEN 'amount_anchored' WHEN m >= 2 THEN 'lattice' WHEN m = 1 THEN 'amount_anchored' WHEN page % 17 = 0 THEN 'years' WHEN label <> 'table' THEN 'prose' ELSE 'passthrough' END AS mode,
+        CASE WHEN r >= 2 OR (page % 9 = 0 AND m <= 2) THEN 0.95 WHEN m >= 2 THEN 0.78 WHEN m = 1 THEN 0.7 WHEN page % 17 = 0 THEN 0.65 WHEN label = 'text' THEN 0.8 WHEN label <> 'table' THEN 0.6 ELSE 0.35 END AS confidence FROM z),
+      w AS (SELECT a.*, (SELECT arg_max(b.mode, b.page) FROM o b WHERE b.page < a.page AND b.mode <> 'passthrough' AND (SELECT count(*) FROM o c WHERE c.page >= b.page AND c.page < a.page) = a.page - b.page) AS carry FROM o a),
+      v AS (SELECT page, mode = 'passthrough' AND carry IN ('lattice', 'amount_anchored') AS t, mode, carry, CAST(confidence AS DOUBLE) AS confidence FROM w)
+      SELECT page, 0 AS zone_id, CASE WHEN t THEN carry ELSE mode END AS mode, CASE WHEN t THEN 0.55E0 ELSE confidence END AS confidence, CASE WHEN t THEN 'review' WHEN confidence >= 0.8 THEN 'accept' WHEN confidence >= 0.5 THEN 'review' ELSE 'reject' END AS status FROM v""",
+    "header_roles": "SELECT id, CASE id % 4 WHEN 0 THEN 'PS' WHEN 1 THEN 'CO' WHEN 2 THEN 'MOOE' END AS role FROM {labels}",
+    "csv_rows": """WITH n AS (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS row_index FROM {tree} WHERE kind <> 'activity' AND NOT synthetic), v AS (SELECT 'c' || CAST(CAST(floor(value / 64) AS BIGINT) AS STRING) AS id, value % 2 AS odd, max(value) AS value FROM {amounts} GROUP BY 1, 2)
+      SELECT row_index, n.id, kind, page, label, code, p.value AS ps, CAST(NULL AS BIGINT) AS mooe, CAST(NULL AS BIGINT) AS co, t.value + 1 AS total FROM n LEFT JOIN v p ON p.id = n.id AND p.odd = 0 LEFT JOIN v t ON t.id = n.id AND t.odd = 1 WHERE kind <> 'table_root'""",
+    "station_chips": "SELECT id, 'K ' || CAST(rank AS STRING) || CASE WHEN id % 2 = 0 THEN ' – end' ELSE '' END AS chip FROM {labels}",
 }

@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridledger.functions import codes, lexical
-from gridledger.operators import anatomy, bands, export, geometry, hierarchy, sections, totals
+from gridledger.operators import anatomy, bands, export, geometry, hierarchy, regions, sections, totals
+from gridledger.operators import rows as row_ops
 from gridledger.plans.inputs import read_input
 from gridledger.sources import documents, specs
 
@@ -604,3 +605,139 @@ def reconcile_union_rollup(lineitem, orders, customer, nation, supplier):
     b = bought.groupBy(F.lit("S").alias("branch"), F.col("s_nationkey").cast("bigint").alias("nationkey"), F.concat_ws("_", "l_returnflag", "l_linestatus").alias("fund")).agg(cents.alias("cents"))
     n = nation.select(F.col("n_nationkey").cast("bigint").alias("nationkey"), F.translate("n_name", "\r\n\t", "   ").alias("nation")).distinct()
     return a.unionByName(b).join(F.broadcast(n), "nationkey", "left").select("branch", "nation", "fund", F.replace("fund", F.lit("_"), F.lit("2")).alias("sort_key"), "cents")
+
+
+# ---- row views and regions -------------------------------------------------------------------------------
+@query("phrases")
+def left_of_label(phrases):
+    in_rows = phrases.select("page", "phrase_id", F.col("band_id").alias("row_id"))
+    labels = phrases.where("phrase_id % 8 = 1").select("page", F.col("band_id").alias("row_id"), F.col("x0").alias("left_x"))
+    return row_ops.left_prefixes(phrases, in_rows, labels).select("page", "row_id", "phrase_id")
+
+
+@query("phrases")
+def row_views(phrases):
+    base = phrases.withColumn("row_id", F.col("band_id"))
+    rows = base.select("page", "row_id").distinct().withColumn("distance", F.col("row_id") * 2.0)
+    cells = base.select("page", "row_id", F.col("phrase_id").alias("column_id"), F.when(F.col("phrase_id") % 4 == 1, F.lit("Labels")).otherwise(F.concat(F.lit("Amount "), (F.col("phrase_id") % 8).cast("string"))).alias("role"), F.when(F.col("phrase_id") % 3 == 0, F.lit(" ")).otherwise(F.col("text")).alias("text"), F.lit(1).alias("n_money"))
+    prefixes = base.where("phrase_id % 8 = 6").select("page", "row_id", "phrase_id", "text", F.lit("code_candidate").alias("observation"), "band_id", "x0")
+    return row_ops.row_views(rows, cells, prefixes)
+
+
+@query("phrases")
+def embedded_headers(phrases):
+    shaped = phrases.withColumn("distance", F.col("x0"))
+    return row_ops.embedded_headers(shaped, phrases.select("page", "phrase_id", F.expr("band_id div 4").alias("row_id")))
+
+
+@query("tokens")
+def label_line_metrics(tokens):
+    lines = tokens.where("token_id % 4 < 2").groupBy("page", F.expr("band_id div 2").alias("row_id"), "band_id").agg(F.min("text").alias("text"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.collect_set("token_id").alias("token_ids"))
+    lines = lines.withColumns({"cell_x0": F.lit(0.0), "cell_x1": F.lit(800.0)})
+    out = row_ops.label_lines(lines, geometry.token_gaps(tokens, F.lit(5.0)))
+    return out.withColumn("fill", F.round("fill", 6))
+
+
+@query("phrases")
+def seed_role_lookup(phrases):
+    seeds = phrases.sparkSession.createDataFrame([(13, 8, "Total"), (13, 6, "CO")], "page bigint, column_id bigint, role string")
+    columns = phrases.groupBy("page", F.expr("cast(floor(x1 / 90) as bigint)").alias("column_id")).agg(F.min("x0").alias("left_x"))
+    return row_ops.seed_roles(columns, seeds)
+
+
+@query("ticks")
+def centre_displacement(ticks):
+    return row_ops.displacements(hierarchy.gap_clusters(ticks.withColumnRenamed("user_id", "page"), gap=6.0), [120.0, 100.0, 80.0, 60.0, 45.0, 30.0, 15.0, 0.0])
+
+
+@query("rows")
+def open_levels_at_end(rows):
+    return row_ops.open_at_end(rows.select("table_id", "doc_pos", F.when(~F.col("attached"), F.col("rank")).alias("rank")))
+
+
+@query("row_pages")
+def type_gate_failures(pages):
+    return row_ops.type_gate(sections.layout_spans(pages, _spans(pages)), "pap")[1]
+
+
+@query("row_pages")
+def pages_off_span(pages):
+    return row_ops.span_split(pages, 13, 108)[1]
+
+
+@query("tree", "findings")
+def tree_page_slice(tree, findings):
+    return row_ops.page_slice(tree, findings)
+
+
+@query("ticks")
+def centre_statistics(ticks):
+    rows = ticks.select(F.col("user_id").alias("page"), F.expr("cast(floor(distance / 25) as bigint)").alias("level"), (F.floor(F.col("distance") / 25) * 25.0).alias("centre"), "distance")
+    out = row_ops.centre_statistics(rows)
+    return out.select("level", "n", "n_pages", "least", "greatest", F.round("p05", 6).alias("p05"), F.round("p95", 6).alias("p95"), F.round("mad", 6).alias("mad"), F.round("furthest", 6).alias("furthest"))
+
+
+@query("tokens")
+def page_confidence(tokens):
+    return row_ops.mean_confidence(tokens, F.when(F.col("token_id") % 3 > 0, (F.col("token_id") % 64) / 64.0))
+
+
+@query("phrases")
+def repaired_claims(phrases):
+    claims = phrases.where("phrase_id % 4 = 2 and phrase_id % 5 > 0").select("page", (F.col("phrase_id") - 1).alias("label_id"), F.col("phrase_id").alias("amount_id"))
+    chains = phrases.where("phrase_id % 24 = 2").select("page", F.col("phrase_id").alias("amount_id"), (F.col("phrase_id") + 8).alias("label_id"), (F.col("phrase_id") % 7 > 0).alias("closed"))
+    return row_ops.apply_repair(claims, phrases, chains)[0]
+
+
+@query("phrases")
+def label_indent_clusters(phrases):
+    shaped = phrases.where("observation <> 'money_candidate'").select("page", F.col("phrase_id").alias("id"), "x0", "y0", F.lit(5.0).alias("tolerance"))
+    return geometry.running_median_clusters(shaped, "x0", ["x0", "y0"], "tolerance")
+
+
+@query("phrases")
+def layout_region_filter(phrases):
+    boxes = phrases.select("page", F.when(F.col("phrase_id") % 5 == 0, F.lit("header")).otherwise(F.lit("table")).alias("label"), (F.col("phrase_id") % 100 / 100.0).alias("score"), "x0", "y0", "x1", "y1")
+    return regions.layout_regions(boxes, 144.0)
+
+
+@query("tokens")
+def money_or_year(tokens):
+    return tokens.select("token_id", regions.is_money(F.when(F.col("token_id") % 4 == 0, F.concat(F.lit("20"), F.lpad("text", 2, "0"))).otherwise(F.col("text"))).alias("is_money"))
+
+
+@query("phrases")
+def cell_text_fill(phrases):
+    cells = phrases.where("phrase_id % 40 = 2").select("page", F.col("phrase_id").alias("cell_id"), "x0", "y0", (F.col("x0") + 90).alias("x1"), (F.col("y0") + 40).alias("y1"))
+    return regions.cell_texts(cells, phrases.withColumnRenamed("phrase_id", "line_id"))
+
+
+@query("tokens")
+def grid_quality(tokens):
+    return regions.grid_quality(tokens.select("page", F.col("y0").alias("row"), F.expr("cast(floor(x0 / 90) as bigint)").alias("col")))
+
+
+@query("row_pages")
+def zone_schema(pages):
+    p = F.col("page")
+    zones = pages.select("page", F.lit(0).alias("zone_id"), F.when(p % 11 == 0, F.lit("text")).when(p % 13 == 0, F.lit("figure")).otherwise(F.lit("table")).alias("label"), (p % 4).alias("n_roles"), F.when(p % 4 < 2, p % 6).otherwise(0).alias("n_money_columns"), (p % 9 == 0).alias("amount_header"), (p % 17 == 0).alias("year_or_unit"))
+    return regions.zone_schemas(zones)
+
+
+@query("labels")
+def header_roles(labels):
+    text = F.when(F.col("id") % 4 == 0, F.lit("Personnel  Services")).when(F.col("id") % 4 == 1, F.lit("Capital Outlay, total")).when(F.col("id") % 4 == 2, F.lit("MOOE")).otherwise(F.lit("cost"))
+    return labels.select("id", regions.header_role(text).alias("role"))
+
+
+@query("tree", "amounts")
+def csv_rows(tree, amounts):
+    nodes = export.slim_nodes(tree.where("kind <> 'activity'").withColumns({"table_id": F.lit(1).cast("bigint"), "tier": F.lit(1).cast("bigint")}))
+    values = amounts.select(F.concat(F.lit("c"), F.expr("value div 64").cast("string")).alias("id"), F.when(F.col("value") % 2 == 0, F.lit("PS")).otherwise(F.lit("Total")).alias("role"), "value").groupBy("id", "role").agg(F.max("value").alias("value"))
+    totals_of = values.where("role = 'Total'").select("id", "role", (F.col("value") + 1).alias("value"))
+    return export.csv_rows(nodes, values, totals_of)
+
+
+@query("labels")
+def station_chips(labels):
+    return labels.select("id", export.station_chip(F.lit("K"), F.col("rank").cast("string"), F.when(F.col("id") % 2 == 0, F.lit("end"))).alias("chip"))

@@ -93,3 +93,24 @@ def file_digest(path: str) -> str:
         while block := f.read(1 << 20):
             digest.update(block)
     return digest.hexdigest()
+
+
+def run_manifest(document: str, pages: list[int], settings: dict, packages: dict[str, str]) -> dict:
+    """What a run was made from: the document's digest, its pages, settings and package versions."""
+    return {"document": {"name": Path(document).name, "sha256": file_digest(document)}, "pages": sorted(set(pages)), "settings": dict(sorted(settings.items())), "packages": dict(sorted(packages.items()))}
+
+
+def prune_stale(folder: str, keep: set[str], suffixes: tuple[str, ...] = (".json", ".csv")) -> list[str]:
+    """Removes exported files that an export no longer has; refuses a folder that isn't an export's (no index.json)."""
+    root = Path(folder)
+    if not (root / "index.json").is_file():
+        raise ValueError(f"not an export folder: {folder}")
+    stale = [p for p in sorted(root.iterdir()) if p.is_file() and p.suffix in suffixes and p.name not in keep | {"index.json"}]
+    for p in stale:
+        p.unlink()
+    return [p.name for p in stale]
+
+
+def list_runs(folder: str) -> list[str]:
+    """Names of the run folders that a viewer can open."""
+    return sorted(p.parent.name for p in Path(folder).glob("*/viewer.json"))
