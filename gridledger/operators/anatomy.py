@@ -46,7 +46,7 @@ def longest_first(spans: list[Span], taken: list[Span] = ()) -> list[Span]:
     return sorted(out, key=lambda s: s.start)
 
 
-#: What is left of a title's signs after a span goes: (pattern, replacement), in order.
+# How a title's signs are tidied after a span goes: (pattern, replacement), in order.
 _TIDY = [
     (re.compile(p), r)
     for p, r in (

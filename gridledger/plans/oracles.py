@@ -215,4 +215,5 @@ ORACLES = {
     "csv_rows": """WITH n AS (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS row_index FROM {tree} WHERE kind <> 'activity' AND NOT synthetic), v AS (SELECT 'c' || CAST(CAST(floor(value / 64) AS BIGINT) AS STRING) AS id, value % 2 AS odd, max(value) AS value FROM {amounts} GROUP BY 1, 2)
       SELECT row_index, n.id, kind, page, label, code, p.value AS ps, CAST(NULL AS BIGINT) AS mooe, CAST(NULL AS BIGINT) AS co, t.value + 1 AS total FROM n LEFT JOIN v p ON p.id = n.id AND p.odd = 0 LEFT JOIN v t ON t.id = n.id AND t.odd = 1 WHERE kind <> 'table_root'""",
     "station_chips": "SELECT id, 'K ' || CAST(rank AS STRING) || CASE WHEN id % 2 = 0 THEN ' – end' ELSE '' END AS chip FROM {labels}",
+    "flag_messages": "SELECT page, seq, CASE seq % 3 WHEN 0 THEN 'info' ELSE 'review' END AS severity, CASE seq % 3 WHEN 0 THEN 'Continuation fragment row was merged into the previous row.' WHEN 1 THEN 'Page distance fit used fewer than two supported clusters.' ELSE code END AS message FROM {findings}",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridledger.functions import codes, lexical
+from gridledger.functions import codes, flags, lexical
 from gridledger.operators import anatomy, bands, export, geometry, hierarchy, regions, sections, totals
 from gridledger.operators import rows as row_ops
 from gridledger.plans.inputs import read_input
@@ -741,3 +741,9 @@ def csv_rows(tree, amounts):
 @query("labels")
 def station_chips(labels):
     return labels.select("id", export.station_chip(F.lit("K"), F.col("rank").cast("string"), F.when(F.col("id") % 2 == 0, F.lit("end"))).alias("chip"))
+
+
+@query("findings")
+def flag_messages(findings):
+    code = F.when(F.col("seq") % 3 == 0, F.lit("continuation_merged")).when(F.col("seq") % 3 == 1, F.lit("weak_page_fit")).otherwise(F.col("code"))
+    return findings.select("page", "seq", flags.severity(code, "unit").alias("severity"), flags.message(code, "unit").alias("message"))
