@@ -17,8 +17,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Paths given out in this process, oldest first.
+_given: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.append(f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def mark() -> int:
+    """A point in the order of scratch paths, for sweep()."""
+    return len(_given)
+
+
+def sweep(spark: SparkSession, since: int, keep_last: bool = True) -> None:
+    """Deletes scratch made since a mark; the last, which holds what the others led to, stays if keep_last.
+
+    Frames that read deleted paths are void, so this is for jobs that have written their result.
+    """
+    gone = _given[since : len(_given) - keep_last]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in gone:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        _given.remove(path)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

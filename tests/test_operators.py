@@ -369,3 +369,18 @@ def test_continuations_and_subtotals(spark):
     kind = "table_id bigint, doc_pos bigint, id string, key string"
     found = hierarchy.latest_match(spark.createDataFrame([(1, 1, "a", "road"), (1, 3, "b", "roads"), (1, 9, "c", "road")], kind), spark.createDataFrame([(1, 5, "s", "road"), (1, 6, "t", "dam")], kind))
     assert {r.subtotal_id: r.parent_id for r in found.collect()} == {"s": "b", "t": None}
+
+
+def test_scratch_is_swept(spark):
+    from pathlib import Path
+
+    from gridledger.sources import scratch
+
+    begun = scratch.mark()
+    paths = []
+    df = spark.range(3)
+    for _ in range(3):
+        df = scratch.stage_table(df, "swept")
+        paths.append(Path(scratch._given[-1]))
+    scratch.sweep(spark, begun)
+    assert [p.exists() for p in paths] == [False, False, True] and df.count() == 3
