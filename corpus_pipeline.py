@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridledger.llm import exact, language, mixing, neardup, packing
 from gridledger.llm.common import read_table, stage_table
+from gridledger.sources import scratch
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage needed on its way goes when its documents are written."""
     docs = read_table(spark, sf_dir, "documents")
+    begun = scratch.mark()
     for name, stage in STAGES[:-1]:
         docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        scratch.sweep(spark, begun)
     return STAGES[-1][1](spark, docs, sf_dir)
