@@ -29,8 +29,8 @@ for _c in range(33, 256):
     elif chr(_c).isnumeric():
         _CLASS[_c] = _DIGIT
 
-_BLOCK_CHARS = 2_000_000
-_CACHED_WORDS = 400_000  # in each of two generations
+_BLOCK_CHARS = 1_000_000
+_CACHED_WORDS = 200_000  # in each of two generations
 
 #: Word hashes are sums of random values times powers of an odd number, modulo 2**64; they only number the
 #: words of one block, and words are kept by their characters.

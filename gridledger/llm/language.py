@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridledger.llm.common import bound_batches, release_memory
+
 UNKNOWN = "und"
 #: Positions of a window; its filters look at up to three bytes beyond.
 WINDOW = 253
@@ -160,6 +162,7 @@ def learn(docs: DataFrame, documents_per_language: int = 1500, windows_per_docum
     documents_per_language bounds the expected sample of each language, windows_per_document the windows of
     a document; a document is chosen by a hash of its id.
     """
+    bound_batches(docs.sparkSession)
     may = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     counts = {r["lang"]: r["n"] for r in may.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
@@ -247,6 +250,7 @@ def _predictions(net: Network | None):
                 [*(batch.column(i) for i in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*(batch.schema.names[i] for i in keep), "lang_pred", "score"],
             )
+            release_memory()
 
     return run
 
@@ -272,6 +276,7 @@ def _accepting(net: Network | None, least_score: float):
                 found = predictor.predict(texts) if predictor else [(UNKNOWN, 0.0)] * len(texts)
                 keep += [lang != UNKNOWN and score >= least_score for lang, score in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
+            release_memory()
 
     return run
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import stage_table
+from gridledger.llm.common import bound_batches, release_memory, stage_table
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -159,6 +159,7 @@ def _signed(words: int, depth: int):
                     ],
                     names=["doc_id", "text_key", "node", "n_shingles", "prefixes", "bits"],
                 )
+            release_memory()
 
     return run
 
@@ -311,6 +312,7 @@ def _shingle_sets(words: int):
                 sets = [np.unique(shingles[a:b]).tobytes() for a, b in zip(starts, stops)]
                 keep = [i for i, n in enumerate(part.schema.names) if n != "text"]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in keep), pa.array(sets, pa.binary())], names=[*(part.schema.names[i] for i in keep), "shingles"])
+            release_memory()
 
     return run
 
@@ -394,6 +396,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
 
 def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    bound_batches(docs.sparkSession)
     text_key = F.xxhash64("text")
     signed = stage_table(
         docs.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(

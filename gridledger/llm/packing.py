@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import clean_text, stage_table
+from gridledger.llm.common import bound_batches, clean_text, release_memory, stage_table
 from gridledger.llm.encoder import default_vocabulary, encoder
 
 WINDOWS_PER_GROUP = 128
@@ -99,6 +99,7 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, keep_ids: bool):
                     ordinal += 1
                 kinds = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(), "salt": pa.int32(), "ids": pa.binary()}
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], names=list(kinds))
+            release_memory()
 
     return run
 
@@ -125,6 +126,7 @@ def _pack(capacity: int):
 
 def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, vocabulary: str | None = None, keep_ids: bool = False) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if kept)."""
+    bound_batches(docs.sparkSession)
     pieces = stage_table(
         docs.select("doc_id", clean_text().alias("text")).mapInArrow(
             _pieces(vocabulary or default_vocabulary(), end_id, capacity, keep_ids),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import bucket_of, buckets_for, clean_text, range_bounds, scratch_path
+from gridledger.llm.common import bound_batches, bucket_of, buckets_for, clean_text, range_bounds, release_memory, scratch_path
 from gridledger.llm.encoder import default_vocabulary, encoder
 
 #: Bits between two entries of a rank directory.
@@ -83,6 +83,7 @@ def dac_access(levels: list[dict[str, bytes]], i: int) -> int:
 # ---- writing ---------------------------------------------------------------------------------------------
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, rows_per_range: int = 2_000) -> str:
     """Encodes every whole text, appends end_id, and writes the segments in ascending doc_id order."""
+    bound_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
     ids = docs.select("doc_id")
     bounds = range_bounds(ids, "doc_id", buckets_for(ids.count(), rows_per_range, least=64, most=4096))
@@ -131,6 +132,7 @@ def _segments(vocabulary: str, end_id: int):
                     doc_ids.append(doc_id)
                     parts.append(coded + end)
                     size += len(coded) // 4 + 1
+            release_memory()
         if doc_ids:
             yield closed()
 

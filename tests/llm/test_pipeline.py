@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from gridledger.llm.encoder import default_vocabulary
 
 
 def test_names():
-    names = [n for n in __spark_entry__.queries() if n.startswith("op")]
+    names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
