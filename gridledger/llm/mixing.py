@@ -33,6 +33,12 @@ GOLDEN = 0x9E3779B97F4A7C15
 TURN = 1 << 64
 BLOCK_WORDS = 512
 SLOTS_PER_TASK = 1 << 16
+#: Facts of so many sources are broadcast; those of more are joined by shuffle.
+BROADCAST_SOURCES = 10_000
+
+
+def _small(facts: DataFrame, sources: int) -> DataFrame:
+    return F.broadcast(facts) if sources <= BROADCAST_SOURCES else facts
 
 
 # ---- targets and schedule --------------------------------------------------------------------------------
@@ -120,7 +126,7 @@ def schedule(spark: SparkSession, plan: Plan) -> DataFrame:
     first = F.col("epoch") * F.col("size_of") + F.col("block") * plan.block
     length = F.least(F.lit(plan.block), F.col("size_of") - F.col("block") * plan.block, F.col("goal") - first)
     return (
-        taken.join(F.broadcast(facts), "source_no")
+        taken.join(_small(facts, len(slots)), "source_no")
         .where(F.col("rank") < F.col("n_slots"))
         .withColumns({"epoch": epoch, "block": block})
         .withColumn("words", length)
@@ -176,7 +182,7 @@ def _taken(docs: DataFrame, weights: Sequence[float], share: float, most: float,
 
     facts = spark.createDataFrame([(x["source"], x["source_no"]) for x in sources], "source string, source_no int")
     buckets = buckets_for(sum(r["rows"] for r in named))
-    numbered = sized.join(F.broadcast(facts), sized["source"].eqNullSafe(facts["source"])).select(
+    numbered = sized.join(_small(facts, len(sources)), sized["source"].eqNullSafe(facts["source"])).select(
         "source_no", "doc_id", "text_key", "size", "shuffle", F.expr(f"cast(conv(substr(shuffle, 1, 6), 16, 10) as bigint) * {buckets} div 16777216").cast("int").alias("bucket")
     )
     totals = numbered.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
@@ -211,7 +217,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     return (
         taken.groupBy("source_no", "bucket", "row", "doc_id", "text_key", "size")
         .agg(F.sum("words").alias("taken"))
-        .join(F.broadcast(facts), "source_no")
+        .join(_small(facts, len(sources)), "source_no")
         .select("doc_id", "size", "source_size", "target", "taken")
     )
 
