@@ -286,3 +286,19 @@ def split_lines(lines: DataFrame) -> DataFrame:
     two = F.coalesce((F.size("l") >= 2) & lexical.splits_title(a["text"], a["run_gap_pt"], a["run_gap_spaces"], b["text"]), F.lit(False))
     rest = lexical.clean(F.concat_ws(" ", F.slice(F.col("l.text"), 2, F.greatest(F.size("l") - 1, F.lit(1)))))
     return g.select("id", F.when(two, lexical.clean(a["text"])).otherwise(lexical.clean(F.concat_ws(" ", "l.text"))).alias("title"), F.when(two & (rest != ""), rest).alias("description"))
+
+
+def enriched_labels(lines: DataFrame) -> DataFrame:
+    """id, label, label_ocr, description, chainages, coordinates: titles and descriptions split, then both read.
+
+    lines as in split_lines(). label_ocr is the whole label if anything was taken out of it.
+    """
+    split = split_lines(lines)
+    title = label_anatomy(split.select(F.col("id").cast("string").alias("id"), F.col("title").alias("label")))
+    rest = label_anatomy(split.where(F.col("description").isNotNull()).select(F.col("id").cast("string").alias("id"), F.col("description").alias("label"))).select("id", F.col("label").alias("description"), F.col("chainages").alias("more_chainages"), F.col("coordinates").alias("more_coordinates"))
+    whole = lines.groupBy(F.col("id").cast("string").alias("id")).agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("l")).select("id", lexical.clean(F.concat_ws(" ", "l.text")).alias("whole"))
+    both = title.drop("label_ocr").join(rest, "id", "left").join(whole, "id")
+    chains = F.concat("chainages", F.coalesce("more_chainages", F.array().cast(STATION_TYPE)))
+    points = F.concat("coordinates", F.coalesce("more_coordinates", F.array().cast(COORDINATE_TYPE)))
+    touched = F.col("description").isNotNull() | (F.size(chains) > 0) | (F.size(points) > 0)
+    return both.select("id", "label", F.when(touched, F.col("whole")).alias("label_ocr"), F.when(F.col("description") != "", F.col("description")).alias("description"), chains.alias("chainages"), points.alias("coordinates"))
