@@ -80,7 +80,8 @@ def _state(arrivals_path: str, schema, spark, files_per_batch: int) -> DataFrame
     if query.lastProgress is None:  # no arrivals, no batch
         return spark.createDataFrame([], kinds).select("digest", "n_bytes", "keeper.doc_id", "keeper.locator", "group_size").toDF("digest", "n_bytes", "keep_id", "locator", "group_size")
     last = spark.read.schema(kinds).parquet(changed).groupBy("digest", "n_bytes").agg(F.max("keeper").alias("keeper"), F.max("group_size").alias("group_size"))
-    return last.select("digest", "n_bytes", F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.locator").alias("locator"), "group_size")
+    # Written, so that the join with the arrivals has two plain shuffles, of which a hot digest's side can be split.
+    return stage_table(last.select("digest", "n_bytes", F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.locator").alias("locator"), "group_size"), "dedup-keys")
 
 
 def exact_copies(docs: DataFrame, digest=sha256, files_per_batch: int = 64) -> DataFrame:
