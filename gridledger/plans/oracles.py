@@ -216,4 +216,5 @@ ORACLES = {
       SELECT row_index, n.id, kind, page, label, code, p.value AS ps, CAST(NULL AS BIGINT) AS mooe, CAST(NULL AS BIGINT) AS co, t.value + 1 AS total FROM n LEFT JOIN v p ON p.id = n.id AND p.odd = 0 LEFT JOIN v t ON t.id = n.id AND t.odd = 1 WHERE kind <> 'table_root'""",
     "station_chips": "SELECT id, 'K ' || CAST(rank AS STRING) || CASE WHEN id % 2 = 0 THEN ' – end' ELSE '' END AS chip FROM {labels}",
     "flag_messages": "SELECT page, seq, CASE seq % 3 WHEN 0 THEN 'info' ELSE 'review' END AS severity, CASE seq % 3 WHEN 0 THEN 'Continuation fragment row was merged into the previous row.' WHEN 1 THEN 'Page distance fit used fewer than two supported clusters.' ELSE code END AS message FROM {findings}",
+    "label_anatomy": rf"SELECT CAST(id AS STRING) AS id, CASE id % 6 WHEN 0 THEN regexp_replace({_CLEANED}, ' - K.*$', '') WHEN 1 THEN regexp_replace({_CLEANED}, ' \(14.*$', '') ELSE {_CLEANED} END AS label, CASE WHEN id % 6 < 2 THEN {_CLEANED} END AS label_ocr, CAST(CASE WHEN id % 6 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_chainages, CAST(CASE WHEN id % 6 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_coordinates FROM {{labels}}",
 }
