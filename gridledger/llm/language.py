@@ -175,10 +175,10 @@ def learn(docs: DataFrame, documents_per_language: int = 1500, windows_per_docum
     rows = may.where(chosen).select("lang", "text").mapInArrow(_training_windows(windows_per_document), "lang string, window binary").toArrow()
     if not rows.num_rows:
         return None
-    windows = np.frombuffer(b"".join(rows["window"].to_pylist()), np.uint8).reshape(-1, WINDOW + REACH)
-    labels = np.array([languages.index(x) for x in rows["lang"].to_pylist()])
-    order = np.lexsort((labels, *windows.T[:16]))  # the sample's order must not depend on the cluster
-    return train(windows[order], labels[order], languages, **options)
+    sample = sorted(zip(rows["window"].to_pylist(), rows["lang"].to_pylist()))  # the order must not depend on the cluster
+    windows = np.frombuffer(b"".join(w for w, _ in sample), np.uint8).reshape(-1, WINDOW + REACH)
+    number = {lang: i for i, lang in enumerate(languages)}
+    return train(windows, np.array([number[lang] for _, lang in sample]), languages, **options)
 
 
 # ---- prediction ------------------------------------------------------------------------------------------
