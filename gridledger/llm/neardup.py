@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridledger.llm.common import bound_batches, release_memory, stage_table
@@ -34,9 +34,10 @@ SIMILARITY = 0.8
 TREES = 20
 DEPTH = 8
 RECALL = 0.999
-#: Nodes of a crowded prefix, and nodes and shingles of a cluster, that a block holds.
-PREFIX_BLOCK = 512
-CLUSTER_BLOCK = 256
+#: Nodes of a crowded prefix, and nodes and shingles of a cluster, that a block holds. Blocks grow with their group
+#: up to the second number, so that a node goes to few block pairs.
+PREFIX_BLOCK = (256, 4096)
+CLUSTER_BLOCK = (256, 1024)
 SHINGLE_BLOCK = 400_000
 
 _BLOCK_CHARS = 300_000
@@ -258,6 +259,12 @@ def _ties(similarity: float):
     return run
 
 
+def _blocks(n: Column, sizes: tuple[int, int]) -> Column:
+    """Into how many blocks a group of n nodes is cut."""
+    least, most = sizes
+    return F.ceil(n / F.least(F.lit(most), F.greatest(F.lit(least), n / 8)))
+
+
 def _block_pairs(rows: DataFrame) -> DataFrame:
     """Rows once for each pair of the n_blocks of their group that they belong to: own, low, high."""
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
@@ -273,7 +280,7 @@ def candidate_ties(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFram
     keyed = nodes.select("node", F.explode("prefixes").alias("prefix"))
     crowded = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = keyed.join(crowded, "prefix").join(nodes.select("node", "bits"), "node")
-    rows = _block_pairs(met.withColumn("n_blocks", F.ceil(F.col("n") / PREFIX_BLOCK).cast("int"))).select("prefix", "low", "high", "own", "node", "bits")
+    rows = _block_pairs(met.withColumn("n_blocks", _blocks(F.col("n"), PREFIX_BLOCK).cast("int"))).select("prefix", "low", "high", "own", "node", "bits")
     dealt = rows.repartition("prefix", "low", "high").sortWithinPartitions("prefix", "low", "high", "node")
     return dealt.mapInArrow(_ties(similarity), "a binary, b binary").distinct()
 
@@ -289,9 +296,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     before = None
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Least neighbours are written before they are joined, so that a join is of two plain shuffles and the
+        # many edges of a hub can be split.
+        least = stage_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage_table(large, f"{name}-large")
+        least = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-least")
         tied = large.join(least, "u")
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = stage_table(small, f"{name}-edges")
@@ -418,7 +428,7 @@ def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
 
     # Exact verification inside the clusters.
     sizes = clusters.join(reps, "node").groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"))
-    blocks = F.greatest(F.ceil(F.col("n") / CLUSTER_BLOCK), F.ceil(F.col("weight") / SHINGLE_BLOCK)).cast("int")
+    blocks = F.greatest(_blocks(F.col("n"), CLUSTER_BLOCK), F.ceil(F.col("weight") / SHINGLE_BLOCK)).cast("int")
     members = stage_table(
         clusters.join(reps, "node").join(sizes, "component").select("node", F.xxhash64("component").alias("cluster"), blocks.alias("n_blocks"), "rep_id", "rep_key", "copies"),
         "forest-members",

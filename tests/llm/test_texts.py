@@ -259,8 +259,8 @@ def test_near_copies(documents, monkeypatch):
     passage = " ".join(rng.choice(vocabulary) for _ in range(60))
     docs += [passage + " " + " ".join(rng.choice(vocabulary) for _ in range(70)) for _ in range(60)]
     docs = list(enumerate(docs + ["", None, "one two", "One, two"]))
-    monkeypatch.setattr(neardup, "PREFIX_BLOCK", 16)  # so that the large group is cut into blocks
-    monkeypatch.setattr(neardup, "CLUSTER_BLOCK", 16)
+    monkeypatch.setattr(neardup, "PREFIX_BLOCK", (16, 32))  # so that the large group is cut into blocks
+    monkeypatch.setattr(neardup, "CLUSTER_BLOCK", (16, 32))
     df = documents(docs, extra=True)
     out = {r.doc_id: (r.class_id, r.n_links) for r in neardup.near_copies(df).collect()}
     assert out == plain_links(docs)
