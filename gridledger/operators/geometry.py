@@ -100,7 +100,6 @@ def phrase_ordinals(tokens: DataFrame, char_width: Column) -> DataFrame:
     gap = F.col("x0") - F.lag("x1").over(band)
     wide = (gap >= GAP_PT) & (gap / char_width >= GAP_SPACES)
     after_code = (n == 2) & F.lag("text").over(band).rlike(lexical.PROGRAM_CODE)
-    first = F.first("text").over(band)
     # A marker of one token, or of a letter and a point; its true width is its signs'.
     one, two = (n == 2) & F.lag(compact).over(band).rlike(lexical.MARKER), (n == 3) & F.concat(F.lag(compact, 2).over(band), F.lag(compact).over(band)).rlike(lexical.MARKER)
     signs = F.when(one, F.length(F.lag(compact).over(band))).otherwise(F.lit(2))

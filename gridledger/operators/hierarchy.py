@@ -39,7 +39,6 @@ def gap_clusters(distances: DataFrame, gap: float, key: str = "page") -> DataFra
 def unit_tiers(distances: DataFrame, key: str = "page") -> DataFrame:
     """key, region_centre, office_centre, weak, extra: the first cluster is the region tier, all others the office
     tier; a single cluster is one of both, by the midpoint."""
-    clusters = gap_clusters(distances, UNIT_GAP, key)
     w = Window.partitionBy(key).orderBy(F.desc("distance"))
     new = F.coalesce((F.lag("distance").over(w) - F.col("distance") > UNIT_GAP).cast("int"), F.lit(0))
     numbered = distances.withColumn("_s", new).withColumn("c", F.sum("_s").over(w.rangeBetween(Window.unboundedPreceding, 0)))

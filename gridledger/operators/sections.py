@@ -113,7 +113,7 @@ def headers(bands: DataFrame, phrases: DataFrame) -> DataFrame:
     return out.select("page", "role", F.concat_ws("\n", "l.line").alias("text"), F.size("l").cast("bigint").alias("n_lines"))
 
 
-def findings(cells: DataFrame, members: DataFrame) -> DataFrame:
+def findings(members: DataFrame) -> DataFrame:
     """page, code, row_id, column_id: rows and cells with several labels or amounts, and labels outside the label column.
 
     members: page, row_id, column_id, role, phrase_id, kind (main_text, money or other).

@@ -339,7 +339,7 @@ def cardinality_findings(phrases):
     role = F.when(F.col("x0") < 300, F.lit("Labels")).otherwise(F.lit("Amount 1"))
     kind = F.when(F.col("observation") == "money_candidate", F.lit("money")).when(F.col("observation") == "text_candidate", F.lit("main_text")).otherwise(F.lit("other"))
     members = phrases.select("page", F.col("band_id").alias("row_id"), F.when(F.col("x0") < 300, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("column_id"), role.alias("role"), "phrase_id", kind.alias("kind"))
-    return sections.findings(members, members)
+    return sections.findings(members)
 
 
 @query("findings")
