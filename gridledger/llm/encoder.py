@@ -29,7 +29,7 @@ for _c in range(33, 256):
     elif chr(_c).isnumeric():
         _CLASS[_c] = _DIGIT
 
-_BLOCK_CHARS = 1_000_000
+_BLOCK_CHARS = 1_500_000
 _CACHED_WORDS = 200_000  # in each of two generations
 
 #: Word hashes are sums of random values times powers of an odd number, modulo 2**64; they only number the

@@ -57,11 +57,16 @@ def dac_decode(levels: list[dict[str, bytes]]) -> np.ndarray:
     """All ids of a segment."""
     out = None
     for level in reversed(levels):
-        chunks = np.frombuffer(level["chunks"], "u1").astype("<u4")
-        if out is not None:
-            more = np.unpackbits(np.frombuffer(level["bitmap"], "u1"), count=chunks.size, bitorder="little").view(bool)
-            chunks[more] |= out << 8
-        out = chunks
+        chunks = np.frombuffer(level["chunks"], "u1")
+        if out is None:
+            out = chunks.astype("<u4")
+            continue
+        more = np.unpackbits(np.frombuffer(level["bitmap"], "u1"), count=chunks.size, bitorder="little").view(bool)
+        whole = np.zeros(chunks.size, "<u4")
+        whole[more] = out
+        whole <<= 8
+        whole |= chunks
+        out = whole
     return np.zeros(0, "<u4") if out is None else out
 
 
