@@ -39,6 +39,7 @@ RECALL = 0.999
 PREFIX_BLOCK = (256, 4096)
 CLUSTER_BLOCK = (256, 1024)
 SHINGLE_BLOCK = 400_000
+EDGES_PER_FILE = 50_000
 
 _BLOCK_CHARS = 300_000
 _rng = np.random.default_rng(41)
@@ -293,18 +294,20 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     neighbours. Each round is written, so a lost executor costs a reread.
     """
     edges = stage_table(edges.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u <> v").distinct(), f"{name}-edges")
+    # Tables of few edges in few files: a round is several small jobs, whose tasks would else cost more than their rows.
+    files = max(8, edges.count() // EDGES_PER_FILE)
     before = None
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Least neighbours are written before they are joined, so that a join is of two plain shuffles and the
         # many edges of a hub can be split.
-        least = stage_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-least")
+        least = stage_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(files), f"{name}-least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = stage_table(large, f"{name}-large")
-        least = stage_table(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-least")
+        large = stage_table(large.coalesce(files), f"{name}-large")
+        least = stage_table(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(files), f"{name}-least")
         tied = large.join(least, "u")
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = stage_table(small, f"{name}-edges")
+        edges = stage_table(small.coalesce(files), f"{name}-edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
