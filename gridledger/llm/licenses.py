@@ -1,10 +1,11 @@
-"""Licence scan with a positional index of rare template words. DataFrame functions only.
+"""Licence scan with a positional index of rare key words. DataFrame functions only.
 
-Each template is a list of words. The corpus says how rare its words are (documents that hold them, over all
-documents), and the rarest of each template are indexed with their positions. In a file, the positions of an
-indexed word minus its place in the template are the offsets at which the template could begin; offsets that
-two rare words of a template agree on are its alignments. An alignment counts if the template's key phrase
-stands at its place and enough of the template's words match around it.
+Each template is a list of words, some of which are its key phrase. The corpus says how rare the key's words are
+(documents that hold them, over all documents), and the rarest of each key are indexed with their positions. In a
+file, the positions of an indexed word minus its place in the template are the offsets at which the template could
+begin; offsets that all indexed words of a template agree on are its alignments. An alignment counts if the key
+phrase stands at its place and enough of the template's words match around it. As the key must stand word for word,
+no place that counts lacks an indexed word, however the other words are altered and however rare they are.
 
 Everything but the counts of words happens inside a document's row: there is no shuffle of texts or words.
 
@@ -15,6 +16,7 @@ row, repeated ones too, gives one row; an empty table gives no rows; other colum
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,11 +66,11 @@ def words_of(text: Column) -> Column:
 
 
 def rare_words(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, per_template: int = 3) -> list[list[str]]:
-    """The rarest words of each template over all documents. The counts are as many as the templates' words."""
-    vocabulary = sorted({w for t in templates for w in t.words.split()})
+    """The rarest words of each template's key over all documents. The counts are as many as the keys' words."""
+    vocabulary = sorted({w for t in templates for w in t.key.split()})
     held = docs.select(F.explode(F.array_intersect(words_of(clean_text()), _strings(vocabulary))).alias("word"))
     counts = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [sorted(set(t.words.split()), key=lambda w: (counts.get(w, 0), w))[:per_template] for t in templates]
+    return [sorted(set(t.key.split()), key=lambda w: (counts.get(w, 0), w))[:per_template] for t in templates]
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, per_template: int = 3, least_match: float = 0.6) -> DataFrame:
@@ -99,12 +101,10 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, per_templ
 
     aligned = {}
     for k, (t, r) in enumerate(zip(templates, rare)):
-        words = t.words.split()
-        offsets = [F.transform(F.col(f"at_{number[w]}"), _minus(words.index(w))) for w in r]
-        pairs = [F.array_intersect(a, b) for n, a in enumerate(offsets) for b in offsets[n + 1 :]] or offsets
-        key = t.key.split()
+        words, key = t.words.split(), t.key.split()
         at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-        verified = F.filter(F.array_distinct(F.concat(*pairs)), _at(stands, at, t.key))
+        offsets = [F.transform(F.col(f"at_{number[w]}"), _minus(at + key.index(w))) for w in r]
+        verified = F.filter(reduce(F.array_intersect, offsets), _at(stands, at, t.key))
         matches = F.transform(verified, _matched(words))
         aligned[k] = F.coalesce(F.array_max(matches), F.lit(0.0))
     found_any = F.size("places") > 0

@@ -96,6 +96,29 @@ def test_licenses_as_plain_search(documents):
     assert licenses.scan(documents([])).count() == 0
 
 
+def test_licenses_with_altered_words(documents):
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    altered = [
+        "Redistribution and use in source and binary forms, with or without changes, is allowed",
+        "Permission is hereby granted, free of charge, to any person obtaining some copies",
+        "This is free and unencumbered software released for all",
+        "Permission to use, copy, modify, and or distribute this file for some purpose",
+    ]
+    given = list(enumerate([bsd] * 9 + altered))
+    out = {r.doc_id: r for r in licenses.scan(documents(given)).collect()}
+    assert [out[i].labels for i, _ in given] == [plain_licenses(t)[-1] for _, t in given]
+    assert [out[9 + i].labels for i in range(len(altered))] == ["bsd", "mit", "unlicense", "isc"]
+    assert out[9].score == 11 / 14
+    shown = [t.words for t in licenses.TEMPLATES]
+    for t in licenses.TEMPLATES:  # the template's words beside its key go one by one, from either end
+        words, key = t.words.split(), t.key.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
+        shown += [" ".join(w if at <= i < at + len(key) or i not in gone else "other" for i, w in enumerate(words)) for n in range(1, len(words)) for gone in (range(n), range(len(words) - n, len(words)))]
+    given = list(enumerate(shown))
+    out = {r.doc_id: r.labels for r in licenses.scan(documents(given)).collect()}
+    assert [out[i] for i, _ in given] == [plain_licenses(t)[-1] for _, t in given]
+
+
 # ---- secrets
 def plain_spans(text):
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
