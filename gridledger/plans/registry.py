@@ -128,6 +128,12 @@ def unit_tier_centres(ticks):
     return hierarchy.unit_tiers(ticks.where("event_id % 50 = user_id % 50").withColumnRenamed("user_id", "page"))
 
 
+# Beside a query whose SQL takes only some of the pages, points or cells stands one over all of them, without SQL.
+@query("ticks")
+def unit_tier_centres_whole(ticks):
+    return hierarchy.unit_tiers(ticks.withColumnRenamed("user_id", "page"))
+
+
 @query("ticks")
 def nearest_centre(ticks):
     centres = F.array(*[F.lit(c) for c in (514.6, 496.5, 480.0, 60.0, 45.0, 30.0, 15.0, 5.0)])
