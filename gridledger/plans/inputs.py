@@ -61,6 +61,7 @@ INPUTS = {
     "amounts": """
         SELECT page, 'r' || CAST(token_id AS STRING) AS id, 'Amount ' || CAST(1 + band_id % 6 AS STRING) AS role, token_id % 100000 AS value FROM {tokens} WHERE token_id % 4 = 2""",
     "row_pages": "SELECT DISTINCT page FROM {rows} WHERE page % 10 <> 7",
+    "all_pages": "SELECT DISTINCT page FROM {rows}",
     "findings": """
         SELECT page, token_id AS seq, CASE token_id % 8 WHEN 1 THEN 'multiple_money_candidates_in_cell' WHEN 2 THEN 'no_main_text_anchor' WHEN 3 THEN 'main_text_candidate_outside_label_cell' ELSE 'other_code' END AS code,
                CASE WHEN token_id % 8 = 4 THEN 'info' END AS severity, CASE WHEN token_id % 8 = 1 THEN token_id END AS cell_id, CASE WHEN token_id % 8 < 3 THEN band_id END AS row_id,

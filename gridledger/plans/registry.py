@@ -519,6 +519,11 @@ def table_of_page(rows, pages):
     return export.table_of_page(pages.where("page < 40"), spans)
 
 
+@query("rows", "all_pages")
+def table_of_page_whole(rows, pages):
+    return export.table_of_page(pages, export.page_span(rows).select("table_id", "first_page", "last_page"))
+
+
 @query("findings")
 def flag_page_filter(findings):
     return export.flag_filter(findings.select("page").distinct(), findings, ["no_main_text_anchor", "other_code"], ["main_text_candidate_outside_label_cell"])

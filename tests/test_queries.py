@@ -45,6 +45,7 @@ def test_query(spark, duck, name):
 #: Queries over all rows, and what the SQL of the query they stand beside says more than theirs.
 WHOLE = {
     "unit_tier_centres": [(" WHERE event_id % 50 = user_id % 50", "")],
+    "table_of_page": [(" WHERE page % 50 = table_id", ""), ("page < 40 AND ", ""), (" WHERE page % 10 <> 7", "")],
 }
 
 
