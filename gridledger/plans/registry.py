@@ -14,11 +14,14 @@ from gridledger.sources import documents, specs
 QUERIES = {}
 
 
-def query(*inputs):
-    """Registers a function of input frames under its name, as (spark, sf_dir) -> DataFrame."""
+def query(*inputs, whole=()):
+    """Registers a function of input frames under its name, as (spark, sf_dir) -> DataFrame; with whole also as
+    ..._whole over those inputs."""
 
     def register(f):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(*(read_input(spark, sf_dir, n) for n in inputs))
+        if whole:
+            QUERIES[f"{f.__name__}_whole"] = lambda spark, sf_dir: f(*(read_input(spark, sf_dir, n) for n in whole))
         return f
 
     return register
@@ -277,7 +280,7 @@ def _spans(frame):
     return frame.sparkSession.createDataFrame([(1, 13, 108, "by_ou", "wraps_up"), (2, 100, 690, "pap", "wraps_down")], "`order` int, start_page bigint, end_page bigint, table_type string, wrap_direction string")
 
 
-@query("row_pages")
+@query("row_pages", whole=("all_pages",))
 def layout_span_lookup(pages):
     return sections.layout_spans(pages, _spans(pages))
 
@@ -327,10 +330,18 @@ def row_range_join_down(phrases):
 
 @query("phrases")
 def cell_grid(phrases):
-    some = phrases.where("page % 7 = 0")
-    rows = sections.row_bounds(_boundaries(some), wraps_down=True)
-    columns = _columns(some)
-    out = sections.cells(some, rows, columns, sections.in_row(some, rows, True), sections.in_column(some, columns))
+    return _cell_grid(phrases.where("page % 7 = 0"))
+
+
+@query("phrases")
+def cell_grid_whole(phrases):
+    return _cell_grid(phrases)
+
+
+def _cell_grid(phrases):
+    rows = sections.row_bounds(_boundaries(phrases), wraps_down=True)
+    columns = _columns(phrases)
+    out = sections.cells(phrases, rows, columns, sections.in_row(phrases, rows, True), sections.in_column(phrases, columns))
     return out.select("page", "row_id", "column_id", "role", F.concat_ws(",", F.transform("phrase_ids", lambda x: x.cast("string"))).alias("phrase_ids"), "text", "empty")
 
 
@@ -355,7 +366,16 @@ def flag_objects(findings):
 
 @query("phrases")
 def best_overlap_region(phrases):
-    regions = phrases.where("phrase_id % 40 = 2").select("page", F.col("phrase_id").alias("region_id"), (F.col("phrase_id") % 3).alias("priority"), F.col("x0").alias("x0"), F.col("y0").alias("y0"), (F.col("x0") + 100).alias("x1"), (F.col("y0") + 30).alias("y1"))
+    return _best_overlap_region(phrases, phrases.where("phrase_id % 40 = 2"))
+
+
+@query("phrases")
+def best_overlap_region_whole(phrases):
+    return _best_overlap_region(phrases, phrases)
+
+
+def _best_overlap_region(phrases, some):
+    regions = some.select("page", F.col("phrase_id").alias("region_id"), (F.col("phrase_id") % 3).alias("priority"), F.col("x0").alias("x0"), F.col("y0").alias("y0"), (F.col("x0") + 100).alias("x1"), (F.col("y0") + 30).alias("y1"))
     return sections.best_region(phrases.withColumnRenamed("phrase_id", "line_id"), regions)
 
 
@@ -369,6 +389,11 @@ def grid_rows(tokens):
     return sections.grid_lines(tokens.where("page % 5 = 0"), F.col("x0"), 18.0)
 
 
+@query("tokens")
+def grid_rows_whole(tokens):
+    return sections.grid_lines(tokens, F.col("x0"), 18.0)
+
+
 @query("phrases")
 def polygon_corners(phrases):
     p = sections.crossing(F.col("x0"), F.lit(0.0), F.col("x0") + 10, F.lit(1000.0), F.lit(0.0), F.col("y0"), F.lit(720.0), F.col("y0") + 8)
@@ -531,7 +556,16 @@ def flag_page_filter(findings):
 
 @query("phrases")
 def box_hit_test(phrases):
-    points = phrases.where("phrase_id % 16 = 1").select("page", F.col("phrase_id").alias("point_id"), (F.col("x0") + 1).alias("px"), (F.col("y0") + 3).alias("py"))
+    return _box_hit_test(phrases, phrases.where("phrase_id % 16 = 1"))
+
+
+@query("phrases")
+def box_hit_test_whole(phrases):
+    return _box_hit_test(phrases, phrases)
+
+
+def _box_hit_test(phrases, some):
+    points = some.select("page", F.col("phrase_id").alias("point_id"), (F.col("x0") + 1).alias("px"), (F.col("y0") + 3).alias("py"))
     return export.hit_test(points, phrases.withColumnRenamed("phrase_id", "box_id"))
 
 
@@ -553,7 +587,7 @@ def lenient_page_lists(labels):
     return labels.select("id", F.concat_ws(",", F.transform(specs.lenient_pages(spec), lambda x: x.cast("string"))).alias("pages"))
 
 
-@query("row_pages")
+@query("row_pages", whole=("all_pages",))
 def page_spec_filter(pages):
     wanted = specs.page_frame(pages.sparkSession, specs.parse_pages("1-2,3,5-7,20-40"))
     return pages.join(F.broadcast(wanted), "page", "left_semi")
@@ -571,7 +605,7 @@ def recognised_tokens(lines):
     return out.select("page", "token_id", "line_id", "text", F.col("bbox.x0").alias("x0"), F.col("bbox.x1").alias("x1"))
 
 
-@query("row_pages")
+@query("row_pages", whole=("all_pages",))
 def page_union(pages):
     return documents.merge_pages(pages.where("page % 2 = 0"), pages.where("page % 3 = 0"))
 
@@ -666,12 +700,12 @@ def open_levels_at_end(rows):
     return row_ops.open_at_end(rows.select("table_id", "doc_pos", F.when(~F.col("attached"), F.col("rank")).alias("rank")))
 
 
-@query("row_pages")
+@query("row_pages", whole=("all_pages",))
 def type_gate_failures(pages):
     return row_ops.type_gate(sections.layout_spans(pages, _spans(pages)), "pap")[1]
 
 
-@query("row_pages")
+@query("row_pages", whole=("all_pages",))
 def pages_off_span(pages):
     return row_ops.span_split(pages, 13, 108)[1]
 
@@ -719,7 +753,16 @@ def money_or_year(tokens):
 
 @query("phrases")
 def cell_text_fill(phrases):
-    cells = phrases.where("phrase_id % 40 = 2").select("page", F.col("phrase_id").alias("cell_id"), "x0", "y0", (F.col("x0") + 90).alias("x1"), (F.col("y0") + 40).alias("y1"))
+    return _cell_text_fill(phrases, phrases.where("phrase_id % 40 = 2"))
+
+
+@query("phrases")
+def cell_text_fill_whole(phrases):
+    return _cell_text_fill(phrases, phrases)
+
+
+def _cell_text_fill(phrases, some):
+    cells = some.select("page", F.col("phrase_id").alias("cell_id"), "x0", "y0", (F.col("x0") + 90).alias("x1"), (F.col("y0") + 40).alias("y1"))
     return regions.cell_texts(cells, phrases.withColumnRenamed("phrase_id", "line_id"))
 
 

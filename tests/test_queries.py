@@ -46,6 +46,12 @@ def test_query(spark, duck, name):
 WHOLE = {
     "unit_tier_centres": [(" WHERE event_id % 50 = user_id % 50", "")],
     "table_of_page": [(" WHERE page % 50 = table_id", ""), ("page < 40 AND ", ""), (" WHERE page % 10 <> 7", "")],
+    "cell_grid": [(" WHERE b.page % 7 = 0", "")],
+    "grid_rows": [(" WHERE page % 5 = 0", "")],
+    "box_hit_test": [(" WHERE p.phrase_id % 16 = 1", "")],
+    "cell_text_fill": [(" WHERE phrase_id % 40 = 2", "")],
+    "best_overlap_region": [(" WHERE phrase_id % 40 = 2", "")],
+    **{n: [(" WHERE page % 10 <> 7", "")] for n in ("layout_span_lookup", "page_spec_filter", "page_union", "type_gate_failures", "pages_off_span")},
 }
 
 
