@@ -83,13 +83,15 @@ def _sums(values: np.ndarray, base: int, starts: np.ndarray, stops: np.ndarray)
 
 def shingled(texts: list[str], words: int = WORDS):
     """For a block of texts: 128-bit hashes of their word sequences, shingles of all, and where each text's start and stop."""
-    raw = np.frombuffer(("\0".join(t.lower() for t in texts) + "\0").encode("utf-8", "replace"), np.uint8)
+    encoded = [t.lower().encode("utf-8", "replace") + b"\0" for t in texts]
+    raw = np.frombuffer(b"".join(encoded), np.uint8)
     inside = np.zeros(raw.size + 2, bool)
     inside[1:-1] = _IS_WORD[raw]
     change = np.flatnonzero(inside[1:] != inside[:-1])
     starts, stops = change[0::2], change[1::2]
     hashes = _mix(_sums(_BYTE[raw], _BASES[0], starts, stops) + (stops - starts).astype(np.uint64))
-    ends = np.searchsorted(starts, np.flatnonzero(raw == 0))  # words before the end of each text
+    # Words before the end of each text, by its bytes: a text may hold zero bytes itself.
+    ends = np.searchsorted(starts, np.cumsum([len(e) for e in encoded]) - 1)
     begins = np.concatenate(([0], ends[:-1]))
     count = ends - begins
     sequence = np.stack([_mix(_sums(_mix(hashes + _PLACE[60 + i]), b, begins, ends) + count.astype(np.uint64)) for i, b in enumerate(_BASES)], 1) if len(hashes) else np.zeros((len(texts), 2), np.uint64)

@@ -274,6 +274,14 @@ def test_near_copies_of_odd_rows(documents):
     assert neardup.near_copies(documents([])).count() == 0 and neardup.first_of_each(documents([])).count() == 0
 
 
+def test_near_copies_of_texts_with_zero_characters(documents):
+    line = "one two three four five six seven eight nine ten"
+    given = list(enumerate([line, line.replace(" ", "\0"), "\0" + line + "\0\0", "\0", "\0\0", "a\0b c", "a b\0c", line[:-4], "other words"]))
+    out = neardup.near_copies(documents(given)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in out} == plain_links(given)
+    assert [r.doc_id for r in neardup.first_of_each(documents(given)).orderBy("doc_id").collect()] == [0, 3, 4, 5, 8]
+
+
 def test_prefixes_are_shortened_until_the_recall():
     d = neardup.depth_for(0.8)
     assert 1 - (1 - 0.8**d) ** neardup.TREES >= neardup.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** neardup.TREES
