@@ -71,9 +71,14 @@ def hit_test(points: DataFrame, boxes: DataFrame) -> DataFrame:
 
 
 def natural_key(text: Column) -> Column:
-    """A key that orders numbers in texts by value: digits are filled up to twelve places."""
+    """A key that orders numbers in texts by value: each is its count of digits, then its digits, without leading zeros."""
     parts = F.regexp_extract_all(F.lower(text), F.lit(r"\d+|\D+"), 0)
-    return F.concat_ws("", F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 12, "0")).otherwise(p)))
+
+    def sized(p: Column) -> Column:
+        digits = F.regexp_replace(p, "^0+", "")
+        return F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+
+    return F.concat_ws("", F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), sized(p)).otherwise(p)))
 
 
 def sorted_rows(rows: DataFrame, column: str, ascending: bool = True, tie: str = "row_index") -> DataFrame:

@@ -384,3 +384,10 @@ def test_scratch_is_swept(spark):
         paths.append(Path(scratch._given[-1]))
     scratch.sweep(spark, begun)
     assert [p.exists() for p in paths] == [False, False, True] and df.count() == 3
+
+
+def test_natural_order_of_long_numbers(spark):
+    texts = ["310101200007000", "310101200006999", "31010120000700", "a310101200007001", "310101200007001", "9", "010", "a9", "b2", "310101200007000" * 2, "310101200007000" * 2 + "1"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row_index bigint, code string")
+    out = [r.code for r in export.sorted_rows(rows, "code").orderBy("place").collect()]
+    assert out == ["9", "010", "31010120000700", "310101200006999", "310101200007000", "310101200007001", "310101200007000" * 2, "310101200007000" * 2 + "1", "a9", "a310101200007001", "b2"]
