@@ -1,10 +1,11 @@
-"""N-gram Jaccard join: a MinHash LSH forest for candidates, exact verification for links.
+"""N-gram Jaccard join: MinHash banding for candidates, exact verification for links.
 
 Texts become sequences of lower-case words (ASCII letters, digits and all characters beyond ASCII), and these
 sets of five-word shingles; texts with fewer words are one shingle. Texts of equal word sequences are one node.
-Each tree of the forest orders the nodes by a signature of MinHash values, so that nodes under one prefix are
-neighbours. Matched prefixes start at full depth and are shortened until two nodes at the threshold meet in
-some tree with the target probability. Neighbours whose whole signatures are four standard deviations below
+Each of the bands ("trees") holds a signature of MinHash values, and nodes with one hash of its first values are
+neighbours. How many values that takes is fixed for all nodes: the most with which two nodes at the threshold meet
+in some band with the target probability (five of eight). These are not the tries of an LSH forest: there are no
+sorted prefixes, and none is shortened for a group or node. Neighbours whose whole signatures are four standard deviations below
 the threshold are passed over; the others tie their nodes together, and the connected nodes are candidate
 clusters. All pairs inside a cluster are then verified exactly, on the whole shingle sets.
 
