@@ -1,21 +1,29 @@
-"""N-gram Jaccard join: MinHash banding for candidates, exact verification for links.
+"""N-gram Jaccard join: a MinHash LSH forest for candidates, exact verification for links.
 
 Texts become sequences of lower-case words (ASCII letters, digits and all characters beyond ASCII), and these
 sets of five-word shingles; texts with fewer words are one shingle. Texts of equal word sequences are one node.
-Each of the bands ("trees") holds a signature of MinHash values, and nodes with one hash of its first values are
-neighbours. How many values that takes is fixed for all nodes: the most with which two nodes at the threshold meet
-in some band with the target probability (five of eight). These are not the tries of an LSH forest: there are no
-sorted prefixes, and none is shortened for a group or node. Neighbours whose whole signatures are four standard deviations below
-the threshold are passed over; the others tie their nodes together, and the connected nodes are candidate
-clusters. All pairs inside a cluster are then verified exactly, on the whole shingle sets.
 
-Groups may be large: a crowded prefix and a large cluster are both cut into blocks, and a task takes two blocks.
-What tasks hand on is one row a node and block pair (its number of links, and a forest that ties what is linked), never
-the pairs. Components are found with alternating stars on written tables.
+The forest has TREES tries; a node's label in each is its DEPTH MinHash values there, and the labels of a trie are
+kept sorted, so that nodes with a common prefix stand together. Matching begins at whole labels and shortens the
+prefix by one value at a time. How far is decided for each node: until the modelled recall of the least similar
+link that a set of its size can have reaches the target (a set of three shingles has no link but to an equal set,
+and is done at full depth; large sets go up to the depth of the threshold itself). At each step only nodes that no
+longer prefix has tied yet are compared, by their whole signatures; those five standard deviations below the
+threshold are passed over. The connected nodes are candidate clusters, and all pairs inside a cluster are verified
+exactly, on the whole shingle sets.
+
+Crowded tries (many nodes under the shortest prefix) are cut into blocks. A first pass ties nodes inside blocks,
+each node being in one. In a second, nodes that are not in their trie's largest cluster yet visit its other
+blocks; so what is sent grows with the nodes of a trie of near copies, not with their square, and no pair of a trie
+goes unseen unless both are tied already. Counting the links inside a cluster does take all its pairs: a large cluster is cut into
+blocks, a task takes two, and hands on one row a node (its number of links, and a node it is tied to), never the pairs.
+Components are found with alternating stars on written tables. Their nodes are named by id and hash, in that order, so
+that the name of a component says its smallest doc_id, and nothing is joined on a component that may be large.
 
 Defined cases: a text that is null or has no word is linked to nothing; rows equal in id and text count as
 copies of each other's text like any others; a class is named by its smallest doc_id, null ids only if there
-are no others; an empty table gives no rows; other columns are not read, but kept by first_of_each().
+are no others; texts in different classes stay apart even if they share an id; an empty table gives no rows; other
+columns are not read, but kept by first_of_each().
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +44,11 @@ SIMILARITY = 0.8
 TREES = 20
 DEPTH = 8
 RECALL = 0.999
-#: Nodes of a crowded prefix, and nodes and shingles of a cluster, that a block holds. Blocks grow with their group
-#: up to the second number, so that a node goes to few block pairs.
-PREFIX_BLOCK = (256, 4096)
+#: Standard deviations by which the agreement of two signatures may lie below the threshold.
+DEVIATIONS = 5
+#: Nodes of a trie, and nodes and shingles of a cluster, that a block holds. A cluster's blocks grow with it up to
+#: the second number, so that a node goes to few block pairs.
+TRIE_BLOCK = 512
 CLUSTER_BLOCK = (256, 1024)
 SHINGLE_BLOCK = 400_000
 EDGES_PER_FILE = 50_000
@@ -53,13 +64,38 @@ _IS_WORD = np.zeros(256, bool)
 _IS_WORD[np.r_[48:58, 97:123, 128:256]] = True
 
 
-def depth_for(similarity: float, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """Prefixes are shortened from full depth until nodes of this similarity meet with the target probability."""
-    while depth > 1 and 1 - (1 - similarity**depth) ** trees < recall:
+def recall_at(similarity: float, depth: int) -> float:
+    """The probability that two nodes of this similarity have a common prefix of this length in some tree."""
+    return 1 - (1 - similarity**depth) ** TREES
+
+
+def depth_for(similarity: float, recall: float = RECALL) -> int:
+    """The prefix is shortened from the whole label until nodes of this similarity meet with the target probability."""
+    depth = DEPTH
+    while depth > 1 and recall_at(similarity, depth) < recall:
         depth -= 1
     return depth
 
 
+def least_link(n: int, similarity: float) -> float:
+    """The least similarity, not below the threshold, that a set of n shingles can have with any set."""
+    least = 1.0
+    for m in range(int(np.ceil(similarity * n - 1e-9)), int(n / similarity + 1e-9) + 1):
+        c = max(1, int(np.ceil(similarity * (n + m) / (1 + similarity) - 1e-9)))
+        if c <= min(n, m):
+            least = min(least, c / (n + m - c))
+    return least
+
+
+def node_depths(similarity: float, recall: float = RECALL) -> list[int]:
+    """Depths at which nodes of 0, 1, 2... shingles are done; the last holds for all larger sets.
+
+    From 1 / (1 - similarity) shingles squared on, the least link differs so little from the threshold that its depth is taken.
+    """
+    small = int(np.ceil((1 / max(1e-3, 1 - similarity)) ** 2)) + 1
+    return [DEPTH] + [depth_for(least_link(n, similarity), recall) for n in range(1, small)] + [depth_for(similarity, recall)]
+
+
 # ---- shingles and signatures -----------------------------------------------------------------------------
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -134,17 +170,14 @@ def _text_blocks(column, limit: int = _BLOCK_CHARS):
         yield first, block
 
 
-def _prefixes(sig: np.ndarray, depth: int) -> np.ndarray:
-    """For each tree a hash of it and the first values of its signature."""
-    sig = sig.reshape(-1, TREES, DEPTH).astype(np.uint64)
-    key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), sig.shape[:2]).copy()
-    for d in range(depth):
-        key = _mix(key * np.uint64(_BASES[1]) + sig[:, :, d])
-    return key.view(np.int64)
+def labels(sig: np.ndarray) -> np.ndarray:
+    """A byte for each MinHash value: the tries' labels side by side. Unlike values seldom share a byte, and
+    what they lead to is verified."""
+    return ((sig * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
 
 
-def _signed(words: int, depth: int):
-    """doc_id, text_key, node, n_shingles, prefixes, bits: the low bytes of the MinHash values are enough to compare them."""
+def _signed(words: int):
+    """doc_id, text_key, node, n_shingles, labels (DEPTH bytes a tree)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,17 +185,15 @@ def _signed(words: int, depth: int):
                 part = batch.slice(first, len(texts))
                 sequence, shingles, starts, stops = shingled(texts, words)
                 some = stops > starts
-                sig = signatures(shingles, starts, stops)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"],
                         part["text_key"],
                         pa.array([x.tobytes() if ok else None for x, ok in zip(sequence, some)], pa.binary()),
                         pa.array(stops - starts, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * TREES, pa.int32()), pa.array(_prefixes(sig, depth).ravel())),
-                        pa.array([x.tobytes() for x in sig.astype(np.uint8)], pa.binary()),
+                        pa.array([x.tobytes() for x in labels(signatures(shingles, starts, stops))], pa.binary()),
                     ],
-                    names=["doc_id", "text_key", "node", "n_shingles", "prefixes", "bits"],
+                    names=["doc_id", "text_key", "node", "n_shingles", "labels"],
                 )
             release_memory()
 
@@ -226,81 +257,168 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(changed), table.num_rows)
 
 
-def _ties(similarity: float):
-    """Node pairs that tie together the nodes of a prefix (or of two of its blocks) with near enough signatures."""
+def common_prefix(sorted_labels: np.ndarray) -> np.ndarray:
+    """For each row of sorted labels, how many leading bytes it shares with the row before; 0 for the first."""
+    out = np.zeros(len(sorted_labels), np.int64)
+    if len(out) > 1:
+        same = sorted_labels[1:] == sorted_labels[:-1]
+        out[1:] = np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
+    return out
+
+
+def trie_ties(group: np.ndarray, label: np.ndarray, done: np.ndarray, signature: np.ndarray, tied: np.ndarray, active: np.ndarray, visiting: np.ndarray, least: float, floor: int) -> tuple[list[int], list[int]]:
+    """Positions of node pairs that tie together what has a common prefix and near enough signatures.
+
+    Rows are sorted by group and label. The prefix is shortened from whole labels to floor; two nodes are compared where
+    their longest common prefix ends, if it isn't shorter than either node's depth (done), unless they are tied
+    already, neither is active, or both are visiting.
+    """
+    n = len(group)
+    forest = _Forest(n)
+    first: dict[int, int] = {}
+    for i, t in enumerate(tied.tolist()):
+        forest.union(i, first.setdefault(t, i))
+    find = lambda: np.array([forest.find(i) for i in range(n)], np.int64)
+    shared = common_prefix(label)
+    shared[1:][group[1:] != group[:-1]] = -1
+    shared[:1] = -1
+    root = find()
+    left, right = [], []
+    deeper = np.arange(n)  # the run of each row at the depth before
+    for depth in range(label.shape[1], floor - 1, -1):
+        run = np.cumsum(shared < depth) - 1
+        end = np.searchsorted(run, run, side="right")
+        i = np.flatnonzero(end - np.arange(n) > 1)
+        step = 0
+        while i.size:
+            step += 1
+            i = i[i + step < end[i]]
+            j = i + step
+            ask = (deeper[i] != deeper[j]) & (root[i] != root[j]) & (active[i] | active[j]) & ~(visiting[i] & visiting[j]) & (np.maximum(done[i], done[j]) <= depth)
+            x, y = i[ask], j[ask]
+            for a in range(0, len(x), 65_536):
+                p, q = x[a : a + 65_536], y[a : a + 65_536]
+                near = (signature[p] == signature[q]).sum(axis=1) >= least
+                for u, v in zip(p[near].tolist(), q[near].tolist()):
+                    if forest.union(u, v):
+                        left.append(u)
+                        right.append(v)
+            if step & (step - 1) == 0:
+                root = find()
+        root = find()
+        deeper = run
+    return left, right
+
+
+def _ties(similarity: float, floor: int):
+    """a, b: what trie_ties() finds in each block of a trie."""
     size = TREES * DEPTH
-    least = size * (similarity - 4 * (similarity * (1 - similarity) / size) ** 0.5)
-    keys = ["prefix", "low", "high"]
+    least = size * (similarity - DEVIATIONS * (similarity * (1 - similarity) / size) ** 0.5)
+    keys = ["trie", "block"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, keys):
             bounds = _bounds(table, keys)
-            sig = np.frombuffer(b"".join(table["bits"].to_pylist()), np.uint8).reshape(-1, size)
-            own = table["own"].to_numpy()
-            crossing = table["low"].to_numpy() != table["high"].to_numpy()
-            end = np.repeat(bounds[1:], np.diff(bounds))
-            forest = _Forest(table.num_rows)
-            label = np.arange(table.num_rows)
-            left, right = [], []
-            for step in range(1, int(np.diff(bounds).max(initial=1))):
-                i = np.flatnonzero(np.arange(table.num_rows) + step < end)
-                j = i + step
-                # Nodes that are tied already, and nodes of one block when two blocks meet, need no look.
-                ask = (label[i] != label[j]) & ~(crossing[i] & (own[i] == own[j]))
-                i, j = i[ask], j[ask]
-                for a in range(0, len(i), 65_536):
-                    x, y = i[a : a + 65_536], j[a : a + 65_536]
-                    near = (sig[x] == sig[y]).sum(axis=1) >= least
-                    for p, q in zip(x[near].tolist(), y[near].tolist()):
-                        if forest.union(p, q):
-                            left.append(p)
-                            right.append(q)
-                if step & (step - 1) == 0:
-                    label = np.array([forest.find(p) for p in range(table.num_rows)])
+            signature = np.frombuffer(b"".join(table["labels"].to_pylist()), np.uint8).reshape(-1, size)
+            tree = table["tree"].to_numpy()
+            label = np.take_along_axis(signature.reshape(-1, TREES, DEPTH), tree[:, None, None].astype(np.int64), 1)[:, 0]
+            group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+            # Clusters are told apart within a group; a node without one is its own.
+            cluster = pd.factorize(np.array(table["cluster"].to_pylist(), object))[0] * np.int64(len(bounds)) + group
+            left, right = trie_ties(group, label, table["done"].to_numpy(), signature, cluster, table["active"].to_numpy(zero_copy_only=False), table["visiting"].to_numpy(zero_copy_only=False), least, floor)
             nodes = table["node"].combine_chunks()
             yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left, pa.int64())), nodes.take(pa.array(right, pa.int64()))], names=["a", "b"])
 
     return run
 
 
+def _compared(rows: DataFrame, similarity: float) -> DataFrame:
+    """Ties of rows (trie, block, tree, node, labels, done, cluster, active, visiting), dealt by block and sorted by label."""
+    label = F.expr(f"substring(labels, tree * {DEPTH} + 1, {DEPTH})")
+    rows = rows.select("trie", "block", "tree", label.alias("label"), "node", "labels", "done", "cluster", "active", "visiting")
+    dealt = rows.repartition("trie", "block").sortWithinPartitions("trie", "block", "label", "node")
+    return dealt.mapInArrow(_ties(similarity, depth_for(similarity)), "a binary, b binary").distinct()
+
+
+def candidate_ties(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: pairs that connect all nodes that meet in the forest and whose signatures are near enough.
+
+    nodes: node, n_shingles, labels.
+    """
+    floor, depths = depth_for(similarity), node_depths(similarity)
+    done = F.element_at(F.array(*[F.lit(d) for d in depths]), F.least(F.col("n_shingles") + 1, F.lit(len(depths))).cast("int"))
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    prefix = F.expr(f"substring(labels, tree * {DEPTH} + 1, {floor})")
+    keyed = nodes.select("node", "labels", done.alias("done"), tree.alias("tree")).withColumn("trie", F.xxhash64("tree", prefix))
+    crowded = stage_table(keyed.groupBy("trie").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "forest-tries")
+    blocks = F.ceil(F.col("n") / TRIE_BLOCK)
+    own = F.pmod(F.xxhash64("node", "tree"), F.col("n_blocks"))
+    met = keyed.join(crowded, "trie").withColumn("n_blocks", blocks).withColumn("block", own)
+    inside = met.withColumns({"cluster": F.col("node"), "active": F.lit(True), "visiting": F.lit(False)})
+    first = stage_table(_compared(inside, similarity), "forest-ties")
+    if crowded.where(blocks > 1).isEmpty():
+        return first
+
+    # Crowded tries: whoever isn't in the largest cluster of its trie visits the blocks that are not its own.
+    known = components(first, "blocks")
+    large = crowded.where(blocks > 1)
+    placed = keyed.join(large, "trie").withColumn("n_blocks", blocks).withColumn("block", own).join(known, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
+    placed = stage_table(placed.select("trie", "tree", "node", "labels", "done", "n_blocks", "block", "cluster"), "forest-crowded")
+    shares = placed.groupBy("trie", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    largest = stage_table(shares.groupBy("trie").agg(F.max(F.struct("n", "cluster"))["cluster"].alias("largest"), F.count(F.lit(1)).alias("clusters")).where("clusters > 1"), "forest-largest")
+    rows = placed.join(largest, "trie").withColumn("active", F.col("cluster") != F.col("largest"))
+    host = rows.withColumn("visiting", F.lit(False))
+    other = F.explode(F.expr("filter(sequence(0, n_blocks - 1), b -> b <> block)"))
+    guest = rows.where("active").withColumn("at", other).withColumn("block", F.col("at")).drop("at").withColumn("visiting", F.lit(True))
+    return first.unionByName(_compared(host.unionByName(guest), similarity))
+
+
 def _blocks(n: Column, sizes: tuple[int, int]) -> Column:
-    """Into how many blocks a group of n nodes is cut."""
+    """Into how many blocks a cluster of n nodes is cut."""
     least, most = sizes
     return F.ceil(n / F.least(F.lit(most), F.greatest(F.lit(least), n / 8)))
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:
-    """Rows once for each pair of the n_blocks of their group that they belong to: own, low, high."""
+    """Rows once for each pair of the n_blocks of their cluster that they belong to: own, low, high."""
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     return rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
 
 
-def candidate_ties(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """a, b: pairs that connect all nodes that meet in the forest and whose signatures are near enough.
-
-    nodes: node, prefixes (one a tree), bits.
-    """
-    keyed = nodes.select("node", F.explode("prefixes").alias("prefix"))
-    crowded = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = keyed.join(crowded, "prefix").join(nodes.select("node", "bits"), "node")
-    rows = _block_pairs(met.withColumn("n_blocks", _blocks(F.col("n"), PREFIX_BLOCK).cast("int"))).select("prefix", "low", "high", "own", "node", "bits")
-    dealt = rows.repartition("prefix", "low", "high").sortWithinPartitions("prefix", "low", "high", "node")
-    return dealt.mapInArrow(_ties(similarity), "a binary, b binary").distinct()
+# ---- components ------------------------------------------------------------------------------------------
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's edges as stars: each node of a connected part tied to the least one. A task has a file's share of edges."""
+    table = pa.Table.from_batches(list(batches), pa.schema([("u", pa.binary()), ("v", pa.binary())]))
+    both = pa.concat_arrays([c for n in ("u", "v") for c in table[n].chunks]) if table.num_rows else pa.array([], pa.binary())
+    names = pa.array(sorted(both.unique().to_pylist()), pa.binary())
+    at = pa.compute.index_in(both, names).to_numpy()
+    forest = _Forest(len(names))
+    for i, j in zip(at[: table.num_rows].tolist(), at[table.num_rows :].tolist()):
+        forest.union(i, j)  # the least is the root
+    root = np.array([forest.find(i) for i in range(len(names))], np.int64)
+    away = np.flatnonzero(root != np.arange(len(names)))
+    yield pa.RecordBatch.from_arrays([names.take(pa.array(away)), names.take(pa.array(root[away]))], names=["u", "v"])
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges (u, v) are stars: no u has two v or is itself a v."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
-# ---- components ------------------------------------------------------------------------------------------
 def components(edges: DataFrame, name: str) -> DataFrame:
     """node, component (its least node) of all nodes with an edge, by alternating stars.
 
-    A large star ties the greater neighbours of a node to its least one; a small star does so with the lesser
-    neighbours. Each round is written, so a lost executor costs a reread.
+    Every task first makes stars of the edges it holds. A large star then ties the greater neighbours of a node to its least
+    one, and a small star does so with the lesser neighbours, until only stars are left. Each round is written, so a lost
+    executor costs a reread.
     """
-    edges = stage_table(edges.select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).where("u <> v").distinct(), f"{name}-edges")
+    edges = stage_table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), f"{name}-edges")
     # Tables of few edges in few files: a round is several small jobs, whose tasks would else cost more than their rows.
-    files = max(8, edges.count() // EDGES_PER_FILE)
-    before = None
-    while True:
+    files = max(1, edges.count() // EDGES_PER_FILE)
+    edges = stage_table(edges.repartition(files).mapInArrow(_contracted, "u binary, v binary"), f"{name}-edges")
+    while not _settled(edges):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Least neighbours are written before they are joined, so that a join is of two plain shuffles and the
         # many edges of a hub can be split.
@@ -311,10 +429,6 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         tied = large.join(least, "u")
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = stage_table(small.coalesce(files), f"{name}-edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
@@ -405,6 +519,21 @@ def _links(similarity: float):
 
 
 # ---- the join --------------------------------------------------------------------------------------------
+_SIGN = -(1 << 63)
+
+
+def _named(doc_id: Column, node: Column) -> Column:
+    """A node's name: bytes that sort by id, null last, and then by node."""
+    number = F.unhex(F.lpad(F.hex(doc_id.bitwiseXOR(F.lit(_SIGN).cast("bigint"))), 16, "0"))
+    return F.when(doc_id.isNull(), F.concat(F.unhex(F.lit("FF" + "0" * 16)), node)).otherwise(F.concat(F.unhex(F.lit("00")), number, node))
+
+
+def _id_of(name: Column) -> Column:
+    """The id in a name."""
+    number = F.conv(F.hex(F.substring(name, 2, 8)), 16, -10).cast("bigint").bitwiseXOR(F.lit(_SIGN).cast("bigint"))
+    return F.when(F.substring(name, 1, 1) == F.unhex(F.lit("00")), number)
+
+
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its connected group), n_links (documents at
     least this similar, copies included)."""
@@ -412,33 +541,30 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
 
 def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """doc_id, text_key, class_id, n_links of every row, and whether it speaks for its class (stays)."""
     bound_batches(docs.sparkSession)
     text_key = F.xxhash64("text")
     signed = stage_table(
-        docs.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(
-            _signed(words, depth_for(similarity)), "doc_id bigint, text_key bigint, node binary, n_shingles bigint, prefixes array<bigint>, bits binary"
-        ),
+        docs.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(_signed(words), "doc_id bigint, text_key bigint, node binary, n_shingles bigint, labels binary"),
         "forest-signatures",
     )
     # Copies are merged where they are read; one of a node's rows speaks for it.
     with_id = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_key")
+    reps = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(with_id).alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles"))
     reps = stage_table(
-        signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(with_id).alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles")).select(
-            "node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"), "copies", "n_shingles"
-        ),
-        "forest-nodes",
+        reps.select("node", _named(F.col("rep.doc_id"), F.col("node")).alias("name"), F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"), "copies", "n_shingles"), "forest-nodes"
     )
     speaks = signed["doc_id"].eqNullSafe(reps["rep_id"]) & (signed["text_key"] == reps["rep_key"]) & (signed["node"] == reps["node"])
-    chosen = stage_table(signed.join(reps.hint("merge"), speaks, "left_semi").select("node", "prefixes", "bits"), "forest-chosen")
-    clusters = stage_table(components(candidate_ties(chosen, similarity), "candidates"), "forest-clusters")
+    chosen = signed.join(reps.hint("merge"), speaks, "left_semi").select("node", "n_shingles", "labels")
+    # Rows equal in id and text are alike here.
+    chosen = stage_table(chosen.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels")), "forest-chosen")
+    clusters = components(candidate_ties(chosen, similarity), "candidates")
 
     # Exact verification inside the clusters.
-    sizes = clusters.join(reps, "node").groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"))
+    inside = stage_table(clusters.join(reps, "node"), "forest-clusters")
+    sizes = stage_table(inside.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")), "forest-sizes")
     blocks = F.greatest(_blocks(F.col("n"), CLUSTER_BLOCK), F.ceil(F.col("weight") / SHINGLE_BLOCK)).cast("int")
-    members = stage_table(
-        clusters.join(reps, "node").join(sizes, "component").select("node", F.xxhash64("component").alias("cluster"), blocks.alias("n_blocks"), "rep_id", "rep_key", "copies"),
-        "forest-members",
-    )
+    members = stage_table(inside.join(sizes, "component").select(F.col("name").alias("node"), F.xxhash64("component").alias("cluster"), blocks.alias("n_blocks"), "rep_id", "rep_key", "copies"), "forest-members")
     texts = docs.select("doc_id", text_key.alias("text_key"), "text")
     sets = (
         texts.join(members.hint("merge"), texts["doc_id"].eqNullSafe(members["rep_id"]) & (texts["text_key"] == members["rep_key"]))
@@ -449,25 +575,34 @@ def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     dealt = rows.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "node")
     links = stage_table(dealt.mapInArrow(_links(similarity), "node binary, links bigint, tie binary"), "forest-links")
     groups = components(links.select(F.col("node").alias("a"), F.col("tie").alias("b")), "links")
-    named = groups.join(reps, "node").groupBy("component").agg(F.min("rep_id").alias("class_id"))
+    counted = links.groupBy("node").agg(F.sum("links").alias("links"))
+    name = reps["name"]
+    root = F.coalesce("component", name)
     found = stage_table(
-        reps.select("node", "rep_id", "copies")
-        .join(groups, "node", "left")
-        .join(named, "component", "left")
-        .join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
-        .select("node", F.when(F.col("component").isNull(), F.col("rep_id")).otherwise(F.col("class_id")).alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
+        reps.join(groups.withColumnRenamed("node", "name"), "name", "left")
+        .join(counted.withColumnRenamed("node", "name"), "name", "left")
+        .select("node", _id_of(root).alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "rep_id", "rep_key", (root == name).alias("heads")),
         "forest-classes",
     )
     out = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
     alone = F.col("node").isNull()
+    speaker = F.col("heads") & F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key"))
     return out.select(
-        "doc_id", "text_key", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links")
+        "doc_id",
+        "text_key",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+        (alone | speaker).alias("stays"),
     )
 
 
 def first_of_each(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs without those that are linked to a document of smaller id in their group: one of each group stays."""
-    stays = _classed(docs, words, similarity).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
+    """The rows of docs without those that are linked to another of their group that stays: one of each group does.
+
+    That is the row with the smallest id, and of these the one with the smallest hash of its text. Rows equal in id and
+    text are one; where their other columns differ, the row with the smallest hash of all its columns stands for them.
+    """
+    stays = _classed(docs, words, similarity).where("stays").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_key"))
     kept = rows.join(stays, rows["row_id"].eqNullSafe(stays["kept_id"]) & (rows["row_key"] == stays["kept_key"]), "left_semi")
-    return kept.dropDuplicates(["row_id", "row_key"]).select("d.*")
+    return kept.groupBy("row_id", "row_key").agg(F.min_by("d", F.xxhash64("d")).alias("d")).select("d.*")

@@ -259,7 +259,7 @@ def test_near_copies(documents, monkeypatch):
     passage = " ".join(rng.choice(vocabulary) for _ in range(60))
     docs += [passage + " " + " ".join(rng.choice(vocabulary) for _ in range(70)) for _ in range(60)]
     docs = list(enumerate(docs + ["", None, "one two", "One, two"]))
-    monkeypatch.setattr(neardup, "PREFIX_BLOCK", (16, 32))  # so that the large group is cut into blocks
+    monkeypatch.setattr(neardup, "TRIE_BLOCK", 16)  # so that the large group is cut into blocks
     monkeypatch.setattr(neardup, "CLUSTER_BLOCK", (16, 32))
     df = documents(docs, extra=True)
     out = {r.doc_id: (r.class_id, r.n_links) for r in neardup.near_copies(df).collect()}
@@ -284,7 +284,93 @@ def test_near_copies_of_texts_with_zero_characters(documents):
 
 def test_prefixes_are_shortened_until_the_recall():
     d = neardup.depth_for(0.8)
-    assert 1 - (1 - 0.8**d) ** neardup.TREES >= neardup.RECALL > 1 - (1 - 0.8 ** (d + 1)) ** neardup.TREES
+    assert neardup.recall_at(0.8, d) >= neardup.RECALL > neardup.recall_at(0.8, d + 1)
+    depths = neardup.node_depths(0.8)
+    assert depths[:4] == [8, 8, 8, 8] and depths[-1] == d and min(depths) == d
+    for n in range(1, len(depths) + 20):  # no link that a set of n shingles can have is likelier to be missed
+        reach = [c / (n + m - c) for m in range(1, 2 * n + 2) for c in range(1, min(n, m) + 1)]
+        least = min(x for x in reach if x >= 0.8 - 1e-9)
+        assert neardup.least_link(n, 0.8) == pytest.approx(least)
+        assert neardup.recall_at(least, depths[min(n, len(depths) - 1)]) >= neardup.RECALL
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 10**6))
+def test_tries_tie_what_meets(seed):
+    """Connected as by all pairs whose common prefix is long enough, with near signatures, in blocks and between visitors."""
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(0, 24))
+    group = np.sort(rng.integers(0, 2, n))
+    label = rng.integers(0, 2, (n, 4)).astype(np.uint8)
+    order = np.lexsort((*label.T[::-1], group))
+    label = label[order]
+    done = rng.integers(2, 5, n)
+    signature = rng.integers(0, 3, (n, 6)).astype(np.uint8)
+    tied, active, visiting = rng.integers(0, max(1, n), n) + 100 * group, rng.random(n) < 0.6, rng.random(n) < 0.3
+
+    def names(pairs):
+        up = list(range(n))
+        for i, j in pairs:
+            a, b = i, j
+            while up[a] != a:
+                a = up[a]
+            while up[b] != b:
+                b = up[b]
+            up[max(a, b)] = min(a, b)
+        out = []
+        for i in range(n):
+            while up[i] != i:
+                i = up[i]
+            out.append(i)
+        return out
+
+    shared = lambda i, j: next((k for k in range(4) if label[i, k] != label[j, k]), 4)
+    known = [(i, j) for i in range(n) for j in range(i) if tied[i] == tied[j]]
+    want = [
+        (i, j) for i in range(n) for j in range(i)
+        if group[i] == group[j] and shared(i, j) >= max(2, done[i], done[j]) and (signature[i] == signature[j]).sum() >= 3 and (active[i] or active[j]) and not (visiting[i] and visiting[j])
+    ]
+    left, right = neardup.trie_ties(group, label, done, signature, tied, active, visiting, 3, 2)
+    assert set(zip(left, right)) <= {p for i, j in want for p in ((i, j), (j, i))}
+    assert names([*known, *zip(left, right)]) == names([*known, *want])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.binary(min_size=1, max_size=1), st.binary(min_size=1, max_size=1)), max_size=40))
+def test_a_task_contracts_its_edges_to_stars(edges):
+    import pyarrow as pa
+
+    u, v = [max(e) for e in edges if e[0] != e[1]], [min(e) for e in edges if e[0] != e[1]]
+    out = next(neardup._contracted(iter([pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])]))).to_pylist()
+    root = {r["u"]: r["v"] for r in out}
+    assert len(root) == len(out) and not set(root) & set(root.values())
+    parts = {x: {x} for x in (*u, *v)}
+    for a, b in zip(u, v):
+        if parts[a] is not parts[b]:
+            parts[a] |= parts[b]
+            for x in parts[b]:
+                parts[x] = parts[a]
+    assert {x: root.get(x, x) for x in parts} == {x: min(p) for x, p in parts.items()}
+
+
+def test_names_sort_by_id(spark):
+    ids = [None, 0, -1, 5, 2**63 - 1, -(2**63), 300, 17]
+    df = spark.createDataFrame([(i,) for i in ids], "i bigint").select("i", neardup._named(F.col("i"), F.lit(b"ab").cast("binary")).alias("name"))
+    rows = df.select("i", "name", neardup._id_of(F.col("name")).alias("back")).orderBy("name").collect()
+    assert [r.i for r in rows] == [*sorted(i for i in ids if i is not None), None] and all(r.i == r.back for r in rows)
+
+
+def test_one_of_each_group_stays_whatever_the_ids(documents):
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    given = [(7, line), (7, line + " sixteen"), (7, line + " sixteen seventeen"), (None, "x " + line), (8, "quite another text"), (8, "and a third one")]
+    kept = neardup.first_of_each(documents(given)).collect()
+    assert sorted(r.doc_id for r in kept) == [7, 8, 8]
+    kept = neardup.first_of_each(documents([(None, t) for _, t in given[:4]])).collect()
+    assert len(kept) == 1 and kept[0].doc_id is None
+    # Rows equal in id and text, not in other columns: always the same one stays.
+    rows = [(1, line, lang, "s") for lang in ("en", "de", "fr", None)]
+    stays = {tuple(neardup.first_of_each(documents(rows[i:] + rows[:i])).collect()[0]) for i in range(3)}
+    assert len(stays) == 1
 
 
 @settings(max_examples=40, deadline=None)
