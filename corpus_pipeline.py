@@ -51,10 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. What a stage needed on its way goes when its documents are written."""
-    docs = read_table(spark, sf_dir, "documents")
-    begun = scratch.mark()
+    """The last stage's rows. What a stage needed on its way goes when its documents are written, and these when the next one's are."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        scratch.sweep(spark, begun)
+        path = scratch.scratch_path(spark, f"pipeline-{name}")
+        with scratch.job(spark):
+            docs = stage_table(stage(spark, docs, sf_dir), name, path)
+        if before:
+            scratch.drop(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

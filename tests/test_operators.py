@@ -371,19 +371,34 @@ def test_continuations_and_subtotals(spark):
     assert {r.subtotal_id: r.parent_id for r in found.collect()} == {"s": "b", "t": None}
 
 
-def test_scratch_is_swept(spark):
-    from pathlib import Path
+def test_scratch_of_a_job_goes_with_it(spark):
+    from gridledger.sources import scratch
+
+    outer = scratch.stage_table(spark.range(3), "outer")
+    path = scratch.scratch_path(spark, "kept")
+    with scratch.job(spark):
+        inner = scratch.scratch_path(spark, "inner")
+        kept = scratch.stage_table(scratch.stage_table(outer, "inner", inner), "kept", path)
+        with scratch.job(spark):
+            deeper = scratch.scratch_path(spark, "deeper")
+            scratch.stage_table(spark.range(2), "deeper", deeper)
+        assert scratch.exists(spark, inner) and not scratch.exists(spark, deeper)
+    assert not scratch.exists(spark, inner) and kept.count() == 3 and outer.count() == 3
+    scratch.drop(spark, path)
+    assert not scratch.exists(spark, path)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
 
     from gridledger.sources import scratch
 
-    begun = scratch.mark()
-    paths = []
-    df = spark.range(3)
-    for _ in range(3):
-        df = scratch.stage_table(df, "swept")
-        paths.append(Path(scratch._given[-1]))
-    scratch.sweep(spark, begun)
-    assert [p.exists() for p in paths] == [False, False, True] and df.count() == 3
+    session = lambda master, folder: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=SimpleNamespace(master=master, applicationId="a"))
+    assert scratch.scratch_dir(session("spark://x:7077", "hdfs://y/z/")) == "hdfs://y/z"
+    assert scratch.scratch_dir(session("local[8]", None)).endswith("gridledger-a")
+    for master in ("spark://x:7077", "yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError):
+            scratch.scratch_dir(session(master, None))
 
 
 def test_natural_order_of_long_numbers(spark):
