@@ -9,19 +9,19 @@ at even steps through the whole text), collected to the driver. For prediction t
 into tables of byte pairs, so a position costs two row lookups.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, as is every text if nothing could
-be learned; a single language is always predicted; a null doc_id is never learned from and not held out;
+be learned; documents whose lang is `und` teach nothing; a single language is always predicted; a null doc_id is never learned from and not held out;
 every row, repeated ones too, gives one row; an empty table gives no rows; other columns are not read, but
 kept by accepted().
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +35,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 EMBEDDING = 8
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is of the Unicode categories Lu, Ll, Lt, Lm and Lo; numerals such as Ⅷ, ² and ① are none.
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -163,7 +164,7 @@ def learn(docs: DataFrame, documents_per_language: int = 1500, windows_per_docum
     a document; a document is chosen by a hash of its id.
     """
     bound_batches(docs.sparkSession)
-    may = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
+    may = docs.where((F.col("lang") != UNKNOWN) & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     counts = {r["lang"]: r["n"] for r in may.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
