@@ -1,4 +1,4 @@
-"""Shared helpers of the training-data operators: scratch tables, deterministic range buckets, prefix sums."""
+"""Shared helpers of the training-data operators."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridledger.sources.scratch import scratch_dir, scratch_path, stage_table
 
-__all__ = ["bound_batches", "bucket_of", "buckets_for", "clean_text", "range_bounds", "read_table", "release_memory", "scratch_dir", "scratch_path", "stage_table"]
+__all__ = ["bound_batches", "buckets_for", "clean_text", "read_table", "release_memory", "scratch_dir", "scratch_path", "stage_table"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,30 +37,6 @@ def clean_text(column: str | Column = "text") -> Column:
     return F.coalesce(col, F.lit(""))
 
 
-def range_bounds(df: DataFrame, key: str, buckets: int) -> list[int]:
-    """At most buckets - 1 ascending cut points of an integer key, from the quantiles of all its rows.
-
-    Quantile summaries stay small whatever the rows, so the driver gets a list bounded by `buckets`.
-    """
-    fractions = [i / buckets for i in range(1, buckets)]
-    if not fractions:
-        return []
-    row = df.agg(F.percentile_approx(F.col(key), fractions, F.lit(max(10_000, 20 * buckets))).alias("b")).first()
-    return sorted(set(row["b"] or []))
-
-
-def bucket_of(key: Column, bounds: list[int]) -> Column:
-    """Ordinal of the range that holds key: how many bounds are <= key, as a balanced tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds)).cast("int")
-
-
-def buckets_for(rows: int, rows_per_bucket: int = 20_000, least: int = 128, most: int = 1024) -> int:
-    """A number of range buckets in proportion to the rows, like a number of shuffle partitions."""
-    return int(min(most, max(least, -(-rows // rows_per_bucket))))
+def buckets_for(rows: int, rows_per_bucket: int = 20_000, least: int = 64) -> int:
+    """A number of range buckets in proportion to the rows."""
+    return max(least, -(-rows // rows_per_bucket))

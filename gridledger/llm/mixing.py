@@ -11,7 +11,7 @@ tail, and its last block is cut at its target: each source's words are its targe
 
 Defined cases: a null text has no words and is never taken; a null source is a source of its own, the last;
 documents of equal id are ordered by size, and equal rows are interchangeable; a null id takes part like any
-other; an empty table gives no rows; other columns are not read by mix() and kept by mixed_documents().
+other, in an order given by its text; an empty table gives no rows; other columns are not read by mix() and kept by mixed_documents().
 The sources and their weights are settings of a mix, so their list is held by the driver.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -106,7 +107,7 @@ class Plan:
     def ends(self) -> list[int]:
         slots = self.slots
         total = max(1, sum(slots))
-        return [TURN * sum(slots[: i + 1]) // total for i in range(len(slots))]
+        return [TURN * so_far // total for so_far in accumulate(slots)]
 
 
 def schedule(spark: SparkSession, plan: Plan) -> DataFrame:
@@ -119,7 +120,7 @@ def schedule(spark: SparkSession, plan: Plan) -> DataFrame:
     tail = [(n + i, s, r) for i, (s, r) in enumerate(lacking)]
     schema = "slot bigint, source_no int, rank bigint"
     starts = spark.range(0, n, SLOTS_PER_TASK).withColumnRenamed("id", "first")
-    body = starts.repartition(max(1, min(4096, -(-n // SLOTS_PER_TASK)))).mapInPandas(_slots(n, ends), schema)
+    body = starts.repartition(max(1, -(-n // SLOTS_PER_TASK))).mapInPandas(_slots(n, ends), schema)
     taken = body.unionByName(spark.createDataFrame(tail, schema)) if tail else body
     facts = spark.createDataFrame(list(zip(range(len(slots)), plan.sizes, plan.goals, blocks, slots)), "source_no int, size_of bigint, goal bigint, n_blocks bigint, n_slots bigint")
     epoch, block = F.expr("rank div n_blocks"), F.expr("rank % n_blocks")
@@ -167,7 +168,7 @@ def _taken(docs: DataFrame, weights: Sequence[float], share: float, most: float,
             "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             F.xxhash64("text").alias("text_key"),
-            F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("shuffle"),
+            F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.coalesce("text", F.lit("")))))).alias("shuffle"),
         ),
         "mix-sizes",
     )
@@ -183,7 +184,7 @@ def _taken(docs: DataFrame, weights: Sequence[float], share: float, most: float,
     facts = spark.createDataFrame([(x["source"], x["source_no"]) for x in sources], "source string, source_no int")
     buckets = buckets_for(sum(r["rows"] for r in named))
     numbered = sized.join(_small(facts, len(sources)), sized["source"].eqNullSafe(facts["source"])).select(
-        "source_no", "doc_id", "text_key", "size", "shuffle", F.expr(f"cast(conv(substr(shuffle, 1, 6), 16, 10) as bigint) * {buckets} div 16777216").cast("int").alias("bucket")
+        "source_no", "doc_id", "text_key", "size", "shuffle", F.expr(f"cast(conv(substr(shuffle, 1, 8), 16, 10) as bigint) * {buckets} div 4294967296").cast("int").alias("bucket")
     )
     totals = numbered.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,7 @@
 MIXING = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS shuffle
+         md5('mix:' || coalesce(doc_id::VARCHAR, 'null:' || coalesce(text, ''))) AS shuffle
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM sized GROUP BY source

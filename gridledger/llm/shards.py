@@ -1,9 +1,9 @@
 """Balanced contiguous shards from global byte-size prefix sums. DataFrame operations only.
 
-Rows are ordered by document id. Per-bucket totals of an ordered range partitioning are summed over the
-few buckets, each bucket adds its own running sums, and the global prefix is cut at equal byte targets. No
-task sees more than one bucket, and the text itself is never shuffled: it is reduced to its size and
-checksum in the scan.
+Rows are ordered by document id. Per-bucket totals of an ordered range partitioning, whose buckets grow in number
+with the rows, are summed over the buckets, each bucket adds its own running sums, and the global prefix is cut
+at equal byte targets. No task sees more than one bucket, and the text itself is never shuffled: it is reduced to its
+size and checksum in the scan.
 
 Defined cases: a null text counts no bytes and has the checksum of the empty text; rows without an id come
 last, ordered by checksum and size; repeated ids are ordered by checksum and size, and fully equal rows are
@@ -15,10 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import bucket_of, buckets_for, range_bounds, stage_table
-
-#: Range buckets given to rows without an id, dealt by checksum.
-NULL_BUCKETS = 64
+from gridledger.llm.common import buckets_for, stage_table
 
 
 def byte_shards(docs: DataFrame, n_shards: int = 40, row_overhead: int = 16) -> DataFrame:
@@ -35,11 +32,10 @@ def byte_shards(docs: DataFrame, n_shards: int = 40, row_overhead: int = 16) ->
         ),
         "shard-sizes",
     )
-    bounds = range_bounds(sized, "doc_id", buckets_for(sized.count()))
-    null_bucket = F.lit(len(bounds) + 1) + F.pmod("text_crc32", F.lit(NULL_BUCKETS)).cast("int")
-    placed = sized.withColumn("bucket", F.when(F.col("doc_id").isNull(), null_bucket).otherwise(bucket_of(F.col("doc_id"), bounds)))
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_crc32"), F.col("size")]
+    placed = stage_table(sized.repartitionByRange(buckets_for(sized.count()), *order).withColumn("bucket", F.spark_partition_id()), "shard-buckets")
 
-    # Totals of the buckets: as many rows as buckets, which buckets_for() bounds.
+    # Totals of the buckets: one row for 20,000 of the table.
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("bucket").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     bases = totals.select(
@@ -48,12 +44,12 @@ def byte_shards(docs: DataFrame, n_shards: int = 40, row_overhead: int = 16) ->
         F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"),
         F.sum("bytes").over(Window.partitionBy()).alias("all_bytes"),
     )
-    inside = Window.partitionBy("bucket").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("bucket").orderBy(*order)
     ranked = placed.select(
         "*",
         (F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("bytes_inside"),
         (F.row_number().over(inside) - 1).alias("rows_inside"),
-    ).join(F.broadcast(bases), "bucket")
+    ).join(bases, "bucket")
     middle = (F.col("bytes_before") + F.col("bytes_inside")) * 2 + F.col("size")
     cut = stage_table(
         ranked.select(

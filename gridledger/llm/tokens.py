@@ -25,14 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import bound_batches, bucket_of, buckets_for, clean_text, range_bounds, release_memory, scratch_path
+from gridledger.llm.common import bound_batches, buckets_for, clean_text, release_memory, scratch_path
 from gridledger.llm.encoder import default_vocabulary, encoder
 
 #: Bits between two entries of a rank directory.
 RANK_BLOCK = 512
 #: A segment is closed by the document that reaches this many ids.
 SEGMENT_IDS = 1 << 19
-NULL_RANGES = 64
 
 _LEVELS = "array<struct<chunks:binary,bitmap:binary,ranks:binary>>"
 _SEGMENT = f"range int, segment int, n_ids bigint, doc_ids array<bigint>, doc_ends array<bigint>, levels {_LEVELS}"
@@ -86,23 +85,13 @@ def dac_access(levels: list[dict[str, bytes]], i: int) -> int:
 
 
 # ---- writing ---------------------------------------------------------------------------------------------
-def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, rows_per_range: int = 2_000) -> str:
+def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, rows_per_range: int = 50_000) -> str:
     """Encodes every whole text, appends end_id, and writes the segments in ascending doc_id order."""
     bound_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
-    ids = docs.select("doc_id")
-    bounds = range_bounds(ids, "doc_id", buckets_for(ids.count(), rows_per_range, least=64, most=4096))
-    text = clean_text()
-    no_id = F.lit(len(bounds) + 1) + F.pmod(F.xxhash64(text), F.lit(NULL_RANGES)).cast("int")
-    dealt = (
-        docs.select(
-            F.when(F.col("doc_id").isNull(), no_id).otherwise(bucket_of(F.col("doc_id"), bounds)).alias("range"),
-            "doc_id",
-            text.alias("text"),
-        )
-        .repartition("range")
-        .sortWithinPartitions("range", "doc_id", F.xxhash64("text"))
-    )
+    rows = docs.select("doc_id", clean_text().alias("text"))
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")]
+    dealt = rows.repartitionByRange(buckets_for(docs.count(), rows_per_range), *order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("range"), "doc_id", "text")
     dealt.mapInArrow(_segments(vocabulary, end_id), _SEGMENT).write.partitionBy("range").option("compression", "uncompressed").parquet(path)
     return path
 
@@ -154,9 +143,9 @@ def segment_starts(segments: DataFrame) -> DataFrame:
     inside = Window.partitionBy("range").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = segments.select("range", "segment", "n_ids")
-    # As many rows as ranges, which write_token_files() bounds.
+    # As many rows as ranges: one for 50,000 documents.
     totals = sizes.groupBy("range").agg(F.sum("n_ids").alias("ids")).select("range", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("range_start"))
-    return sizes.select("range", "segment", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inside")).join(F.broadcast(totals), "range").select(
+    return sizes.select("range", "segment", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inside")).join(totals, "range").select(
         "range", "segment", (F.col("range_start") + F.col("inside")).alias("first_id")
     )
 
@@ -191,6 +180,33 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return documents.join(segment_starts(segments), ["range", "segment"]).select("doc_id", (F.col("first_id") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def _addressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        positions, ids = [], []
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            positions += [row["first_id"] + k for k in row["inside"]]
+            ids += [dac_access(row["levels"], k) for k in row["inside"]]
+        yield pa.RecordBatch.from_arrays([pa.array(positions, pa.int64()), pa.array(ids, pa.int64())], names=["position", "id"])
+
+
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """position, id of tokens anywhere in the files, each read from its place in its segment; positions: position bigint.
+
+    Positions and segments meet in stretches of SEGMENT_IDS ids, of which a segment covers two or three, and a long document's
+    more. Positions that the files don't have, and null ones, give no row; a repeated position gives one.
+    """
+    segments = read_segments(spark, path)
+    places = segment_starts(segments).join(segments.select("range", "segment", "n_ids"), ["range", "segment"]).where("n_ids > 0")
+    spans = places.withColumn("stretch", F.explode(F.expr(f"sequence(first_id div {SEGMENT_IDS}, (first_id + n_ids - 1) div {SEGMENT_IDS})")))
+    asked = positions.select(F.col("position").cast("bigint").alias("position")).where("position >= 0").distinct().withColumn("stretch", F.expr(f"position div {SEGMENT_IDS}"))
+    found = asked.join(spans, "stretch").where("position >= first_id and position < first_id + n_ids")
+    # A segment's positions go to it in rows of bounded length.
+    by_segment = found.withColumn("part", F.expr("(position - first_id) div 65536")).groupBy("range", "segment", "first_id", "part").agg(F.collect_list(F.col("position") - F.col("first_id")).alias("inside"))
+    rows = by_segment.join(segments.select("range", "segment", "levels"), ["range", "segment"]).select("first_id", "inside", "levels")
+    return rows.mapInArrow(_addressed, "position bigint, id bigint")
+
+
 def token_files(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """Writes the files to the shared folder and reads every document's row back from them."""
     spark = docs.sparkSession
