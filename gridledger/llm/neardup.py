@@ -37,7 +37,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridledger.llm.common import bound_batches, release_memory, stage_table
+from gridledger.llm.common import bound_batches, release_memory, scratch_path, stage_table
+from gridledger.sources.scratch import drop, job
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -349,11 +350,13 @@ def candidate_ties(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFram
     done = F.element_at(F.array(*[F.lit(d) for d in depths]), F.least(F.col("n_shingles") + 1, F.lit(len(depths))).cast("int"))
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     prefix = F.expr(f"substring(labels, tree * {DEPTH} + 1, {floor})")
-    keyed = nodes.select("node", "labels", done.alias("done"), tree.alias("tree")).withColumn("trie", F.xxhash64("tree", prefix))
+    # What goes to the tries is short; the labels join those that meet someone there.
+    keyed = nodes.select("node", "labels", tree.alias("tree")).select("node", "tree", F.xxhash64("tree", prefix).alias("trie"))
+    labelled = nodes.select("node", "labels", done.alias("done"))
     crowded = stage_table(keyed.groupBy("trie").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "forest-tries")
     blocks = F.ceil(F.col("n") / TRIE_BLOCK)
     own = F.pmod(F.xxhash64("node", "tree"), F.col("n_blocks"))
-    met = keyed.join(crowded, "trie").withColumn("n_blocks", blocks).withColumn("block", own)
+    met = keyed.join(crowded, "trie").join(labelled, "node").withColumn("n_blocks", blocks).withColumn("block", own)
     inside = met.withColumns({"cluster": F.col("node"), "active": F.lit(True), "visiting": F.lit(False)})
     first = stage_table(_compared(inside, similarity), "forest-ties")
     if crowded.where(blocks > 1).isEmpty():
@@ -363,7 +366,7 @@ def candidate_ties(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFram
     known = components(first, "blocks")
     large = crowded.where(blocks > 1)
     placed = keyed.join(large, "trie").withColumn("n_blocks", blocks).withColumn("block", own).join(known, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
-    placed = stage_table(placed.select("trie", "tree", "node", "labels", "done", "n_blocks", "block", "cluster"), "forest-crowded")
+    placed = stage_table(placed.join(labelled, "node").select("trie", "tree", "node", "labels", "done", "n_blocks", "block", "cluster"), "forest-crowded")
     shares = placed.groupBy("trie", "cluster").agg(F.count(F.lit(1)).alias("n"))
     largest = stage_table(shares.groupBy("trie").agg(F.max(F.struct("n", "cluster"))["cluster"].alias("largest"), F.count(F.lit(1)).alias("clusters")).where("clusters > 1"), "forest-largest")
     rows = placed.join(largest, "trie").withColumn("active", F.col("cluster") != F.col("largest"))
@@ -414,21 +417,27 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     one, and a small star does so with the lesser neighbours, until only stars are left. Each round is written, so a lost
     executor costs a reread.
     """
-    edges = stage_table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), f"{name}-edges")
-    # Tables of few edges in few files: a round is several small jobs, whose tasks would else cost more than their rows.
-    files = max(1, edges.count() // EDGES_PER_FILE)
-    edges = stage_table(edges.repartition(files).mapInArrow(_contracted, "u binary, v binary"), f"{name}-edges")
+    spark = edges.sparkSession
+    path = scratch_path(spark, f"{name}-edges")
+    with job(spark):
+        given = stage_table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), f"{name}-given")
+        # Tables of few edges in few files: a round is several small jobs, whose tasks would else cost more than their rows.
+        files = max(1, given.count() // EDGES_PER_FILE)
+        edges = stage_table(given.repartition(files).mapInArrow(_contracted, "u binary, v binary"), f"{name}-edges", path)
     while not _settled(edges):
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Least neighbours are written before they are joined, so that a join is of two plain shuffles and the
-        # many edges of a hub can be split.
-        least = stage_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(files), f"{name}-least")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = stage_table(large.coalesce(files), f"{name}-large")
-        least = stage_table(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(files), f"{name}-least")
-        tied = large.join(least, "u")
-        small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = stage_table(small.coalesce(files), f"{name}-edges")
+        before, path = path, scratch_path(spark, f"{name}-edges")
+        with job(spark):
+            both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            # Least neighbours are written before they are joined, so that a join is of two plain shuffles and the
+            # many edges of a hub can be split.
+            least = stage_table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(files), f"{name}-least")
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            large = stage_table(large.coalesce(files), f"{name}-large")
+            least = stage_table(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(files), f"{name}-least")
+            tied = large.join(least, "u")
+            small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+            edges = stage_table(small.coalesce(files), f"{name}-edges", path)
+        drop(spark, before)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
@@ -542,12 +551,29 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
 
 def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     """doc_id, text_key, class_id, n_links of every row, and whether it speaks for its class (stays)."""
-    bound_batches(docs.sparkSession)
-    text_key = F.xxhash64("text")
+    spark = docs.sparkSession
+    bound_batches(spark)
     signed = stage_table(
-        docs.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(_signed(words), "doc_id bigint, text_key bigint, node binary, n_shingles bigint, labels binary"),
+        docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(_signed(words), "doc_id bigint, text_key bigint, node binary, n_shingles bigint, labels binary"),
         "forest-signatures",
     )
+    path = scratch_path(spark, "forest-classes")
+    with job(spark):
+        found = stage_table(_found(docs, signed, words, similarity), "forest-classes", path)
+    out = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
+    alone = F.col("node").isNull()
+    speaker = F.col("heads") & F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key"))
+    return out.select(
+        "doc_id",
+        "text_key",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+        (alone | speaker).alias("stays"),
+    )
+
+
+def _found(docs: DataFrame, signed: DataFrame, words: int, similarity: float) -> DataFrame:
+    """node, class_id, n_links, rep_id, rep_key, heads (whether its name is its class's) of all nodes."""
     # Copies are merged where they are read; one of a node's rows speaks for it.
     with_id = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_key")
     reps = signed.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(with_id).alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles"))
@@ -565,7 +591,7 @@ def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     sizes = stage_table(inside.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")), "forest-sizes")
     blocks = F.greatest(_blocks(F.col("n"), CLUSTER_BLOCK), F.ceil(F.col("weight") / SHINGLE_BLOCK)).cast("int")
     members = stage_table(inside.join(sizes, "component").select(F.col("name").alias("node"), F.xxhash64("component").alias("cluster"), blocks.alias("n_blocks"), "rep_id", "rep_key", "copies"), "forest-members")
-    texts = docs.select("doc_id", text_key.alias("text_key"), "text")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     sets = (
         texts.join(members.hint("merge"), texts["doc_id"].eqNullSafe(members["rep_id"]) & (texts["text_key"] == members["rep_key"]))
         .select("node", "cluster", "n_blocks", "copies", "text")
@@ -578,21 +604,10 @@ def _classed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     name = reps["name"]
     root = F.coalesce("component", name)
-    found = stage_table(
+    return (
         reps.join(groups.withColumnRenamed("node", "name"), "name", "left")
         .join(counted.withColumnRenamed("node", "name"), "name", "left")
-        .select("node", _id_of(root).alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "rep_id", "rep_key", (root == name).alias("heads")),
-        "forest-classes",
-    )
-    out = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
-    alone = F.col("node").isNull()
-    speaker = F.col("heads") & F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("text_key") == F.col("rep_key"))
-    return out.select(
-        "doc_id",
-        "text_key",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-        (alone | speaker).alias("stays"),
+        .select("node", _id_of(root).alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "rep_id", "rep_key", (root == name).alias("heads"))
     )
 
 
