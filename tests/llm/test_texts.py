@@ -61,6 +61,17 @@ def test_token_files(documents, library):
     assert tokens.token_files(documents([])).count() == 0
 
 
+def test_tokens_are_read_from_their_places(spark, documents, library, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens, "SEGMENT_IDS", 64)  # many segments, some longer than a stretch
+    rng = random.Random(16)
+    docs = [(i, " ".join(rng.choice(["the", "ing", "Été", "x1"]) for _ in range(rng.choice([0, 3, 30, 200])))) for i in range(80)]
+    path = tokens.write_token_files(documents(docs).repartition(3), f"{tmp_path}/files")
+    ids = np.concatenate([np.append(library(t), 0) for _, t in docs])
+    asked = [rng.randrange(len(ids)) for _ in range(300)] + [0, len(ids) - 1, len(ids), -1, None, 5, 5]
+    out = tokens.tokens_at(spark, path, spark.createDataFrame([(i,) for i in asked], "position bigint")).collect()
+    assert sorted((r.position, r.id) for r in out) == sorted({(i, int(ids[i])) for i in asked if i is not None and 0 <= i < len(ids)})
+
+
 def test_token_files_of_odd_rows(documents, library):
     out = tokens.token_files(documents(ODD)).collect()
     assert sorted(str((r.doc_id, r.n_tokens, r.ids_crc32)) for r in out) == sorted(str((d, len(library(t)) + 1, zlib.crc32(np.append(library(t), 0).astype("<u4").tobytes()))) for d, t in ODD)
@@ -200,13 +211,61 @@ def test_exact_copies(documents):
 
 def test_exact_copies_of_odd_rows(documents):
     out = sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in exact.exact_copies(documents(ODD)).collect())
-    # null and empty texts are one group of four rows; the row that came twice is listed once
-    assert out == sorted([("1", "2", 4, False), ("2", "2", 4, True), ("None", "2", 4, False), ("None", "None", 1, True), ("3", "3", 1, True), ("4", "4", 1, True)])
+    # null and empty texts are one group of four rows, one of which came twice
+    assert out == sorted([("1", "2", 4, False), ("2", "2", 4, True), ("2", "2", 4, True), ("None", "2", 4, False), ("None", "None", 1, True), ("3", "3", 1, True), ("4", "4", 1, True)])
     kept = exact.without_copies(documents(ODD)).collect()
     assert len(kept) == 4
     assert exact.exact_copies(documents([])).count() == 0 and exact.without_copies(documents([])).count() == 0
 
 
+def test_one_of_rows_equal_in_id_and_text_stays_and_always_the_same(documents):
+    rows = [(1, "a", lang, "s") for lang in ("en", "de", "fr", None)] + [(1, "b"), (1, "b"), (None, "b")]
+    stays = {tuple(sorted(map(str, exact.without_copies(documents(rows[i:] + rows[:i])).collect()))) for i in range(3)}
+    assert len(stays) == 1 and len(next(iter(stays))) == 2
+
+
+def test_a_state_goes_on_where_it_ended(documents, spark, tmp_path):
+    state = str(tmp_path / "state")
+    first = [(i, t) for i, t in enumerate(["a", "b", "a", "c", "d", "b"] * 4)]
+    seen = []
+
+    def fail(batch):
+        seen.append(batch)
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        exact.exact_copies(documents(first).repartition(6), state=state, files_per_batch=1, after_batch=fail)
+    again = []
+    out = {r.doc_id: r for r in exact.exact_copies(documents(first), state=state, files_per_batch=1, after_batch=again.append).collect()}
+    # The batch that failed after its write is run again, the one before it isn't.
+    assert again[0] == seen[1] and len(out) == len(first)
+    groups = defaultdict(list)
+    for d, t in first:
+        groups[t].append(d)
+    assert all((out[d].keep_id, out[d].group_size) == (max(groups[t]), len(groups[t])) for d, t in first)
+    # A second batch is held against the first, without arrivals that are read twice.
+    second = [(100, "a"), (101, "new"), (3, "new"), (102, "e")]
+    for _ in range(2):
+        out = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact.exact_copies(documents(second), state=state, batch="second", earlier=documents(first)).collect()}
+        assert out == {100: (100, len(groups["a"]) + 1, True), 101: (101, 2, True), 3: (101, 2, False), 102: (102, 1, True)}
+    # Unlike texts of one digest are told apart across batches, too.
+    other = str(tmp_path / "other")
+    one = lambda text: F.lit("one")
+    exact.exact_copies(documents([(1, "x"), (2, "y")]), digest=one, state=other)
+    out = exact.exact_copies(documents([(3, "x"), (4, "z")]), digest=one, state=other, batch="second", earlier=documents([(1, "x"), (2, "y")])).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out) == [(3, 3, 2, True), (4, 4, 1, True)]
+
+
+def test_crowded_digests_are_compared_in_parts(documents, monkeypatch):
+    monkeypatch.setattr(exact, "COPIES_PER_PART", 2)
+    docs = [(i, t) for i, t in enumerate(["aa"] * 30 + ["bb"] * 3 + ["ab"])]
+    df = documents(docs).repartition(7)
+    for digest in (exact.sha256, lambda text: F.lit("one")):
+        out = {r.doc_id: (r.keep_id, r.group_size) for r in exact.exact_copies(df, digest=digest).collect()}
+        assert out == {i: (29, 30) if t == "aa" else (32, 3) if t == "bb" else (33, 1) for i, t in docs}
+
+
 def test_colliding_digests_are_told_apart_by_their_bytes(documents):
     docs = [(i, t) for i, t in enumerate(["aa", "ab", "aa", "ba", "ab", "zz", "aa"])]
     out = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact.exact_copies(documents(docs), digest=lambda text: F.lit("one")).collect()}
@@ -406,6 +465,20 @@ def test_languages(documents):
     assert kept.columns == df.columns and not {500, 501, 502} & {r.doc_id for r in kept.collect()}
 
 
+def test_what_is_no_letter(documents):
+    rng = random.Random(13)
+    docs = [(i, spoken(rng, lang, 30), lang) for i, lang in enumerate(["xx", "yy"] * 20)]
+    odd = ["² ½ Ⅷ ①", "१२३ _ 4", "ª", "ʰ", "漢", "\u0301"]
+    out = {r.doc_id: (r.lang_pred == "und", r.score == 0) for r in language.identify(documents(docs + [(100 + i, t, "xx") for i, t in enumerate(odd)])).collect()}
+    assert [out[100 + i] for i in range(len(odd))] == [(True, True), (True, True), (False, False), (False, False), (False, False), (True, True)]
+
+
+def test_und_teaches_nothing(documents):
+    rng = random.Random(14)
+    docs = [(i, spoken(rng, "zz" if lang == "und" else lang, 30), lang) for i, lang in enumerate(["xx", "yy", "und"] * 20)]
+    assert {r.lang_pred for r in language.identify(documents(docs)).collect()} <= {"xx", "yy"}
+
+
 def test_languages_without_anything_to_learn(documents):
     assert [(r.lang_pred, r.score) for r in language.identify(documents([(2, "words", None)])).collect()] == [("und", 0.0)]
     assert language.identify(documents([])).count() == 0 and language.accepted(documents([])).count() == 0
