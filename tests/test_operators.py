@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridledger.functions import codes, lexical
-from gridledger.operators import anatomy, bands, export, geometry, hierarchy, sections, totals
+from gridledger.operators import anatomy, bands, export, geometry, hierarchy, regions, sections, totals
 from gridledger.sources import documents, specs
 
 
@@ -406,3 +406,56 @@ def test_natural_order_of_long_numbers(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "row_index bigint, code string")
     out = [r.code for r in export.sorted_rows(rows, "code").orderBy("place").collect()]
     assert out == ["9", "010", "31010120000700", "310101200006999", "310101200007000", "310101200007001", "310101200007000" * 2, "310101200007000" * 2 + "1", "a9", "a310101200007001", "b2"]
+
+
+def test_header_words(spark):
+    cases = {
+        "Personnel": "PS", "PERSONNEL  SERVICES": "PS", "ps": "PS", "ups": None, "Maintenance": "MOOE", "M.O.O.E. mooe": "MOOE", "Capital\n Outlays": "CO", "capital, outlay": None,
+        "Co": "CO", "Cost": None, "Grand Total": "Total", "totals": None, "Total, Personnel": "PS", "": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r.t: r.role for r in rows.select("t", regions.header_role(F.col("t")).alias("role")).collect()} == cases
+    cues = {"Amount (PhP)": (True, False, False), "amount ( PHP )": (True, False, False), "Amount PHP": (False, False, False), "FY 2027": (False, True, False), "12027": (False, False, False), "GAA  Targets": (False, True, False), "(In Thousand Pesos)": (False, False, True)}
+    rows = spark.createDataFrame([(t,) for t in cues], "t string").select("t", regions.header_cues(F.col("t")).alias("c"))
+    assert {r.t: (r.c.amount_header, r.c.year, r.c.unit) for r in rows.collect()} == cues
+    money = {"2027": False, "2,027,000": True, "P 1,234.50": True, "PHP1": True, "(1,234)": True, "-5": True, "(-5.5)": True, "1900": False, "1899": True, "20.27": False, ",5": False, "5.": False, ".5": False, "P": False, "": False, "1 2": False, "5-": False, "P2027": False, "20,27": False}
+    rows = spark.createDataFrame([(t,) for t in money], "t string").select("t", regions.is_money(F.col("t")).alias("m"))
+    assert {r.t: r.m for r in rows.collect()} == money
+
+
+def test_titles_are_put_together_again():
+    cases = {
+        "A ({}) B": "A B", "A ( {}, {} ; {} ) B": "A B", "A - {}, B": "A, B", "A, - {} B": "A, B", "A - {} - B": "A - B", "A, {}, {}, B": "A, B", "A {} , B": "A, B", "A-B {}.": "A-B",
+        "{} - A": "A", "A ({}": "A", "{}) A": "A", "A (LZ) - {} - {} - {}": "A (LZ)", "A / {}": "A", "A {} B/C": "A B/C", "A. {}": "A", "Abbut-Conner {} x": "Abbut-Conner x",
+    }
+    for given, want in cases.items():
+        text, spans = "", []
+        for k, part in enumerate(given.split("{}")):
+            if k:
+                spans.append(anatomy.Span(len(text), len(text) + 2, {}))
+                text += "##"
+            text += part
+        assert anatomy.without(text, spans) == want, given
+
+
+def test_more_stations_and_places():
+    read = lambda label: (anatomy.stations(label)[0], [(f["kind"], f["from"], f["to"], f["incomplete"]) for f in anatomy.stations(label)[1]])
+    assert read("Maharlika Highway (LZ) • K0028+150 - K0031+420 • K0035+000 - K0038+200 • K0040+100 - K0042+500") == ("Maharlika Highway (LZ)", [("K", "0028+150", "0031+420", False), ("K", "0035+000", "0038+200", False), ("K", "0040+100", "0042+500", False)])
+    assert read("Road KOOS?+150 to K0060+4?4") == ("Road", [("K", "0057+150", "0060+474", False)])
+    assert read("Bypass Chainage 14268 - Chainage") == ("Bypass", [("Chainage", "14268", None, True)])
+    assert read("Bypass Chainaqe 1+200 - 2+300.5, X") == ("Bypass, X", [("Chainage", "1+200", "2+300.5", False)])
+    assert read("Dike KM 12+300") == ("Dike", [("KM", "12+300", None, False)])
+    assert read("Ab K0012+100 - K0013") == ("Ab", [("K", "0012+100", "0013", True)])
+    assert read("Ab Sta. 1+200 - Sta. 3+100") == ("Ab Sta. 1+200 - Sta. 3+100", [])  # of a title with letters enough, two would be left
+    assert read("K0012345+100 Road") == ("K0012345+100 Road", [])
+    place = lambda label: (anatomy.coordinates(label)[0], [(f["lat"], f["lon"], f["kind"], f["role"], f["swapped"], f["incomplete"]) for f in anatomy.coordinates(label)[1]])
+    assert place("Ormoc (11°0'32.5\"N, 124°5154.78E)") == ("Ormoc", [(11.0090278, 124.8652167, "dms", None, False, False)])
+    assert place("Naga (13°37'13.95°N, 123°11'5.1\"E)") == ("Naga", [(13.6205417, 123.1847500, "dms", None, False, False)])
+    assert place("Leyte (10.5, 24.813)") == ("Leyte", [(10.5, 124.813, "decimal", None, False, False)])
+    assert place("Samar (124.21693°' 8.191074°)") == ("Samar", [(8.191074, 124.21693, "decimal", None, True, False)])
+    assert place("Oriental. 8.499076°, 124.660310°") == ("Oriental", [(8.499076, 124.66031, "decimal", None, False, False)])
+    assert place("City (14.63001 °N, 121.121") == ("City", [(14.63001, 121.121, "decimal", None, False, True)])
+    assert place("City (14.6300,") == ("City", [(14.63, None, "decimal", None, False, True)])
+    assert place("South 8.1S, 125.2E") == ("South", [(-8.1, 125.2, "decimal_hem", None, False, False)])
+    assert place("(RS: 10.98N, 124.91E) Bank") == ("Bank", [(10.98, 124.91, "decimal_hem", "RS", False, False)])
+    assert place("Sta 12.5, 13.5 Lobo, Solo") == ("Sta 12.5, 13.5 Lobo, Solo", [])
