@@ -20,6 +20,9 @@ UNIT_MESSAGES = {
     "activity_without_program_parent": "Coded activity row has no preceding program with the same code prefix.",
     "continuation_merged": "Continuation fragment row was merged into the previous row.",
     "funding_metadata_excluded": "Funding metadata row is excluded from the hierarchy.",
+    "multiple_money_candidates_in_cell": "Inherited from stage 002.20: ambiguous amount cell.",
+    "multiple_main_text_candidates_in_row": "Inherited from stage 002.20: ambiguous row label.",
+    "main_text_candidate_outside_label_cell": "Inherited from stage 002.20: label candidate outside label column.",
 }
 PLAN_MESSAGES = {
     "outside_center_tolerance": "Row distance exceeds the fitted center tolerance.",
@@ -30,7 +33,11 @@ PLAN_MESSAGES = {
     "formatting_displacement": "A page-local hierarchy center is displaced from the calibrated profile.",
     "end_of_span_open_stack": "The reviewed PAP span ends with hierarchy parents still open.",
     "unclassified_distance": "Row distance could not be assigned to a calibrated PAP level.",
+    "multiple_money_candidates_in_cell": "Inherited from stage 002.20: ambiguous amount cell.",
+    "no_recurring_amount_column": "Inherited from stage 002.20: no recurring amount column.",
 }
+#: Codes that ask for a review of a unit table.
+UNIT_REVIEW = tuple(c for c in UNIT_MESSAGES if c not in ("continuation_merged", "funding_metadata_excluded"))
 INFORMING = {"unit": ("continuation_merged", "funding_metadata_excluded"), "plan": ("funding_metadata_excluded", "end_of_span_open_stack")}
 
 

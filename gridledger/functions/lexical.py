@@ -12,6 +12,7 @@ CURRENCY = r"(?i)^P(HP)?\d[\d,]*(\.\d+)?$"
 COMMA_MONEY = r"^\d{1,3}(,\d{3})+(\.\d+)?$"
 BARE_NUMBER = r"^\d+(\.\d+)?$"
 FUNDING = r"(?i)^(GOP|Loan Proceeds|GOP Loan Proceeds)$"
+UNIT_FUNDING = ("GOP", "GOP Counterpart", "Loan Proceeds")
 SUBTOTAL = r"(?i)^sub[\s-]*total\b"
 TOTAL = r"(?i)^total\b"
 EXPENSE_CLASSES = ("MAINTENANCE AND OTHER OPERATING EXPENSES", "CAPITAL OUTLAYS")

@@ -197,7 +197,50 @@ def test_unit_parents(spark):
     df = spark.createDataFrame([(1, i, *r) for i, r in enumerate(rows)], "table_id bigint, doc_pos bigint, id string, kind string, code string, segment_id bigint, section_letter string")
     out = {r.id: (r.parent, r.flag) for r in hierarchy.unit_parents(df).collect()}
     assert {k: p for k, (p, _) in out.items()} == {"s": "root", "p": "s", "x": "p", "r": "x", "o": "r", "f": "r", "r2": "x", "q": "s", "y": "p", "z": "root", "g": "root", "u": "root"}
-    assert out["z"][1] == "carry_gap_reset"
+    assert out["z"][1] == "carry_gap_reset,activity_without_program_parent"
+
+
+def test_unit_rows_and_their_parents(spark):
+    """Rows by what they say, and subtotals by the labels before them."""
+    program, activity = "310101" + "0" * 9, "310101100001000"
+    #        row_id label first_line code distance terminal n_amounts -> kind, tier, flags, parent
+    told = [
+        (0, "Operations", None, program, 500.0, None, 1, "program", 1, [], "root"),
+        (1, "Road works", None, activity, 480.0, None, 1, "activity", 1, [], "p1:r0"),
+        (2, "Region IV-A", None, None, 476.5, None, 1, "region", 1, [], "p1:r1"),
+        (3, "Office", "Office ", None, 460.0, None, 1, "office", 2, ["suspect_leading_continuation"], "p1:r2"),
+        (4, "goes on", None, None, None, None, 0, "continuation", None, ["continuation_merged"], None),
+        (5, "No distance", None, None, None, None, 2, "office", 2, ["row_without_anchor_distance", "unclassified_distance"], "p1:r2"),
+        (6, "Loan Proceeds", None, None, 440.0, None, 1, "funding", 2, ["funding_metadata_excluded"], "p1:r2"),
+        (7, "Somewhere", None, None, 481.0, None, 1, "tier1_uncoded", 1, ["outside_center_tolerance", "unclassified_distance"], "p1:r1"),
+        (8, "Sub-total, Road Work", None, None, 480.0, None, 1, "subtotal", None, ["multiple_money_candidates_in_cell"], "p1:r1"),
+        (9, "Sub total Bridges", None, None, 480.0, None, 1, "subtotal", None, [], "root"),
+        (10, "Total, all", None, None, 480.0, 541.0, 1, "grand_total", 0, [], "root"),
+        (11, "Total of some", None, None, 460.0, 100.0, 1, "office", 2, [], "p1:r7"),
+        (12, "Null code", None, None, 476.0, None, 1, "tier1_uncoded", 1, ["unclassified_distance"], "p1:r1"),
+    ]
+    views = spark.createDataFrame([(1, *t[:7]) for t in told], "page bigint, row_id bigint, label string, first_line string, code string, distance double, terminal_distance double, n_amounts bigint")
+    centres = spark.createDataFrame([(1, 476.0, 460.0)], "page bigint, region_centre double, office_centre double")
+    found = spark.createDataFrame([(1, 8, "multiple_money_candidates_in_cell"), (1, 8, "no_main_text_anchor")], "page bigint, row_id bigint, code string")
+    rows = hierarchy.unit_rows(views, centres, found)
+    assert {r.row_id: (r.kind, r.tier, list(r.flags)) for r in rows.collect()} == {t[0]: t[7:10] for t in told}
+    shaped = rows.where("kind <> 'continuation'").selectExpr("cast(1 as bigint) as table_id", "row_id as doc_pos", "concat('p1:r', row_id) as id", "kind", "code", "cast(0 as bigint) as segment_id", "cast(null as string) as section_letter", "match_key", "target")
+    out = {r.id: (r.parent, r.flag, r.match) for r in hierarchy.unit_parents(shaped).collect()}
+    assert {f"p1:r{t[0]}": t[10] for t in told if t[10]} == {k: p for k, (p, _, _) in out.items()}
+    assert out["p1:r8"][1:] == (None, "label") and out["p1:r9"][1:] == ("subtotal_parent_unmatched", "open_section")
+    # A program or activity kind without a code neither sets nor finds a programme.
+    odd = spark.createDataFrame([(1, 0, "a", "program", None, 0, None), (1, 1, "b", "activity", None, 0, None)], "table_id bigint, doc_pos bigint, id string, kind string, code string, segment_id bigint, section_letter string")
+    assert {r.id: (r.parent, r.flag) for r in hierarchy.unit_parents(odd).collect()} == {"a": ("root", None), "b": ("root", "activity_without_program_parent")}
+
+
+def test_ranks_of_any_depth_open_levels(spark):
+    rows = [(1, 0, "a", 0), (1, 1, "b", 8), (1, 2, "c", 9), (1, 3, "d", 12), (1, 4, "e", 9), (1, 5, "f", None)]
+    df = spark.createDataFrame([(*r, False, False, False, False) for r in rows], "table_id bigint, doc_pos bigint, id string, rank int, expense boolean, top_section boolean, marked boolean, attached boolean")
+    got = {r.id: r.parent for r in hierarchy.stack_parents(df, ["table_id"]).collect()}
+    assert {k: got[k] for k in "abcde"} == {"a": "root", "b": "a", "c": "b", "d": "c", "e": "b"}
+    many = spark.range(300).selectExpr("cast(1 as bigint) as table_id", "id as doc_pos", "cast(id as string) as id", "cast(id as int) as rank", "false as expense", "false as top_section", "false as marked", "false as attached")
+    with pytest.raises(ValueError):
+        hierarchy.stack_parents(many, ["table_id"])
 
 
 def test_ladder_and_nearest(spark):
@@ -218,7 +261,32 @@ def test_depth_search_and_visibility(spark):
     assert {r.id: r.matched for r in hierarchy.search(t, F.col("id") == "c").collect()} == {"c": True, "b": False, "a": False, "root": False}
     assert {r.id for r in hierarchy.visible(t, spark.createDataFrame([("root",), ("a",)], "id string")).collect()} == {"root", "a", "b", "d"}
     loop = tree(spark, [("a", "b", "x", None, False, 1, 1), ("b", "a", "x", None, False, 1, 1)])
-    assert hierarchy.depths(loop).count() == 2
+    assert {r.id: r.depth for r in hierarchy.depths(loop).collect()} == {"a": 0, "b": 0} and {r.id for r in hierarchy.cycles(loop).collect()} == {"a", "b"}
+    assert hierarchy.search(loop, F.col("id") == "a").count() == 2 and hierarchy.visible(loop, loop.select("id")).count() == 0
+    orphan = tree(spark, [("a", "gone", "x", None, False, 4, 1), ("b", "a", "x", None, True, 7, 1), ("c", "b", "x", None, True, 1, 1), ("d", "c", "x", None, False, None, 1)])
+    assert {r.id: r.depth for r in hierarchy.depths(orphan).collect()} == {"a": 0, "b": 1, "c": 2, "d": 3}
+    assert {r.id: r.max_page for r in hierarchy.descendant_max_page(orphan).collect()} == {"a": 7, "b": 7, "c": 1, "d": None}
+    assert {(r.parent, r.child) for r in hierarchy.expand_shells(orphan).collect()} == {("gone", "a"), ("a", "d"), ("b", "d"), ("c", "d")}
+    shells = tree(spark, [("a", "b", "x", None, True, 1, 1), ("b", "a", "x", None, True, 1, 1), ("c", "a", "x", None, False, 1, 1)])
+    assert {(r.parent, r.child) for r in hierarchy.expand_shells(shells).collect()} == {("a", "c"), ("b", "c")}
+    ids = lambda *a: spark.createDataFrame([(x,) for x in a], "id string")
+    assert {r.id for r in hierarchy.expand_ancestors(t, ids("c", "d")).collect()} == {"b", "a", "root"} and hierarchy.expand_ancestors(t, ids("root", "?")).count() == 0
+    assert [tuple(r) for r in hierarchy.row_list(t, ids("root", "a"), included=ids("root", "b", "c", "d")).orderBy("doc_pos").collect()] == [("root", 0, 0, True), ("b", 2, 2, True), ("d", 4, 2, False)]
+    # A chain longer than any limit on levels.
+    chain = spark.range(90).selectExpr("cast(id as string) as id", "if(id = 0, null, cast(id - 1 as string)) as parent", "id as page")
+    assert hierarchy.expand_ancestors(chain, ids("89")).count() == 89
+
+
+def test_documents_are_kept_apart(spark):
+    """Two documents with the same pages and ids give what each gives alone."""
+    one = [("root", None, 1), ("a", "root", 2), ("b", "a", 5)]
+    other = [("root", None, 1), ("a", None, 3), ("b", "root", 4)]
+    both = spark.createDataFrame([("x", *r) for r in one] + [("y", *r) for r in other], "document string, id string, parent string, page bigint")
+    for f in (hierarchy.depths, hierarchy.descendant_max_page, lambda t: hierarchy.search(t, F.col("page") == 4)):
+        apart = {("x", *r) for r in f(both.where("document = 'x'").drop("document")).collect()} | {("y", *r) for r in f(both.where("document = 'y'").drop("document")).collect()}
+        assert {tuple(r) for r in f(both).collect()} == apart
+    pages = spark.createDataFrame([("x", 1), ("x", 2), ("x", 4), ("y", 2), ("y", 3)], "document string, page bigint")
+    assert {tuple(r) for r in hierarchy.segments(pages).collect()} == {("x", 1, 0, False), ("x", 2, 0, False), ("x", 4, 1, True), ("y", 2, 0, False), ("y", 3, 0, False)}
 
 
 @pytest.mark.parametrize(
