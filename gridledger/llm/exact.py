@@ -117,7 +117,8 @@ def exact_copies(docs: DataFrame, digest=sha256, files_per_batch: int = 64, stat
     text = clean_text()
     texts = texts.select("doc_id", text.alias("text"), digest(text).alias("digest"))
     hit = hit.withColumnRenamed("doc_id", "hit_id").withColumnRenamed("digest", "hit_digest")
-    hit_texts = texts.join(hit, texts["doc_id"].eqNullSafe(hit["hit_id"]) & (texts["digest"] == hit["hit_digest"])).select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"), "text", "copies")
+    # Merged at every size, so that the work grows with the input and not by a change of plan.
+    hit_texts = texts.join(hit.hint("merge"), texts["doc_id"].eqNullSafe(hit["hit_id"]) & (texts["digest"] == hit["hit_digest"])).select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"), "text", "copies")
     # A task sends one text of a digest to the part that the task's number picks, and each part sends one on.
     parts = F.least(F.lit(PARTS), F.ceil(F.col("copies") / COPIES_PER_PART))
     bounds = [F.min("text").alias("least"), F.max("text").alias("greatest")]
