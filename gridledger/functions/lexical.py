@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 MARKER = r"^(\d{1,2}|[A-Za-z])[.)]$"
 PROGRAM_CODE = r"^\d{12,}$"
 CURRENCY = r"(?i)^P(HP)?\d[\d,]*(\.\d+)?$"
+CURRENCY_START = r"(?i)^P(HP)?\d*$"
 COMMA_MONEY = r"^\d{1,3}(,\d{3})+(\.\d+)?$"
 BARE_NUMBER = r"^\d+(\.\d+)?$"
 FUNDING = r"(?i)^(GOP|Loan Proceeds|GOP Loan Proceeds)$"

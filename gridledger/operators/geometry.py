@@ -7,11 +7,14 @@ step depends on all earlier ones, run as one group a page.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridledger.functions import lexical
+from gridledger.operators.keys import by_document, key_type
 
 # Fixed values of the geometry, in points unless named otherwise.
 GAP_SPACES = 3.0
@@ -57,6 +60,7 @@ def column_drift(edges: DataFrame, key: list[str], x: str = "x", y: str = "y", o
     return edges.select(*key).distinct().join(drift, key, "left").select(*key, F.when(F.abs("d") <= DRIFT_MOST, F.col("d")).otherwise(F.lit(0.0)).alias("drift"))
 
 
+@by_document("page")
 def baseline_tolerance(tokens: DataFrame) -> DataFrame:
     """page, tolerance of baselines: a share of the median height, within bounds."""
     height = F.coalesce(F.median(F.col("y1") - F.col("y0")), F.lit(8.0))
@@ -70,49 +74,54 @@ def usable(tokens: DataFrame, chrome: Column | None = None) -> DataFrame:
     return kept.where(~F.coalesce(chrome, F.lit(False))) if chrome is not None else kept
 
 
+def _split_tokens(tokens: DataFrame, char_width: Column) -> DataFrame:
+    """tokens with gap (to the token before on the band), spaces (the gap in character widths) and reason: why a phrase
+    starts at the token, null if none does.
+
+    Of several reasons the last of these stands: a wide gap; a programme code at the band's left, before the second token;
+    a currency sign whose tokens up to the next sign are a whole amount; a marker of one or two tokens at the band's
+    left that stands apart from the label, be it by its box or by the width that its signs should have.
+    """
+    key = ["page", "band_id"]
+    band = Window.partitionBy(*key).orderBy("x0", "token_id")
+    rows = tokens.withColumns({"_w": char_width, "_n": F.row_number().over(band), "_t": F.regexp_replace("text", r"(?U)\s", "")})
+    rows = rows.withColumns({"gap": F.col("x0") - F.lag("x1").over(band), "_sign": F.col("_t").rlike(lexical.CURRENCY_START).cast("int")})
+    rows = rows.withColumns({"spaces": F.col("gap") / F.greatest(F.col("_w"), F.lit(0.01)), "_run": F.sum("_sign").over(band)})
+    run = Window.partitionBy(*key, "_run").orderBy("x0", "token_id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("_amount", F.concat_ws("", F.collect_list("_t").over(run)))
+    one, two = F.lag("_t").over(band), F.concat(F.lag("_t", 2).over(band), F.lag("_t").over(band))
+    lead = F.when((F.col("_n") == 2) & one.rlike(lexical.MARKER), one).when((F.col("_n") == 3) & two.rlike(lexical.MARKER), two)
+    counted = F.col("x0") - F.first("x0").over(band) - F.length(lead) * F.col("_w")
+    reason = F.coalesce(
+        F.when(lead.isNotNull() & (F.greatest("gap", counted) >= MARKER_GAP_PT), F.when(counted > F.col("gap"), F.lit("marker_compensated_gap")).otherwise(F.lit("marker_raw_gap"))),
+        F.when((F.col("_n") > 1) & (F.col("_sign") == 1) & F.col("_amount").rlike(lexical.CURRENCY), F.lit("currency_prefix_boundary")),
+        F.when((F.col("_n") == 2) & one.rlike(lexical.PROGRAM_CODE), F.lit("program_code_boundary")),
+        F.when((F.col("gap") >= GAP_PT) & (F.col("spaces") >= GAP_SPACES), F.lit("gap_spaces")),
+    )
+    return rows.withColumn("reason", reason).drop("_w", "_n", "_t", "_sign", "_run", "_amount")
+
+
+@by_document("page")
 def token_gaps(tokens: DataFrame, char_width: Column) -> DataFrame:
-    """page, band_id, gap_id, left_token_id, right_token_id, gap_pt, spaces, split, reason of neighbours on a band."""
+    """page, band_id, gap_id, left_token_id, right_token_id, gap_pt, spaces, split, reason (null: no split) of neighbours on a band."""
     band = Window.partitionBy("page", "band_id").orderBy("x0", "token_id")
-    before = F.lag("x1").over(band)
-    gap = F.col("x0") - before
-    spaces = gap / char_width
-    after_code = (F.row_number().over(band) == 2) & F.lag("text").over(band).rlike(lexical.PROGRAM_CODE)
-    rows = tokens.select(
-        "page", "band_id", F.lag("token_id").over(band).alias("left_token_id"), F.col("token_id").alias("right_token_id"), gap.alias("gap_pt"), spaces.alias("spaces"), after_code.alias("after_code")
-    ).where(F.col("left_token_id").isNotNull())
-    wide = (F.col("gap_pt") >= GAP_PT) & (F.col("spaces") >= GAP_SPACES)
-    reason = F.when(wide, F.lit("generic")).when(F.col("after_code"), F.lit("program_code")).otherwise(F.lit("none"))
-    ids = Window.partitionBy("page").orderBy("band_id", "right_token_id")
+    rows = _split_tokens(tokens, char_width).withColumn("left_token_id", F.lag("token_id").over(band)).where(F.col("left_token_id").isNotNull())
+    ids = Window.partitionBy("page").orderBy("band_id", "x0", "token_id")
     return rows.select(
-        "page", "band_id", (F.row_number().over(ids) - 1).cast("bigint").alias("gap_id"), "left_token_id", "right_token_id", F.round("gap_pt", 2).alias("gap_pt"), F.round("spaces", 2).alias("spaces"), (wide | F.col("after_code")).alias("split"), reason.alias("reason")
+        "page", "band_id", (F.row_number().over(ids) - 1).cast("bigint").alias("gap_id"), "left_token_id", F.col("token_id").alias("right_token_id"), F.round("gap", 3).alias("gap_pt"), F.round("spaces", 3).alias("spaces"),
+        F.col("reason").isNotNull().alias("split"), "reason",
     )
 
 
+@by_document("page")
 def phrase_ordinals(tokens: DataFrame, char_width: Column) -> DataFrame:
-    """tokens with ordinal, the number of their phrase on its band: a running sum of the places where a phrase starts.
-
-    A phrase starts after a wide gap, after a programme code, at a currency amount, and after a marker that
-    stands apart from the label even when its box was recognised too wide.
-    """
+    """tokens with ordinal, the number of their phrase on its band: a running sum of the places where a phrase starts."""
     band = Window.partitionBy("page", "band_id").orderBy("x0", "token_id")
-    n = F.row_number().over(band)
-    compact = F.regexp_replace("text", r"\s", "")
-    gap = F.col("x0") - F.lag("x1").over(band)
-    wide = (gap >= GAP_PT) & (gap / char_width >= GAP_SPACES)
-    after_code = (n == 2) & F.lag("text").over(band).rlike(lexical.PROGRAM_CODE)
-    # A marker of one token, or of a letter and a point; its true width is its signs'.
-    one, two = (n == 2) & F.lag(compact).over(band).rlike(lexical.MARKER), (n == 3) & F.concat(F.lag(compact, 2).over(band), F.lag(compact).over(band)).rlike(lexical.MARKER)
-    signs = F.when(one, F.length(F.lag(compact).over(band))).otherwise(F.lit(2))
-    left = F.first("x0").over(band)
-    compensated = F.greatest(gap, F.col("x0") - left - signs * char_width)
-    after_marker = (one | two) & (compensated >= MARKER_GAP_PT)
-    currency = compact.rlike(lexical.CURRENCY) & (n > 1)
-    after_currency = F.lag(compact).over(band).rlike(lexical.CURRENCY) & ~compact.rlike(r"^[\d,.]+$")
-    starts = F.coalesce(wide | after_code | after_marker | currency | after_currency, F.lit(False)).cast("int")
-    marked = tokens.withColumn("starts", starts)
-    return marked.withColumn("ordinal", F.sum("starts").over(band).cast("bigint")).drop("starts")
+    marked = _split_tokens(tokens, char_width)
+    return marked.withColumn("ordinal", F.sum(F.col("reason").isNotNull().cast("int")).over(band).cast("bigint")).drop("gap", "spaces", "reason")
 
 
+@by_document("page")
 def phrases(tokens: DataFrame, char_width: Column) -> DataFrame:
     """page, band_id, phrase_id, text, x0, y0, x1, y1, token_ids, observation of contiguous tokens."""
     grouped = (
@@ -129,6 +138,7 @@ def phrases(tokens: DataFrame, char_width: Column) -> DataFrame:
 
 
 # ---- columns, indents, pairs -----------------------------------------------------------------------------
+@by_document("page")
 def money_window(phrases: DataFrame, width: Column) -> DataFrame:
     """Amounts of at least four digits whose right edge lies in the right part of the page."""
     money = phrases.where((F.col("observation") == "money_candidate") & (F.length(F.regexp_replace("text", r"\D", "")) >= 4))
@@ -136,31 +146,57 @@ def money_window(phrases: DataFrame, width: Column) -> DataFrame:
     return money.withColumn("_r", furthest).where(F.col("x1") >= F.col("_r") - COLUMN_SEARCH * width).drop("_r")
 
 
+class RunningMedians:
+    """Groups of numbers whose centres are the medians of their members so far.
+
+    Members are kept sorted, and so are the centres, so a number finds the nearest one by bisection.
+    """
+
+    def __init__(self) -> None:
+        self.members: list[list[float]] = []
+        self.centres: list[float] = []
+        self._order: list[tuple[float, int]] = []
+
+    def add(self, value: float, tolerance: float) -> int:
+        """The group that value joins: the nearest within tolerance, the oldest of equally near ones, else a new one."""
+        at = bisect_left(self._order, (value, -1))
+        near = []
+        if at < len(self._order):
+            near.append(self._order[at])
+        if at:  # of equal centres below the first is the oldest
+            near.append(self._order[bisect_left(self._order, (self._order[at - 1][0], -1))])
+        best = min(((abs(value - c), k) for c, k in near if abs(value - c) <= tolerance), default=None)
+        if best is None:
+            k = len(self.centres)
+            self.members.append([])
+            self.centres.append(value)
+        else:
+            k = best[1]
+            del self._order[bisect_left(self._order, (self.centres[k], k))]
+        m = self.members[k]
+        insort(m, value)
+        h = len(m) // 2
+        self.centres[k] = m[h] if len(m) % 2 else (m[h - 1] + m[h]) / 2
+        insort(self._order, (self.centres[k], k))
+        return k
+
+
+@by_document("page")
 def running_median_clusters(rows: DataFrame, value: str, order: list[str], tolerance: str, schema_key: str = "page", id_column: str = "id") -> DataFrame:
     """key, id, cluster, centre: each value joins the nearest cluster within tolerance (of equally near ones the
     oldest), whose centre is the median of its members so far, or starts one. Sequential by nature: one group a key."""
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        members: list[list[float]] = []
-        centres: list[float] = []
-        found = []
-        for v, t in zip(pdf[value], pdf[tolerance]):
-            near = min(((abs(v - c), k) for k, c in enumerate(centres) if abs(v - c) <= t), default=None)
-            k = near[1] if near else len(centres)
-            if near is None:
-                members.append([])
-                centres.append(v)
-            members[k].append(v)
-            s = sorted(members[k])
-            h = len(s) // 2
-            centres[k] = float(s[h] if len(s) % 2 else (s[h - 1] + s[h]) / 2)
-            found.append(k)
-        return pd.DataFrame({schema_key: pdf[schema_key], "id": pdf[id_column], "cluster": found, "centre": [centres[k] for k in found]})
-
-    return rows.select(*dict.fromkeys([schema_key, id_column, value, tolerance, *order])).groupBy(schema_key).applyInPandas(group, f"{schema_key} bigint, id bigint, cluster bigint, centre double")
+        medians = RunningMedians()
+        found = [medians.add(float(v), float(t)) for v, t in zip(pdf[value], pdf[tolerance])]
+        return pd.DataFrame({schema_key: pdf[schema_key], "id": pdf[id_column], "cluster": found, "centre": [float(medians.centres[k]) for k in found]})
+
+    rows = rows.select(*dict.fromkeys([schema_key, id_column, value, tolerance, *order]))
+    return rows.groupBy(schema_key).applyInPandas(group, f"{schema_key} {key_type(rows, schema_key)}, id bigint, cluster bigint, centre double")
 
 
+@by_document("page")
 def column_summary(members: DataFrame) -> DataFrame:
     """page, column_id, n_phrases, right_x, right_mad, left_x, recurring of clustered amounts."""
     keyed = members.withColumn("_k", F.struct("page", "column_id"))
@@ -169,12 +205,14 @@ def column_summary(members: DataFrame) -> DataFrame:
     return stats.join(left, ["page", "column_id"]).withColumn("recurring", F.col("n_phrases") >= COLUMN_MEMBERS)
 
 
+@by_document("page")
 def reference_anchor(columns: DataFrame) -> DataFrame:
     """page, reference_x, support: the rightmost recurring column, else the rightmost."""
     best = F.max_by(F.struct("right_x", "recurring"), F.struct("recurring", "right_x")).alias("b")
     return columns.groupBy("page").agg(best).select("page", F.col("b.right_x").alias("reference_x"), F.when(F.col("b.recurring"), F.lit("recurring")).otherwise(F.lit("singleton")).alias("support"))
 
 
+@by_document("page")
 def label_amount_pairs(phrases: DataFrame) -> DataFrame:
     """page, band_id, label_id, amount_ids: the leftmost text that ends before a band's first amount claims all its amounts."""
     amounts = phrases.where("observation = 'money_candidate'").groupBy("page", "band_id").agg(F.min("x0").alias("first_x"), F.array_sort(F.collect_list("phrase_id")).alias("amount_ids"))
@@ -182,6 +220,7 @@ def label_amount_pairs(phrases: DataFrame) -> DataFrame:
     return labels.groupBy("page", "band_id").agg(F.min_by("phrase_id", F.struct("x0", "phrase_id")).alias("label_id"), F.first("amount_ids").alias("amount_ids"))
 
 
+@by_document("page")
 def separators(phrases: DataFrame) -> DataFrame:
     """page, band_id, amount_id, label_id, x, gap: for each amount the text whose right edge is nearest on its left."""
     amounts = phrases.where("observation = 'money_candidate'").select("page", "band_id", F.col("phrase_id").alias("amount_id"), F.col("x0").alias("amount_x"))
@@ -190,6 +229,7 @@ def separators(phrases: DataFrame) -> DataFrame:
     return best.select("page", "band_id", "amount_id", F.col("b.p").alias("label_id"), F.round((F.col("b.label_x") + F.col("amount_x")) / 2, 2).alias("x"), F.round(F.col("amount_x") - F.col("b.label_x"), 2).alias("gap"))
 
 
+@by_document("page")
 def alignment_fits(phrases: DataFrame, columns: DataFrame) -> DataFrame:
     """page, column_id, n_pairs, slope, slope_mad, review: slopes from a column's amounts to the leftmost other
     phrase of their band, at least 40 points to the left; fewer than three pairs are for review.

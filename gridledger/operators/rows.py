@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from gridledger.functions import lexical
 from gridledger.operators import hierarchy
+from gridledger.operators.keys import by_document
 
 # Fixed value: texts that a section header inside a row can't be.
 PAGE_HEADER = r"(?i)^\d+\s+EXPENDITURE PROGRAM\b"
 GENERIC = "(?:text_candidate|mixed_candidate)"
 
 
+@by_document("page")
 def left_prefixes(phrases: DataFrame, in_rows: DataFrame, labels: DataFrame) -> DataFrame:
     """page, row_id, phrase_id, text, observation of the phrases whose centre lies left of their row's label column.
 
@@ -22,6 +24,7 @@ def left_prefixes(phrases: DataFrame, in_rows: DataFrame, labels: DataFrame) ->
     return held.where((F.col("x0") + F.col("x1")) / 2 < F.col("left_x")).select("page", "row_id", "phrase_id", "text", "observation", "band_id", "x0")
 
 
+@by_document("page")
 def row_views(rows: DataFrame, cells: DataFrame, prefixes: DataFrame) -> DataFrame:
     """page, row_id, label, role, total, n_amounts, code, distance of rows that have a label or an amount.
 
@@ -36,6 +39,7 @@ def row_views(rows: DataFrame, cells: DataFrame, prefixes: DataFrame) -> DataFra
     return out.where((label != "") | (n > 0)).select("page", "row_id", label.alias("label"), "role", "total", n.alias("n_amounts"), F.trim("code").alias("code"), "distance")
 
 
+@by_document("page")
 def embedded_headers(phrases: DataFrame, in_rows: DataFrame) -> DataFrame:
     """page, row_id, phrase_id, seq, text: section headers inside body rows, in order of their bands.
 
@@ -48,6 +52,7 @@ def embedded_headers(phrases: DataFrame, in_rows: DataFrame) -> DataFrame:
     return head.join(in_rows, ["page", "phrase_id"]).select("page", "row_id", "phrase_id", (F.row_number().over(w) - 1).cast("bigint").alias("seq"), text.alias("text"))
 
 
+@by_document("page")
 def label_lines(lines: DataFrame, gaps: DataFrame) -> DataFrame:
     """page, row_id, band_id, fill, run_gap_pt, run_gap_spaces, trail_gap_pt of the lines of label cells with two or more.
 
@@ -76,6 +81,7 @@ def seed_roles(columns: DataFrame, seeds: DataFrame) -> DataFrame:
     return named.join(F.broadcast(seeds.select("page", "column_id", "role")), ["page", "column_id"], "left").select("page", "column_id", F.coalesce("role", "generic").alias("role"))
 
 
+@by_document("page")
 def displacements(clusters: DataFrame, centres: list[float], tolerance: float = hierarchy.PLAN_TOLERANCE) -> DataFrame:
     """page, cluster_no, centre, profile, displacement of clusters farther than tolerance from every calibrated centre."""
     levels = F.array(*[F.lit(float(c)) for c in centres])
@@ -84,6 +90,7 @@ def displacements(clusters: DataFrame, centres: list[float], tolerance: float =
     return clusters.where(moved > tolerance).select("page", "cluster_no", F.round("centre", 3).alias("centre"), profile.alias("profile"), F.round(moved, 3).alias("displacement"))
 
 
+@by_document("table_id")
 def open_at_end(rows: DataFrame) -> DataFrame:
     """table_id, n_open: rows whose level is still open after a table's last row: no later row ranks as low.
 
@@ -108,6 +115,7 @@ def span_split(pages: DataFrame, first: int, last: int) -> tuple[DataFrame, Data
     return pages.where(inside), pages.where(~inside)
 
 
+@by_document("page")
 def page_slice(nodes: DataFrame, flags: DataFrame) -> DataFrame:
     """page, n_nodes, n_flags: what a tree holds for each page."""
     n = nodes.where(F.col("page").isNotNull()).groupBy("page").agg(F.count(F.lit(1)).alias("n_nodes"))
@@ -130,6 +138,7 @@ def centre_statistics(rows: DataFrame) -> DataFrame:
     )
 
 
+@by_document("page")
 def apply_repair(claims: DataFrame, phrases: DataFrame, chains: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Claims (page, label_id, amount_id) and phrases with closed chains applied: each amount goes to its new label and that label's band.
 
@@ -144,6 +153,7 @@ def apply_repair(claims: DataFrame, phrases: DataFrame, chains: DataFrame) -> tu
     return rebound.select("page", "label_id", "amount_id"), out
 
 
+@by_document("page")
 def mean_confidence(tokens: DataFrame, value: Column) -> DataFrame:
     """page, confidence: mean of the tokens that have one, four decimals."""
     return tokens.groupBy("page").agg(F.round(F.avg(value), 4).alias("confidence"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridledger.operators.keys import by_document, document_of
+
 # Fixed values.
 GUTTER_PT, GUTTER_SHARE = 45.0, 0.055
 FLAG_MESSAGES = {
@@ -36,7 +38,8 @@ def layout_spans(pages: DataFrame, spans: DataFrame) -> DataFrame:
     """
     held = pages.join(F.broadcast(spans), F.col("page").between(F.col("start_page"), F.col("end_page")), "left")
     first = F.min_by(F.struct("table_type", "wrap_direction"), F.struct("order")).alias("s")
-    return held.groupBy("page").agg(first).select("page", F.coalesce("s.table_type", F.lit("unclassified")).alias("table_type"), F.coalesce("s.wrap_direction", F.lit("review")).alias("wrap_direction"))
+    own = document_of(pages)
+    return held.groupBy(*own, "page").agg(first).select(*own, "page", F.coalesce("s.table_type", F.lit("unclassified")).alias("table_type"), F.coalesce("s.wrap_direction", F.lit("review")).alias("wrap_direction"))
 
 
 def clip_bands(bands: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -50,6 +53,7 @@ def clip_bands(bands: DataFrame, seeds: DataFrame) -> DataFrame:
     return kept.where(starts & ends).select(*[bands[c] for c in bands.columns])
 
 
+@by_document("page")
 def in_column(phrases: DataFrame, columns: DataFrame) -> DataFrame:
     """page, phrase_id, column_id: the column whose slanted edges hold the phrase's centre; the last one includes its right edge.
 
@@ -61,6 +65,7 @@ def in_column(phrases: DataFrame, columns: DataFrame) -> DataFrame:
     return phrases.join(columns, "page").where(inside).select("page", "phrase_id", "column_id")
 
 
+@by_document("page")
 def row_bounds(boundaries: DataFrame, wraps_down: bool) -> DataFrame:
     """page, row_id, upper, lower, anchor_id: rows between consecutive boundaries.
 
@@ -74,6 +79,7 @@ def row_bounds(boundaries: DataFrame, wraps_down: bool) -> DataFrame:
     return boundaries.select("page", number.alias("row_id"), F.lag("band_id").over(w).alias("upper"), F.col("band_id").alias("lower"), F.col("label_id").alias("anchor_id"))
 
 
+@by_document("page")
 def in_row(phrases: DataFrame, rows: DataFrame, wraps_down: bool) -> DataFrame:
     """page, phrase_id, row_id: bands in [upper, lower) if labels wrap down, else in (upper, lower]; null is open."""
     band = F.col("band_id")
@@ -84,6 +90,7 @@ def in_row(phrases: DataFrame, rows: DataFrame, wraps_down: bool) -> DataFrame:
     return phrases.join(rows, "page").where(inside).select("page", "phrase_id", "row_id")
 
 
+@by_document("page")
 def cells(phrases: DataFrame, rows: DataFrame, columns: DataFrame, in_rows: DataFrame, in_columns: DataFrame) -> DataFrame:
     """page, row_id, column_id, role, phrase_ids, text, empty: every row by every column of a page.
 
@@ -105,6 +112,7 @@ def crossing(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Col
     return F.struct(((p * (cx - dx) - (ax - bx) * q) / safe).alias("x"), ((p * (cy - dy) - (ay - by) * q) / safe).alias("y"))
 
 
+@by_document("page")
 def headers(bands: DataFrame, phrases: DataFrame) -> DataFrame:
     """page, role, text, n_lines: header sections with their bands' texts as lines. bands: page, band_id, role."""
     lines = bands.join(phrases, ["page", "band_id"]).groupBy("page", "role", "band_id").agg(F.array_sort(F.collect_list(F.struct("x0", "phrase_id", "text"))).alias("t"))
@@ -113,6 +121,7 @@ def headers(bands: DataFrame, phrases: DataFrame) -> DataFrame:
     return out.select("page", "role", F.concat_ws("\n", "l.line").alias("text"), F.size("l").cast("bigint").alias("n_lines"))
 
 
+@by_document("page")
 def findings(members: DataFrame) -> DataFrame:
     """page, code, row_id, column_id: rows and cells with several labels or amounts, and labels outside the label column.
 
@@ -128,6 +137,7 @@ def findings(members: DataFrame) -> DataFrame:
     return by_row.unionByName(labels).unionByName(money).unionByName(outside)
 
 
+@by_document("page")
 def flag_objects(findings: DataFrame) -> DataFrame:
     """page, flag_id, code, severity, object_type, object_id, message: what a finding is about, the closest there is.
 
@@ -147,6 +157,7 @@ def flag_objects(findings: DataFrame) -> DataFrame:
     )
 
 
+@by_document("page")
 def best_region(lines: DataFrame, regions: DataFrame) -> DataFrame:
     """page, line_id, region_id: the region with the largest shared area (of equals the lower priority number);
     a region that only holds the line's centre counts as area 1."""
@@ -160,12 +171,14 @@ def best_region(lines: DataFrame, regions: DataFrame) -> DataFrame:
     return met.groupBy("page", "line_id").agg(F.max_by("region_id", F.struct(F.col("area"), -F.col("priority"), -F.col("region_id"))).alias("region_id"))
 
 
+@by_document("page")
 def majority_region(tokens: DataFrame) -> DataFrame:
     """page, line_id, region_id that most tokens of a line have; of equals the one met first. tokens: page, line_id, pos, region_id."""
     counts = tokens.where(F.col("region_id").isNotNull()).groupBy("page", "line_id", "region_id").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
     return counts.groupBy("page", "line_id").agg(F.max_by("region_id", F.struct(F.col("n"), -F.col("first"))).alias("region_id"))
 
 
+@by_document("page")
 def grid_lines(boxes: DataFrame, value: Column, gap: float, key: str = "page") -> DataFrame:
     """key, line_no, position, n: one-dimensional single-link groups (a new one where the step to the last member exceeds gap) and their means."""
     w = Window.partitionBy(key).orderBy("v")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridledger.functions import codes
 from gridledger.operators import hierarchy
+from gridledger.operators.keys import by_document
 
 COMPARABLE = ("pass", "mismatch")
 REVIEW = ("mismatch", "missing_parent_total", "incomplete_children")
@@ -34,6 +35,7 @@ def status(n_additive: Column, parent_amount: Column, n_missing: Column, differe
     )
 
 
+@by_document("id", "parent", "parent_id", "child")
 def parent_totals(nodes: DataFrame, tolerance: int = 0, last_page: int | None = None, span_end: int | None = None, expand: bool = False) -> DataFrame:
     """One check per parent with children and a page: parent_id, parent_amount, child_sum, difference, counts, status.
 

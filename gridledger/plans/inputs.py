@@ -16,21 +16,29 @@ INPUTS = {
         SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS line, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
                min(l_partkey) AS part, min(l_suppkey) AS supp, CAST(sum(CAST(round(l_quantity) AS BIGINT)) AS BIGINT) AS qty
         FROM {lineitem} GROUP BY l_orderkey, CAST(l_linenumber AS BIGINT)""",
-    # A page is an order number modulo 97; an order is a band of the page, its lines are the band's tokens.
+    # Forty orders are a page, so pages grow with the data; an order is a band of its page, its lines are the band's tokens.
     "tokens": """
         SELECT page, band_id, token_id, text, x0, x0 + length(text) * 5E0 AS x1, y0, y0 + 8E0 AS y1 FROM (
-          SELECT l_orderkey % 97 AS page, CAST(floor(l_orderkey / 97) AS BIGINT) AS band_id, l_orderkey * 8 + line AS token_id,
+          SELECT CAST(floor(l_orderkey / 40) AS BIGINT) AS page, l_orderkey % 40 AS band_id, l_orderkey * 8 + line AS token_id,
                  CASE line % 4 WHEN 0 THEN CAST(qty AS STRING) WHEN 1 THEN 'Item' || CAST(part % 1000 AS STRING)
                    WHEN 2 THEN CAST(1 + CAST(floor(cents / 100000) AS BIGINT) AS STRING) || ',' || lpad(CAST(CAST(floor(cents / 100) AS BIGINT) % 1000 AS STRING), 3, '0') ELSE 'Road' END AS text,
                  (part % 120) * 6E0 AS x0, (l_orderkey % 40) * 20E0 + (supp % 3) * 0.25E0 AS y0
           FROM {lines}) AS t""",
+    # The same tokens, some of which are markers, codes and currency signs, and stand closer.
+    "marked": """
+        SELECT page, band_id, token_id, text, x0, x0 + length(text) * 5E0 AS x1, y0, y1 FROM (
+          SELECT page, band_id, token_id, y0, y1, CAST(floor(x0 / 2) AS DOUBLE) AS x0,
+                 CASE WHEN x0 < 72 AND token_id % 4 <> 2 THEN CAST(1 + token_id % 12 AS STRING) || CASE WHEN token_id % 3 = 0 THEN '.' WHEN token_id % 3 = 1 THEN ')' ELSE '' END
+                   WHEN x0 < 96 THEN '.' WHEN x0 < 132 THEN '310101' || lpad(CAST(token_id % 100000 AS STRING), 9, '0')
+                   WHEN x0 BETWEEN 300 AND 396 THEN 'P' WHEN x0 BETWEEN 402 AND 450 THEN 'php' || CAST(token_id % 10 AS STRING) WHEN x0 BETWEEN 456 AND 480 THEN CASE WHEN token_id % 2 = 0 THEN ',' ELSE '(' END ELSE text END AS text
+          FROM {tokens}) AS t""",
     "phrases": """
         SELECT page, band_id, token_id AS phrase_id, text, x0, y0, x1, y1,
                CASE token_id % 4 WHEN 0 THEN 'money_candidate' WHEN 2 THEN 'money_candidate' WHEN 1 THEN 'mixed_candidate' ELSE 'text_candidate' END AS observation
         FROM {tokens}""",
-    # Rows of fifty tables; ranks that rise and fall, so that stacks pop.
+    # Rows of tables of five hundred orders; ranks that rise and fall, so that stacks pop.
     "rows": """
-        SELECT l_orderkey % 50 AS table_id, l_orderkey * 8 + line AS doc_pos, 'r' || CAST(l_orderkey * 8 + line AS STRING) AS id,
+        SELECT CAST(floor(l_orderkey / 500) AS BIGINT) AS table_id, l_orderkey * 8 + line AS doc_pos, 'r' || CAST(l_orderkey * 8 + line AS STRING) AS id,
                CAST(floor(l_orderkey / 50) AS BIGINT) AS page, part % 8 AS rank, supp % 11 = 0 AS marked, part % 97 = 0 AS expense,
                part % 8 = 0 AND supp % 5 = 0 AS top_section, supp % 7 = 0 AND part % 8 <> 0 AND part % 97 <> 0 AS attached, cents AS amount, part, supp, qty, line
         FROM {lines}""",
@@ -60,8 +68,9 @@ INPUTS = {
     "ticks": "SELECT event_id, user_id, CAST(round(value * 100) AS BIGINT) / 100E0 AS distance FROM {events}",
     "amounts": """
         SELECT page, 'r' || CAST(token_id AS STRING) AS id, 'Amount ' || CAST(1 + band_id % 6 AS STRING) AS role, token_id % 100000 AS value FROM {tokens} WHERE token_id % 4 = 2""",
-    "row_pages": "SELECT DISTINCT page FROM {rows} WHERE page % 10 <> 7",
     "all_pages": "SELECT DISTINCT page FROM {rows}",
+    # Pages with gaps, for the questions about gaps.
+    "row_pages": "SELECT page FROM {all_pages} WHERE page % 10 <> 7",
     "findings": """
         SELECT page, token_id AS seq, CASE token_id % 8 WHEN 1 THEN 'multiple_money_candidates_in_cell' WHEN 2 THEN 'no_main_text_anchor' WHEN 3 THEN 'main_text_candidate_outside_label_cell' ELSE 'other_code' END AS code,
                CASE WHEN token_id % 8 = 4 THEN 'info' END AS severity, CASE WHEN token_id % 8 = 1 THEN token_id END AS cell_id, CASE WHEN token_id % 8 < 3 THEN band_id END AS row_id,

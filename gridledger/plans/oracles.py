@@ -40,6 +40,14 @@ _SHELL = "sh AS (SELECT DISTINCT table_id, a AS code FROM up WHERE NOT EXISTS (S
 _EVERY = "ev AS (SELECT table_id, code, found FROM ix UNION ALL SELECT table_id, code, 'prexc:' || code FROM sh)"
 _SHELL_ANC = f"shanc AS (SELECT DISTINCT table_id, code, rpad(substr(code, 1, n), 15, '0') AS a FROM sh, {_CUTS}), shup AS (SELECT * FROM shanc WHERE a <> code AND a <> repeat('0', 15))"
 _ROLES = "gen AS (SELECT DISTINCT page, role FROM {amounts}), rr AS (SELECT page, role, row_number() OVER (PARTITION BY page ORDER BY CAST(regexp_extract(role, '([0-9]+)$', 1) AS BIGINT) DESC, role DESC) AS p FROM gen), res AS (SELECT page, role, CASE p WHEN 1 THEN 'Total' WHEN 2 THEN 'CO' WHEN 3 THEN 'MOOE' WHEN 4 THEN 'PS' END AS resolved FROM rr)"
+_CLASS = r"""CASE WHEN regexp_full_match(t, '([0-9]{1,2}|[A-Za-z])[.)]') THEN 'marker_candidate' WHEN regexp_full_match(t, '[0-9]{12,}') THEN 'code_candidate' WHEN regexp_full_match(t, '(?i)P(HP)?[0-9][0-9,]*([.][0-9]+)?') OR regexp_full_match(t, '[0-9]{1,3}(,[0-9][0-9][0-9])+([.][0-9]+)?') OR regexp_full_match(t, '[0-9]+([.][0-9]+)?') THEN 'money_candidate' WHEN regexp_matches(t, '[0-9]') AND regexp_matches(t, '[^0-9,.()-]') THEN 'mixed_candidate' ELSE 'text_candidate' END"""
+_SPLIT = r"""g AS (SELECT *, row_number() OVER w AS n, x0 - lag(x1) OVER w AS gap, replace(text, ' ', '') AS t, first_value(x0) OVER w AS x_first, lag(replace(text, ' ', '')) OVER w AS t1, lag(replace(text, ' ', ''), 2) OVER w AS t2 FROM {marked} WINDOW w AS (PARTITION BY page, band_id ORDER BY x0, token_id)),
+       h AS (SELECT *, sum(CASE WHEN regexp_full_match(t, '(?i)P(HP)?[0-9]*') THEN 1 ELSE 0 END) OVER (PARTITION BY page, band_id ORDER BY x0, token_id) AS run FROM g),
+       a AS (SELECT page, band_id, run, string_agg(t, '' ORDER BY x0, token_id) AS amount FROM h GROUP BY 1, 2, 3),
+       e AS (SELECT h.*, a.amount, CASE WHEN n = 2 AND regexp_full_match(t1, '([0-9]{1,2}|[A-Za-z])[.)]') THEN length(t1) WHEN n = 3 AND regexp_full_match(t2 || t1, '([0-9]{1,2}|[A-Za-z])[.)]') THEN length(t2 || t1) END AS lead FROM h JOIN a USING (page, band_id, run)),
+       k AS (SELECT *, CASE WHEN greatest(gap, x0 - x_first - lead * 5) >= 9 AND lead IS NOT NULL THEN CASE WHEN x0 - x_first - lead * 5 > gap THEN 'marker_compensated_gap' ELSE 'marker_raw_gap' END
+                            WHEN n > 1 AND regexp_full_match(t, '(?i)P(HP)?[0-9]*') AND regexp_full_match(amount, '(?i)P(HP)?[0-9][0-9,]*([.][0-9]+)?') THEN 'currency_prefix_boundary'
+                            WHEN n = 2 AND regexp_full_match(t1, '[0-9]{12,}') THEN 'program_code_boundary' WHEN gap >= 15 THEN 'gap_spaces' END AS reason FROM e)"""
 _CLEANED = r"trim(regexp_replace(label, '\s+', ' ', 'g'))"
 
 ORACLES = {
@@ -54,8 +62,8 @@ ORACLES = {
     "tree_descendant_max_page": f"WITH RECURSIVE {_UP}, {_MAXPAGE} SELECT id, greatest(below, own) AS max_page FROM last",
     "tree_search_with_ancestors": f"WITH RECURSIVE {_UP}, hits AS (SELECT id FROM {{tree}} WHERE lower(concat_ws(' ', label, code, kind)) LIKE '%urgent%' AND page <= 20) SELECT id, TRUE AS matched FROM hits UNION ALL SELECT DISTINCT u.ancestor, FALSE FROM up u JOIN hits h ON h.id = u.id WHERE u.ancestor NOT IN (SELECT id FROM hits)",
     "tree_visible_rows": f"WITH RECURSIVE {_UP} SELECT t.id FROM {{tree}} t WHERE NOT EXISTS (SELECT 1 FROM up u JOIN {{tree}} a ON a.id = u.ancestor WHERE u.id = t.id AND NOT (a.kind IN ('table_root', 'region') OR (a.kind = 'office' AND a.page % 2 = 0) OR (a.kind = 'program' AND a.page % 3 = 0)))",
-    "tree_children_lists": "SELECT parent AS id, string_agg(id, ',' ORDER BY doc_pos) AS children FROM {tree} WHERE kind <> 'subtotal' AND parent IS NOT NULL GROUP BY parent",
-    "tree_invariants": """WITH t AS (SELECT *, row_number() OVER (ORDER BY doc_pos) - 1 AS row_index FROM {tree} WHERE kind IN ('table_root', 'region', 'office')), b AS (SELECT * FROM t WHERE id NOT IN ('n3', 'r1'))
+    "tree_children_lists": "SELECT parent AS id, string_agg(id, ',' ORDER BY doc_pos) AS children FROM {tree} WHERE parent IS NOT NULL GROUP BY parent",
+    "tree_invariants": """WITH t AS (SELECT *, row_number() OVER (ORDER BY doc_pos) - 1 AS row_index FROM {tree}), b AS (SELECT * FROM t WHERE id NOT IN ('n3', 'r1'))
       SELECT 'row_index_not_dense' AS violation, '*' AS id FROM (SELECT count(*) AS n, max(row_index) AS m FROM b) WHERE m <> n - 1
       UNION ALL SELECT 'parent_missing', id FROM b WHERE parent IS NOT NULL AND parent NOT IN (SELECT id FROM b) UNION ALL SELECT 'bbox_without_page', id FROM b WHERE page IS NULL""",
     "shell_expansion": f"WITH RECURSIVE {_SHELLS} SELECT parent, id AS child FROM reach WHERE NOT synthetic",
@@ -68,7 +76,7 @@ ORACLES = {
       SELECT s.table_id, s.id, CASE WHEN s.expense THEN 'root' ELSE coalesce(f.found, 'root') END AS parent FROM s LEFT JOIN f ON f.table_id = s.table_id AND f.id = s.id""",
     "segment_carry": "WITH p AS (SELECT page, coalesce(page <> lag(page) OVER (ORDER BY page) + 1, FALSE) AS gap_reset FROM {row_pages}) SELECT page, CAST(sum(CASE WHEN gap_reset THEN 1 ELSE 0 END) OVER (ORDER BY page) AS BIGINT) AS segment_id, gap_reset FROM p",
     "gap_clusters": f"WITH {_CLUSTERS} SELECT page, CAST(cluster_no AS BIGINT) AS cluster_no, median(distance) AS centre, count(*) AS n FROM k GROUP BY page, cluster_no",
-    "unit_tier_centres": """WITH t AS (SELECT user_id AS page, distance FROM {ticks} WHERE event_id % 50 = user_id % 50), g AS (SELECT *, CASE WHEN lag(distance) OVER (PARTITION BY page ORDER BY distance DESC) - distance > 8 THEN 1 ELSE 0 END AS s FROM t),
+    "unit_tier_centres": """WITH t AS (SELECT user_id AS page, distance FROM {ticks}), g AS (SELECT *, CASE WHEN lag(distance) OVER (PARTITION BY page ORDER BY distance DESC) - distance > 8 THEN 1 ELSE 0 END AS s FROM t),
       k AS (SELECT *, sum(s) OVER (PARTITION BY page ORDER BY distance DESC RANGE UNBOUNDED PRECEDING) AS c FROM g), m AS (SELECT page, median(CASE WHEN c = 0 THEN distance END) AS f, median(CASE WHEN c > 0 THEN distance END) AS o, max(c) + 1 AS n FROM k GROUP BY page)
       SELECT page, CASE WHEN n > 1 OR f >= 466.5 THEN f END AS region_centre, CASE WHEN n = 1 AND f < 466.5 THEN f ELSE o END AS office_centre, n = 1 AS weak, n > 2 AS extra FROM m""",
     "nearest_centre": "SELECT event_id, CAST(arg_min(i, d * 1000 + i) AS BIGINT) AS level FROM (SELECT event_id, i, round(abs(distance - c) * 100) AS d FROM {ticks}, (SELECT unnest([514.6, 496.5, 480.0, 60.0, 45.0, 30.0, 15.0, 5.0]) AS c, generate_subscripts([514.6, 496.5, 480.0, 60.0, 45.0, 30.0, 15.0, 5.0], 1) - 1 AS i) x) y GROUP BY event_id",
@@ -80,21 +88,21 @@ ORACLES = {
     "row_total_cells": "SELECT page, band_id AS row_id, arg_max('Amount ' || CAST(token_id % 8 AS STRING), token_id) AS role, arg_max(text, token_id) AS text, arg_max_null(CASE WHEN token_id % 3 <= 1 THEN try_cast(regexp_replace(text, '[^0-9]', '', 'g') AS BIGINT) END, token_id) AS value, count(*) AS n_amounts FROM {tokens} WHERE token_id % 4 <> 1 GROUP BY 1, 2",
     "continuation_merge": """WITH r AS (SELECT *, supp % 4 = 0 AND qty % 2 = 0 AS goes_on, 'part ' || CAST(part AS STRING) AS label FROM {rows}), g AS (SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY table_id ORDER BY doc_pos) AS g FROM r)
       SELECT table_id, min(doc_pos) AS doc_pos, arg_min(id, doc_pos) AS id, string_agg(label, ' ' ORDER BY doc_pos) AS label, count(*) - 1 AS n_merged FROM g GROUP BY table_id, g""",
-    "subtotal_latest_match": """WITH r AS (SELECT table_id, doc_pos, id, supp, part % 40 AS key FROM {rows}) SELECT s.table_id, s.id AS subtotal_id, arg_max(r.id, r.doc_pos) AS parent_id FROM r s LEFT JOIN r ON r.table_id = s.table_id AND r.key = s.key AND r.doc_pos < s.doc_pos AND r.supp % 9 > 0 WHERE s.supp % 9 = 0 GROUP BY s.table_id, s.id""",
-    # ---- geometry
+    "subtotal_latest_match": """WITH r AS (SELECT table_id, doc_pos, id, supp, CAST(part % 40 AS STRING) || ' item' || CASE qty % 3 WHEN 0 THEN '' WHEN 1 THEN 's' ELSE 'ss' END AS key FROM {rows}),
+       s AS (SELECT table_id, doc_pos, id, unnest([key, key || 's', CASE WHEN key LIKE '%s' THEN left(key, length(key) - 1) END]) AS key FROM r WHERE supp % 9 = 0)
+       SELECT s.table_id, s.id AS subtotal_id, arg_max(r.id, r.doc_pos) AS parent_id FROM s LEFT JOIN r ON r.table_id = s.table_id AND r.key = s.key AND r.doc_pos < s.doc_pos AND r.supp % 9 > 0 GROUP BY s.table_id, s.id""",
     "median_mad": "WITH m AS (SELECT rank, median(CAST(amount AS DOUBLE)) AS m FROM {rows} GROUP BY rank) SELECT rank, count(*) AS n, any_value(m) AS median, median(abs(amount - m)) AS mad FROM {rows} JOIN m USING (rank) GROUP BY rank",
     "line_fit": "SELECT rank, round(regr_slope(line, qty), 6) AS slope, round(regr_intercept(line, qty), 6) AS intercept FROM {rows} GROUP BY rank",
     "column_drift_pairs": """WITH e AS (SELECT page, CAST(floor(x1 / 30) AS BIGINT) AS column_id, phrase_id, x1, y1 FROM {phrases} WHERE observation = 'money_candidate'),
       d AS (SELECT a.page, a.column_id, median((b.x1 - a.x1) / (b.y1 - a.y1)) AS d FROM e a JOIN e b ON b.page = a.page AND b.column_id = a.column_id AND a.phrase_id < b.phrase_id WHERE abs(b.y1 - a.y1) BETWEEN 8 AND 120 AND abs(b.x1 - a.x1) <= 12 GROUP BY 1, 2)
       SELECT page, column_id, round(CASE WHEN abs(d) <= 0.05 THEN d ELSE 0 END, 6) + 0E0 AS drift FROM (SELECT DISTINCT page, column_id FROM e) k LEFT JOIN d USING (page, column_id)""",
     "baseline_tolerance": "SELECT page, greatest(1.25E0, least(3E0, 0.22E0 * median(y1 + token_id % 5 - y0))) AS tolerance FROM {tokens} GROUP BY page",
-    "token_gap": """WITH g AS (SELECT page, band_id, lag(token_id) OVER w AS left_token_id, token_id AS right_token_id, x0 - lag(x1) OVER w AS gap FROM {tokens} WINDOW w AS (PARTITION BY page, band_id ORDER BY x0, token_id))
-      SELECT page, band_id, CAST(row_number() OVER (PARTITION BY page ORDER BY band_id, right_token_id) - 1 AS BIGINT) AS gap_id, left_token_id, right_token_id, round(gap, 2) AS gap_pt, round(gap / 5, 2) AS spaces, gap >= 9 AND gap / 5 >= 3 AS split, CASE WHEN gap >= 9 AND gap / 5 >= 3 THEN 'generic' ELSE 'none' END AS reason FROM g WHERE left_token_id IS NOT NULL""",
-    "phrase_materialize": r"""WITH g AS (SELECT *, CASE WHEN x0 - lag(x1) OVER w >= 15 THEN 1 ELSE 0 END AS s FROM {tokens} WINDOW w AS (PARTITION BY page, band_id ORDER BY x0, token_id)),
-      o AS (SELECT *, sum(s) OVER (PARTITION BY page, band_id ORDER BY x0, token_id) AS ordinal FROM g),
-      p AS (SELECT page, band_id, ordinal, string_agg(text, ' ' ORDER BY x0, token_id) AS text, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS n_tokens FROM o GROUP BY 1, 2, 3)
-      SELECT page, band_id, CAST(row_number() OVER (PARTITION BY page ORDER BY band_id, ordinal) - 1 AS BIGINT) AS phrase_id, text, x0, y0, x1, y1, n_tokens,
-        CASE WHEN regexp_matches(replace(text, ' ', ''), '^\d{12,}$') THEN 'code_candidate' WHEN regexp_matches(replace(text, ' ', ''), '^(\d{1,3}(,\d\d\d)+|\d+)$') THEN 'money_candidate' WHEN regexp_matches(text, '[0-9]') AND regexp_matches(replace(text, ' ', ''), '[^0-9,]') THEN 'mixed_candidate' ELSE 'text_candidate' END AS observation FROM p""",
+    "token_gap": f"""WITH {_SPLIT}, l AS (SELECT *, lag(token_id) OVER (PARTITION BY page, band_id ORDER BY x0, token_id) AS left_token_id FROM k)
+       SELECT page, band_id, CAST(row_number() OVER (PARTITION BY page ORDER BY band_id, x0, token_id) - 1 AS BIGINT) AS gap_id, left_token_id, token_id AS right_token_id, round(gap, 3) AS gap_pt, round(gap / 5, 3) AS spaces, reason IS NOT NULL AS split, reason FROM l WHERE left_token_id IS NOT NULL""",
+    "phrase_materialize": rf"""WITH {_SPLIT}, o AS (SELECT *, sum(CASE WHEN reason IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY page, band_id ORDER BY x0, token_id) AS ordinal FROM k),
+       p AS (SELECT page, band_id, ordinal, regexp_replace(regexp_replace(string_agg(text, ' ' ORDER BY x0, token_id), ' ([.,):;%])', '\1', 'g'), '\( ', '(', 'g') AS text, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS n_tokens FROM o GROUP BY 1, 2, 3),
+       q AS (SELECT *, replace(text, ' ', '') AS t FROM p)
+       SELECT page, band_id, CAST(row_number() OVER (PARTITION BY page ORDER BY band_id, ordinal) - 1 AS BIGINT) AS phrase_id, text, x0, y0, x1, y1, n_tokens, {_CLASS} AS observation FROM q""",
     "money_anchor_window": "WITH m AS (SELECT page, phrase_id, x1, max(x1) OVER (PARTITION BY page) AS r FROM {phrases} WHERE observation = 'money_candidate' AND length(replace(text, ',', '')) >= 4) SELECT page, phrase_id, x1 FROM m WHERE x1 >= r - 0.38E0 * 720E0",
     "column_summary": f"WITH {_SUMMARY} SELECT * FROM s",
     "reference_anchor": f"WITH {_SUMMARY}, w AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY recurring DESC, right_x DESC) AS k FROM s) SELECT page, right_x AS reference_x, CASE WHEN recurring THEN 'recurring' ELSE 'singleton' END AS support FROM w WHERE k = 1",
@@ -106,7 +114,7 @@ ORACLES = {
     "orphan_amounts": "WITH a AS (SELECT page, band_id, min(x0) AS f FROM {phrases} WHERE observation = 'money_candidate' GROUP BY 1, 2) SELECT p.page, p.phrase_id FROM {phrases} p JOIN a ON a.page = p.page AND a.band_id = p.band_id WHERE p.observation = 'money_candidate' AND NOT EXISTS (SELECT 1 FROM {phrases} l WHERE l.page = p.page AND l.band_id = p.band_id AND l.observation <> 'money_candidate' AND l.x1 <= a.f)",
     "unassigned_tokens": "SELECT page, token_id FROM {tokens} WHERE token_id % 16 = 1 OR y0 < 20",
     # ---- sections
-    "layout_span_lookup": "SELECT page, CASE WHEN page BETWEEN 13 AND 108 THEN 'by_ou' WHEN page BETWEEN 100 AND 690 THEN 'pap' ELSE 'unclassified' END AS table_type, CASE WHEN page BETWEEN 13 AND 108 THEN 'wraps_up' WHEN page BETWEEN 100 AND 690 THEN 'wraps_down' ELSE 'review' END AS wrap_direction FROM {row_pages}",
+    "layout_span_lookup": "SELECT page, CASE WHEN page BETWEEN 13 AND 108 THEN 'by_ou' WHEN page BETWEEN 100 AND 690 THEN 'pap' ELSE 'unclassified' END AS table_type, CASE WHEN page BETWEEN 13 AND 108 THEN 'wraps_up' WHEN page BETWEEN 100 AND 690 THEN 'wraps_down' ELSE 'review' END AS wrap_direction FROM {all_pages}",
     "band_range_clip": "SELECT DISTINCT page, band_id FROM {tokens} WHERE page BETWEEN 13 AND 60 AND (page <> 13 OR band_id >= 40) AND (page <> 60 OR band_id <= 90)",
     "gutter_exclusion": "SELECT page, phrase_id FROM {phrases} WHERE y1 <= 45",
     "column_interval_join": f"WITH {_COLUMNS} {_IN_COLUMN}",
@@ -115,21 +123,21 @@ ORACLES = {
     "row_range_join_down": f"WITH {_BOUNDS} {_DOWN}",
     "cell_grid": f"""WITH {_COLUMNS}, {_BOUNDS}, ic AS ({_IN_COLUMN}), ir AS ({_DOWN}), h AS (SELECT ir.page, ir.row_id, ic.column_id, p.phrase_id, p.band_id, p.x0, p.text, p.observation FROM ir JOIN ic ON ic.page = ir.page AND ic.phrase_id = ir.phrase_id JOIN {{phrases}} p ON p.page = ir.page AND p.phrase_id = ir.phrase_id)
       SELECT b.page, CAST(b.row_id AS BIGINT) AS row_id, CAST(c.column_id AS BIGINT) AS column_id, c.role, coalesce(string_agg(CAST(h.phrase_id AS STRING), ',' ORDER BY h.band_id, h.x0, h.phrase_id), '') AS phrase_ids, coalesce(string_agg(h.text, ' ' ORDER BY h.band_id, h.x0, h.phrase_id), '') AS text, count(h.phrase_id) = 0 AS empty
-      FROM b JOIN cols c ON c.page = b.page LEFT JOIN h ON h.page = b.page AND h.row_id = b.row_id AND h.column_id = c.column_id AND (h.observation = 'money_candidate') = (c.role <> 'Labels') WHERE b.page % 7 = 0 GROUP BY 1, 2, 3, 4""",
+      FROM b JOIN cols c ON c.page = b.page LEFT JOIN h ON h.page = b.page AND h.row_id = b.row_id AND h.column_id = c.column_id AND (h.observation = 'money_candidate') = (c.role <> 'Labels') GROUP BY 1, 2, 3, 4""",
     "header_sections": "WITH l AS (SELECT page, band_id, CASE WHEN band_id < 2 THEN 'title' ELSE 'columns' END AS role, string_agg(text, ' ' ORDER BY x0, phrase_id) AS line FROM {phrases} WHERE band_id < 6 GROUP BY 1, 2, 3) SELECT page, role, string_agg(line, chr(10) ORDER BY band_id) AS text, count(*) AS n_lines FROM l GROUP BY page, role",
     "cardinality_findings": """WITH m AS (SELECT page, band_id AS row_id, CASE WHEN x0 < 300 THEN 0 ELSE 1 END AS column_id, observation FROM {phrases}), c AS (SELECT page, row_id, column_id, count(*) FILTER (observation = 'text_candidate') AS t, count(*) FILTER (observation = 'money_candidate') AS m FROM m GROUP BY 1, 2, 3)
       SELECT page, 'multiple_main_text_candidates_in_row' AS code, row_id, CAST(NULL AS BIGINT) AS column_id FROM c GROUP BY page, row_id HAVING sum(t) > 1
       UNION ALL SELECT page, 'multiple_main_text_candidates_in_cell', row_id, CAST(column_id AS BIGINT) FROM c WHERE column_id = 0 AND t > 1 UNION ALL SELECT page, 'multiple_money_candidates_in_cell', row_id, CAST(column_id AS BIGINT) FROM c WHERE column_id = 1 AND m > 1 UNION ALL SELECT page, 'main_text_candidate_outside_label_cell', row_id, CAST(column_id AS BIGINT) FROM c WHERE column_id = 1 AND t > 0""",
     "flag_objects": """SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY seq) - 1 AS BIGINT) AS flag_id, code, coalesce(severity, 'review') AS severity, CASE WHEN cell_id IS NOT NULL THEN 'cell_section' WHEN row_id IS NOT NULL THEN 'row_section' WHEN column_id IS NOT NULL THEN 'column_section' WHEN band_id IS NOT NULL THEN 'band' ELSE 'page' END AS object_type, coalesce(cell_id, row_id, column_id, band_id) AS object_id,
       CASE code WHEN 'multiple_money_candidates_in_cell' THEN 'Amount cell contains more than one money candidate.' WHEN 'no_main_text_anchor' THEN 'No main label anchor was available for the label column.' WHEN 'main_text_candidate_outside_label_cell' THEN 'Main label candidate was assigned outside the label column.' ELSE code END AS message FROM {findings}""",
-    "best_overlap_region": """WITH r AS (SELECT page, phrase_id AS region_id, phrase_id % 3 AS priority, x0 AS a0, y0 AS b0, x0 + 100 AS a1, y0 + 30 AS b1 FROM {phrases} WHERE phrase_id % 40 = 2), j AS (SELECT p.page, p.phrase_id, r.region_id, r.priority, greatest(0, least(x1, a1) - greatest(x0, a0)) * greatest(0, least(y1, b1) - greatest(y0, b0)) AS area, (x0 + x1) / 2 BETWEEN a0 AND a1 AND (y0 + y1) / 2 BETWEEN b0 AND b1 AS c FROM {phrases} p JOIN r ON r.page = p.page),
+    "best_overlap_region": """WITH r AS (SELECT page, phrase_id AS region_id, phrase_id % 3 AS priority, x0 AS a0, y0 AS b0, x0 + 100 AS a1, y0 + 30 AS b1 FROM {phrases}), j AS (SELECT p.page, p.phrase_id, r.region_id, r.priority, greatest(0, least(x1, a1) - greatest(x0, a0)) * greatest(0, least(y1, b1) - greatest(y0, b0)) AS area, (x0 + x1) / 2 BETWEEN a0 AND a1 AND (y0 + y1) / 2 BETWEEN b0 AND b1 AS c FROM {phrases} p JOIN r ON r.page = p.page),
       k AS (SELECT *, row_number() OVER (PARTITION BY page, phrase_id ORDER BY CASE WHEN area > 0 THEN area ELSE 1 END DESC, priority, region_id) AS k FROM j WHERE area > 0 OR c) SELECT page, phrase_id AS line_id, region_id FROM k WHERE k = 1""",
     "majority_region": "WITH c AS (SELECT page, band_id, CAST(floor(x0 / 240) AS BIGINT) AS region_id, count(*) AS n, min(token_id) AS f FROM {tokens} WHERE token_id % 7 > 0 GROUP BY 1, 2, 3), k AS (SELECT *, row_number() OVER (PARTITION BY page, band_id ORDER BY n DESC, f) AS k FROM c) SELECT page, band_id AS line_id, region_id FROM k WHERE k = 1",
-    "grid_rows": "WITH v AS (SELECT page, x0 AS v FROM {tokens} WHERE page % 5 = 0), d AS (SELECT page, v, count(*) AS n FROM v GROUP BY 1, 2), s AS (SELECT *, CASE WHEN v - lag(v) OVER (PARTITION BY page ORDER BY v) > 18 THEN 1 ELSE 0 END AS s FROM d), k AS (SELECT *, sum(s) OVER (PARTITION BY page ORDER BY v) AS line_no FROM s) SELECT page, CAST(line_no AS BIGINT) AS line_no, round(sum(v * n) / sum(n), 4) AS position, CAST(sum(n) AS BIGINT) AS n FROM k GROUP BY 1, 2",
+    "grid_rows": "WITH v AS (SELECT page, x0 AS v FROM {tokens}), d AS (SELECT page, v, count(*) AS n FROM v GROUP BY 1, 2), s AS (SELECT *, CASE WHEN v - lag(v) OVER (PARTITION BY page ORDER BY v) > 18 THEN 1 ELSE 0 END AS s FROM d), k AS (SELECT *, sum(s) OVER (PARTITION BY page ORDER BY v) AS line_no FROM s) SELECT page, CAST(line_no AS BIGINT) AS line_no, round(sum(v * n) / sum(n), 4) AS position, CAST(sum(n) AS BIGINT) AS n FROM k GROUP BY 1, 2",
     "polygon_corners": "SELECT phrase_id, round(720E0 * (y0 * 10 + x0 * 1000) / (720000E0 - 80) - 0, 4) AS x, round(y0 + 8E0 / 720 * (720E0 * (y0 * 10 + x0 * 1000) / (720000E0 - 80)), 4) AS y FROM {phrases}",
     # ---- text
-    "observation_classify": r"SELECT token_id, CASE WHEN regexp_matches(text, '^(\d+|\d{1,3}(,\d\d\d)+)$') THEN 'money_candidate' WHEN text = 'Road' THEN 'text_candidate' ELSE 'mixed_candidate' END AS observation, CASE WHEN text LIKE '%,%' THEN 1E0 WHEN regexp_matches(text, '^\d+$') THEN 0.45E0 ELSE 0E0 END AS confidence FROM {tokens}",
-    "amount_parse": "SELECT token_id, try_cast(regexp_replace(text, '[^0-9]', '', 'g') AS BIGINT) AS amount FROM {tokens}",
+    "observation_classify": f"SELECT token_id, {_CLASS} AS observation, CASE WHEN NOT regexp_full_match(t, '[0-9]{{12,}}') AND regexp_full_match(t, '[0-9]+([.][0-9]+)?') THEN 0.45E0 WHEN {_CLASS} IN ('money_candidate', 'code_candidate', 'marker_candidate') THEN 1E0 ELSE 0E0 END AS confidence FROM (SELECT token_id, replace(text, ' ', '') AS t FROM {{marked}}) m",
+    "amount_parse": "SELECT token_id, try_cast(regexp_replace(text, '[^0-9]', '', 'g') AS BIGINT) AS amount FROM {marked}",
     "label_normalize": rf"SELECT id, trim(regexp_replace(regexp_replace(trim(regexp_replace(lower(label), '\(\s*s\s*\)', ' ', 'g')), '^[a-z]\.\d*\s+', ''), '[^a-z0-9]+', ' ', 'g')) AS label, {_CLEANED} AS cleaned FROM {{labels}}",
     "kind_classify": "SELECT id, CASE WHEN id % 6 = 2 THEN 'region' WHEN id % 6 = 4 THEN 'office' WHEN id % 6 = 5 AND rank <= 3 THEN 'program' WHEN rank >= 7 THEN 'project' WHEN rank >= 5 THEN 'intermediate' ELSE 'group' END AS kind FROM {labels}",
     "unit_kind_classify": "SELECT id, CASE WHEN length(code) = 15 AND substr(code, 7) = '000000000' THEN 'program' WHEN length(code) = 15 THEN 'activity' WHEN doc_pos % 2 = 1 THEN CASE WHEN doc_pos % 3 = 0 THEN 'region' ELSE 'tier1_uncoded' END ELSE 'office' END AS kind FROM {coded}",
@@ -157,19 +165,19 @@ ORACLES = {
     "role_resolution": f"WITH {_ROLES} SELECT * FROM res",
     "amount_pivot": f"WITH {_ROLES}, a AS (SELECT id, resolved, value FROM {{amounts}} JOIN res USING (page, role) WHERE resolved IS NOT NULL) SELECT id, max(value) FILTER (resolved = 'PS') AS ps, max(value) FILTER (resolved = 'MOOE') AS mooe, max(value) FILTER (resolved = 'CO') AS co, max(value) FILTER (resolved = 'Total') AS total FROM a GROUP BY id",
     "export_rows": "SELECT CAST(1 AS BIGINT) AS table_id, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS row_index, id, kind, page, length(kind) AS tier_pdf, label, code, parent FROM {tree} WHERE NOT synthetic",
-    "column_vocabulary": "WITH r AS (SELECT DISTINCT CASE value % 3 WHEN 0 THEN 'Total' WHEN 1 THEN 'MOOE' ELSE role END AS role FROM {amounts}) SELECT CAST(row_number() OVER (ORDER BY CASE role WHEN 'PS' THEN 1 WHEN 'MOOE' THEN 2 WHEN 'CO' THEN 3 WHEN 'Total' THEN 99 ELSE 50 END, role) - 1 AS BIGINT) AS position, role FROM r",
+    "column_vocabulary": "WITH r AS (SELECT DISTINCT CASE value % 3 WHEN 0 THEN 'Total' WHEN 1 THEN 'MOOE' ELSE role END AS role FROM {amounts}) SELECT CAST(row_number() OVER (ORDER BY CASE role WHEN 'PS' THEN 1 WHEN 'MOOE' THEN 2 WHEN 'CO' THEN 3 WHEN 'Total' THEN 9999 ELSE 100 + CAST(substr(role, 8) AS BIGINT) END, role) - 1 AS BIGINT) AS position, role FROM r",
     "page_span": "SELECT table_id, min(page) AS first_page, max(page) AS last_page, count(*) AS n_nodes FROM {rows} GROUP BY table_id",
-    "table_of_page": "WITH s AS (SELECT table_id, min(page) AS f, max(page) AS l FROM {rows} WHERE page % 50 = table_id GROUP BY 1) SELECT page, table_id FROM {row_pages}, s WHERE page < 40 AND page BETWEEN f AND l",
-    "flag_page_filter": "SELECT page FROM {findings} GROUP BY page HAVING count(*) FILTER (code IN ('no_main_text_anchor', 'other_code')) > 0 AND count(*) FILTER (code = 'main_text_candidate_outside_label_cell') = 0",
-    "box_hit_test": "WITH j AS (SELECT p.phrase_id AS point_id, b.phrase_id AS box_id, row_number() OVER (PARTITION BY p.phrase_id ORDER BY abs((b.y0 + b.y1) / 2 - (p.y0 + 3)), b.y1 - b.y0, (b.x1 - b.x0) * (b.y1 - b.y0), b.phrase_id) AS k FROM {phrases} p JOIN {phrases} b ON b.page = p.page AND p.x0 + 1 BETWEEN b.x0 AND b.x1 AND p.y0 + 3 BETWEEN b.y0 AND b.y1 WHERE p.phrase_id % 16 = 1) SELECT point_id, box_id FROM j WHERE k = 1",
+    "table_of_page": "WITH s AS (SELECT table_id, min(page) AS f, max(page) AS l FROM {rows} GROUP BY 1) SELECT page, table_id FROM {all_pages}, s WHERE page BETWEEN f AND l",
+    "flag_page_filter": "SELECT page FROM {findings} GROUP BY page HAVING count(*) FILTER (code IN ('no_main_text_anchor', 'multiple_money_candidates_in_cell')) > 0 AND count(*) FILTER (code = 'main_text_candidate_outside_label_cell' AND page % 3 = 0) = 0",
+    "box_hit_test": "WITH j AS (SELECT p.phrase_id AS point_id, b.phrase_id AS box_id, row_number() OVER (PARTITION BY p.phrase_id ORDER BY abs((b.y0 + b.y1) / 2 - (p.y0 + 3)), b.y1 - b.y0, (b.x1 - b.x0) * (b.y1 - b.y0), b.phrase_id) AS k FROM {phrases} p JOIN {phrases} b ON b.page = p.page AND p.x0 + 1 BETWEEN b.x0 AND b.x1 AND p.y0 + 3 BETWEEN b.y0 AND b.y1) SELECT point_id, box_id FROM j WHERE k = 1",
     "natural_sort": "WITH p AS (SELECT p_partkey AS row_index, CASE WHEN p_partkey % 7 > 0 THEN p_brand END AS brand FROM part) SELECT row_index, brand, CAST(row_number() OVER (ORDER BY brand IS NULL DESC, CAST(regexp_extract(brand, '([0-9]+)', 1) AS BIGINT) DESC, row_index) - 1 AS BIGINT) AS place FROM p",
-    "tree_lines": """SELECT CAST(1 AS BIGINT) AS table_id, n AS row_index, '{{"row_index":' || n || ',"id":"' || id || '","kind":"' || kind || '"}}' AS json FROM (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS n FROM {tree} WHERE kind IN ('region', 'office') AND NOT synthetic) t""".replace("{{", "{").replace("}}", "}"),
+    "tree_lines": """SELECT CAST(1 AS BIGINT) AS table_id, n AS row_index, '{{"row_index":' || n || ',"id":"' || id || '","kind":"' || kind || '"}}' AS json FROM (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS n FROM {tree} WHERE NOT synthetic) t""".replace("{{", "{").replace("}}", "}"),
     # ---- sources
     "lenient_page_lists": "WITH s AS (SELECT id, id % 9 AS a, id % 13 AS b, id % 5 + 1 AS c FROM {labels}), p AS (SELECT id, unnest(CASE WHEN a >= 1 AND b >= a THEN range(a, b + 1) ELSE []::BIGINT[] END || [CAST(3 AS BIGINT), c]) AS p FROM s) SELECT id, string_agg(CAST(p AS STRING), ',' ORDER BY p) AS pages FROM (SELECT DISTINCT id, p FROM p) d GROUP BY id",
-    "page_spec_filter": "SELECT page FROM {row_pages} WHERE page BETWEEN 1 AND 3 OR page BETWEEN 5 AND 7 OR page BETWEEN 20 AND 40",
+    "page_spec_filter": "SELECT page FROM {all_pages} WHERE page BETWEEN 1 AND 3 OR page BETWEEN 5 AND 7 OR page BETWEEN 20 AND 40",
     "recognised_tokens": """WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY line) - 1 AS line_id, CAST(part % 300 AS DOUBLE) AS x FROM {lines}), t AS (SELECT l_orderkey AS page, line_id, 0 AS w, CASE WHEN line % 2 = 0 THEN 'a' ELSE 't' END AS text, x FROM l UNION ALL SELECT l_orderkey, line_id, 1, CAST(qty AS STRING), x + 60 FROM l WHERE line % 2 = 0)
       SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY line_id, w) - 1 AS BIGINT) AS token_id, CAST(line_id AS BIGINT) AS line_id, text, round(x * 0.36E0, 2) AS x0, round((x + 50) * 0.36E0, 2) AS x1 FROM t""",
-    "page_union": "SELECT page FROM {row_pages} WHERE page % 2 = 0 OR page % 3 = 0",
+    "page_union": "SELECT page FROM {all_pages} WHERE page % 2 = 0 OR page % 3 = 0",
     "index_upsert": "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'new' ELSE p_brand END AS p_brand FROM part",
     "storage_estimate": "SELECT CAST(722 * (110000 + 25000 + 12000) + 1000 AS BIGINT) AS n_bytes",
     "flag_index": "SELECT page, count(*) AS n_flags FROM {findings} WHERE code <> 'other_code' GROUP BY page",
@@ -192,8 +200,8 @@ ORACLES = {
     "seed_role_lookup": "WITH c AS (SELECT page, CAST(floor(x1 / 90) AS BIGINT) AS column_id, min(x0) AS l FROM {phrases} GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY l, column_id) - 1 AS k FROM c) SELECT page, column_id, CASE WHEN page = 13 AND column_id = 8 THEN 'Total' WHEN page = 13 AND column_id = 6 THEN 'CO' WHEN k = 0 THEN 'Labels' ELSE 'Amount ' || CAST(k AS STRING) END AS role FROM r",
     "centre_displacement": f"""WITH {_CLUSTERS}, cl AS (SELECT page, cluster_no, median(distance) AS centre FROM k GROUP BY 1, 2), j AS (SELECT cl.*, c, row_number() OVER (PARTITION BY page, cluster_no ORDER BY abs(centre - c), c DESC) AS n FROM cl, (SELECT unnest([120E0, 100E0, 80E0, 60E0, 45E0, 30E0, 15E0, 0E0]) AS c) x) SELECT page, CAST(cluster_no AS BIGINT) AS cluster_no, round(centre, 3) AS centre, c AS profile, round(abs(centre - c), 3) AS displacement FROM j WHERE n = 1 AND abs(centre - c) > 4""",
     "open_levels_at_end": "WITH r AS (SELECT table_id, doc_pos, rank FROM {rows} WHERE NOT attached) SELECT table_id, count(*) AS n_open FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.table_id = r.table_id AND q.doc_pos > r.doc_pos AND q.rank <= r.rank) GROUP BY table_id",
-    "type_gate_failures": "SELECT page, 'expected pap, found ' || CASE WHEN page BETWEEN 13 AND 108 THEN 'by_ou' ELSE 'unclassified' END AS message FROM {row_pages} WHERE NOT page BETWEEN 109 AND 690",
-    "pages_off_span": "SELECT page FROM {row_pages} WHERE page < 13 OR page > 108",
+    "type_gate_failures": "SELECT page, 'expected pap, found ' || CASE WHEN page BETWEEN 13 AND 108 THEN 'by_ou' ELSE 'unclassified' END AS message FROM {all_pages} WHERE NOT page BETWEEN 109 AND 690",
+    "pages_off_span": "SELECT page FROM {all_pages} WHERE page < 13 OR page > 108",
     "tree_page_slice": "WITH n AS (SELECT page, count(*) AS n FROM {tree} WHERE page IS NOT NULL GROUP BY 1), f AS (SELECT page, count(*) AS f FROM {findings} GROUP BY 1) SELECT coalesce(n.page, f.page) AS page, coalesce(n, 0) AS n_nodes, coalesce(f, 0) AS n_flags FROM n FULL OUTER JOIN f ON f.page = n.page",
     "centre_statistics": """WITH r AS (SELECT user_id, CAST(floor(distance / 25) AS BIGINT) AS level, distance FROM {ticks}), m AS (SELECT level, median(distance) AS m FROM r GROUP BY 1)
       SELECT level, count(*) AS n, count(DISTINCT user_id) AS n_pages, min(distance) AS least, max(distance) AS greatest, round(quantile_cont(distance, 0.05), 6) AS p05, round(quantile_cont(distance, 0.95), 6) AS p95, round(median(abs(distance - m)), 6) AS mad, round(max(abs(distance - level * 25)), 6) AS furthest FROM r JOIN m USING (level) GROUP BY level""",
@@ -201,7 +209,7 @@ ORACLES = {
     "repaired_claims": "SELECT page, CASE WHEN phrase_id % 24 = 2 AND phrase_id % 7 > 0 THEN phrase_id + 8 ELSE phrase_id - 1 END AS label_id, phrase_id AS amount_id FROM {phrases} WHERE phrase_id % 4 = 2 AND (phrase_id % 5 > 0 OR (phrase_id % 24 = 2 AND phrase_id % 7 > 0))",
     "layout_region_filter": "WITH b AS (SELECT page, CASE WHEN phrase_id % 5 = 0 THEN 'header' ELSE 'table' END AS label, round(phrase_id % 100 / 100, 4) AS score, round(x0 / 2, 2) AS x0, round(y0 / 2, 2) AS y0, round(x1 / 2, 2) AS x1, round(y1 / 2, 2) AS y1 FROM {phrases} WHERE phrase_id % 100 >= 40) SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY y0, x0, label, score) - 1 AS BIGINT) AS region_id, label, score, x0, y0, x1, y1, label = 'header' AS chrome FROM b",
     "money_or_year": "SELECT token_id, CASE token_id % 4 WHEN 2 THEN NOT (length(text) = 5 AND try_cast(replace(text, ',', '') AS INT) BETWEEN 1900 AND 2100) ELSE FALSE END AS is_money FROM {tokens}",
-    "cell_text_fill": """WITH c AS (SELECT page, phrase_id AS cell_id, x0, y0, x0 + 90 AS x1, y0 + 40 AS y1 FROM {phrases} WHERE phrase_id % 40 = 2), j AS (SELECT c.page, c.cell_id, p.y0, p.x0, p.text, p.phrase_id FROM c JOIN {phrases} p ON p.page = c.page
+    "cell_text_fill": """WITH c AS (SELECT page, phrase_id AS cell_id, x0, y0, x0 + 90 AS x1, y0 + 40 AS y1 FROM {phrases}), j AS (SELECT c.page, c.cell_id, p.y0, p.x0, p.text, p.phrase_id FROM c JOIN {phrases} p ON p.page = c.page
         WHERE ((p.x0 + p.x1) / 2 BETWEEN c.x0 AND c.x1 AND (p.y0 + p.y1) / 2 BETWEEN c.y0 AND c.y1) OR greatest(0, least(c.x1, p.x1) - greatest(c.x0, p.x0)) * greatest(0, least(c.y1, p.y1) - greatest(c.y0, p.y0)) >= 0.05E0 * 3600),
       f AS (SELECT *, lag(text) OVER (PARTITION BY page, cell_id ORDER BY y0, x0, text, phrase_id) AS b FROM j) SELECT page, cell_id, string_agg(text, ' ' ORDER BY y0, x0, text, phrase_id) AS text FROM f WHERE b IS NULL OR b <> text GROUP BY 1, 2""",
     "grid_quality": "WITH g AS (SELECT page, y0 AS r, CAST(floor(x0 / 90) AS BIGINT) AS c FROM {tokens}), n AS (SELECT page, count(DISTINCT r) AS n_rows, count(DISTINCT c) AS n_columns FROM g GROUP BY 1), u AS (SELECT page, count(*) AS n FROM (SELECT DISTINCT page, r, c FROM g) d GROUP BY 1) SELECT page, n_rows, n_columns, round(n / (n_rows * n_columns), 3) AS fill, n_rows >= 3 AND n_columns >= 2 AND n / (n_rows * n_columns) >= 0.15 AS ok FROM n JOIN u USING (page)",
@@ -212,9 +220,22 @@ ORACLES = {
       v AS (SELECT page, mode = 'passthrough' AND carry IN ('lattice', 'amount_anchored') AS t, mode, carry, CAST(confidence AS DOUBLE) AS confidence FROM w)
       SELECT page, 0 AS zone_id, CASE WHEN t THEN carry ELSE mode END AS mode, CASE WHEN t THEN 0.55E0 ELSE confidence END AS confidence, CASE WHEN t THEN 'review' WHEN confidence >= 0.8 THEN 'accept' WHEN confidence >= 0.5 THEN 'review' ELSE 'reject' END AS status FROM v""",
     "header_roles": "SELECT id, CASE id % 4 WHEN 0 THEN 'PS' WHEN 1 THEN 'CO' WHEN 2 THEN 'MOOE' END AS role FROM {labels}",
-    "csv_rows": """WITH n AS (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS row_index FROM {tree} WHERE kind <> 'activity' AND NOT synthetic), v AS (SELECT 'c' || CAST(CAST(floor(value / 64) AS BIGINT) AS STRING) AS id, value % 2 AS odd, max(value) AS value FROM {amounts} GROUP BY 1, 2)
-      SELECT row_index, n.id, kind, page, label, code, p.value AS ps, CAST(NULL AS BIGINT) AS mooe, CAST(NULL AS BIGINT) AS co, t.value + 1 AS total FROM n LEFT JOIN v p ON p.id = n.id AND p.odd = 0 LEFT JOIN v t ON t.id = n.id AND t.odd = 1 WHERE kind <> 'table_root'""",
+    "csv_rows": """WITH n AS (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS row_index FROM {tree} WHERE NOT synthetic), v AS (SELECT 'c' || CAST(CAST(floor(value / 64) AS BIGINT) AS STRING) AS id, value % 2 AS odd, max(value) AS value FROM {amounts} GROUP BY 1, 2),
+       c AS (SELECT n.*, n.parent AS pdf, CASE WHEN kind = 'program' THEN 'root' ELSE n.parent END AS prexc FROM n), x AS (SELECT c.*, f.kind IS NULL AS lost, g.id AS grand, h.kind IS NULL AS lost_grand FROM c LEFT JOIN n f ON f.id = c.pdf LEFT JOIN n g ON g.id = c.pdf LEFT JOIN n h ON h.id = g.parent)
+       SELECT row_index, x.id, kind, page, CAST(length(kind) AS BIGINT) AS tier_pdf, label, code, pdf AS parent_id_pdf, prexc AS parent_id_prexc,
+         CAST(CASE kind WHEN 'region' THEN 1 WHEN 'office' THEN 2 WHEN 'program' THEN CASE WHEN lost THEN 0 ELSE 3 END ELSE CASE WHEN lost THEN 0 WHEN lost_grand THEN 1 ELSE 4 END END AS BIGINT) AS depth_pdf,
+         CAST(CASE kind WHEN 'region' THEN 1 WHEN 'office' THEN 2 WHEN 'program' THEN 1 ELSE CASE WHEN lost THEN 0 ELSE 2 END END AS BIGINT) AS depth_prexc, CASE WHEN length(code) = 15 THEN substr(code, 7, 1) END AS prexc_identifier,
+         p.value AS ps, CAST(NULL AS BIGINT) AS mooe, CAST(NULL AS BIGINT) AS co, t.value + 1 AS total FROM x LEFT JOIN v p ON p.id = x.id AND p.odd = 0 LEFT JOIN v t ON t.id = x.id AND t.odd = 1 WHERE kind <> 'table_root'""",
     "station_chips": "SELECT id, 'K ' || CAST(rank AS STRING) || CASE WHEN id % 2 = 0 THEN ' – end' ELSE '' END AS chip FROM {labels}",
-    "flag_messages": "SELECT page, seq, CASE seq % 3 WHEN 0 THEN 'info' ELSE 'review' END AS severity, CASE seq % 3 WHEN 0 THEN 'Continuation fragment row was merged into the previous row.' WHEN 1 THEN 'Page distance fit used fewer than two supported clusters.' ELSE code END AS message FROM {findings}",
+    "flag_messages": "SELECT page, seq, CASE seq % 3 WHEN 0 THEN 'info' ELSE 'review' END AS severity, CASE seq % 3 WHEN 0 THEN 'Continuation fragment row was merged into the previous row.' WHEN 1 THEN 'Page distance fit used fewer than two supported clusters.' ELSE CASE code WHEN 'multiple_money_candidates_in_cell' THEN 'Inherited from stage 002.20: ambiguous amount cell.' WHEN 'main_text_candidate_outside_label_cell' THEN 'Inherited from stage 002.20: label candidate outside label column.' ELSE code END END AS message FROM {findings}",
     "label_anatomy": rf"SELECT CAST(id AS STRING) AS id, CASE id % 6 WHEN 0 THEN regexp_replace({_CLEANED}, ' - K.*$', '') WHEN 1 THEN regexp_replace({_CLEANED}, ' \(14.*$', '') ELSE {_CLEANED} END AS label, CASE WHEN id % 6 < 2 THEN {_CLEANED} END AS label_ocr, CAST(CASE WHEN id % 6 = 0 THEN 1 ELSE 0 END AS BIGINT) AS n_chainages, CAST(CASE WHEN id % 6 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_coordinates FROM {{labels}}",
+    "plan_csv_rows": r"""WITH n AS (SELECT *, CAST(row_number() OVER (ORDER BY doc_pos) - 1 AS BIGINT) AS row_index FROM {tree} WHERE NOT synthetic), l AS (SELECT 'c' || CAST(id AS STRING) AS id, id % 6 AS m, label FROM {labels})
+       SELECT row_index, n.id, n.kind, n.page, CAST(length(kind) AS BIGINT) AS tier_pdf, n.label, n.code, n.parent AS parent_id, n.amount,
+         CASE WHEN m = 0 THEN '[{"kind": "K", "from": "' || regexp_extract(l.label, 'K([0-9]+) \+ ([0-9]+) - K', 1) || '+' || regexp_extract(l.label, 'K([0-9]+) \+ ([0-9]+) - K', 2) || '", "to": "' || regexp_extract(l.label, '- K([0-9]+) \+ ([0-9]+)$', 1) || '+' || regexp_extract(l.label, '- K([0-9]+) \+ ([0-9]+)$', 2) || '"}]' END AS chainages,
+         CASE WHEN m = 1 THEN round(CAST(regexp_extract(l.label, '\((14[.][0-9]+)', 1) AS DOUBLE), 6) END AS lat, CASE WHEN m = 1 THEN round(CAST(regexp_extract(l.label, '(120[.][0-9]+)\)', 1) AS DOUBLE), 6) END AS lon
+       FROM n LEFT JOIN l ON l.id = n.id WHERE kind <> 'table_root'""",
+    "tree_expand_ancestors": f"WITH RECURSIVE {_UP} SELECT DISTINCT u.ancestor AS id FROM up u JOIN {{tree}} t ON t.id = u.id WHERE t.page = 7 AND t.kind = 'activity'",
+    "tree_row_list": """WITH t AS (SELECT *, CASE WHEN kind = 'program' THEN 'root' ELSE parent END AS up FROM {tree})
+       SELECT id, doc_pos, CAST(CASE kind WHEN 'table_root' THEN 0 WHEN 'region' THEN 1 WHEN 'program' THEN 1 ELSE 2 END AS BIGINT) AS depth, id IN (SELECT up FROM t WHERE up IS NOT NULL) AS has_children FROM t""",
+    "header_cues": "SELECT id, id % 4 = 0 AS amount_header, id % 4 = 1 AS year, id % 4 = 2 AS unit FROM {labels}",
 }

@@ -14,14 +14,11 @@ from gridledger.sources import documents, specs
 QUERIES = {}
 
 
-def query(*inputs, whole=()):
-    """Registers a function of input frames under its name, as (spark, sf_dir) -> DataFrame; with whole also as
-    ..._whole over those inputs."""
+def query(*inputs):
+    """Registers a function of input frames under its name, as (spark, sf_dir) -> DataFrame."""
 
     def register(f):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(*(read_input(spark, sf_dir, n) for n in inputs))
-        if whole:
-            QUERIES[f"{f.__name__}_whole"] = lambda spark, sf_dir: f(*(read_input(spark, sf_dir, n) for n in whole))
         return f
 
     return register
@@ -81,14 +78,14 @@ def tree_visible_rows(tree):
 
 @query("tree")
 def tree_children_lists(tree):
-    return hierarchy.children(tree.where("kind <> 'subtotal'")).select("id", F.concat_ws(",", "children").alias("children"))
+    return hierarchy.children(tree).select("id", F.concat_ws(",", "children").alias("children"))
 
 
 @query("tree")
 def tree_invariants(tree):
     """Over a tree with planted faults: an office and a row number are missing, some boxes have no page."""
     w = Window.orderBy("doc_pos")
-    broken = tree.where("kind in ('table_root', 'region', 'office')").withColumn("row_index", F.row_number().over(w) - 1).where("id <> 'n3' and id <> 'r1'")
+    broken = tree.withColumn("row_index", F.row_number().over(w) - 1).where("id <> 'n3' and id <> 'r1'")
     return hierarchy.invariants(broken.withColumn("has_bbox", F.lit(True)))
 
 
@@ -128,12 +125,6 @@ def gap_clusters(ticks):
 
 @query("ticks")
 def unit_tier_centres(ticks):
-    return hierarchy.unit_tiers(ticks.where("event_id % 50 = user_id % 50").withColumnRenamed("user_id", "page"))
-
-
-# Beside a query whose SQL takes only some of the pages, points or cells stands one over all of them, without SQL.
-@query("ticks")
-def unit_tier_centres_whole(ticks):
     return hierarchy.unit_tiers(ticks.withColumnRenamed("user_id", "page"))
 
 
@@ -170,7 +161,7 @@ def continuation_merge(rows):
 
 @query("rows")
 def subtotal_latest_match(rows):
-    key = F.concat(F.lit("item"), F.when(F.col("qty") % 2 == 0, F.lit("s")).otherwise(F.lit("")), F.lit(" "), (F.col("part") % 40).cast("string"))
+    key = F.concat((F.col("part") % 40).cast("string"), F.lit(" item"), F.repeat(F.lit("s"), F.col("qty").cast("int") % 3))
     keyed = rows.withColumn("key", key)
     return hierarchy.latest_match(keyed.where("supp % 9 > 0").select("table_id", "doc_pos", "id", "key"), keyed.where("supp % 9 = 0").select("table_id", "doc_pos", "id", "key"))
 
@@ -200,12 +191,12 @@ def baseline_tolerance(tokens):
     return geometry.baseline_tolerance(tokens.withColumn("y1", F.col("y1") + F.col("token_id") % 5))
 
 
-@query("tokens")
+@query("marked")
 def token_gap(tokens):
     return geometry.token_gaps(tokens, F.lit(5.0))
 
 
-@query("tokens")
+@query("marked")
 def phrase_materialize(tokens):
     out = geometry.phrases(tokens, F.lit(5.0))
     return out.select("page", "band_id", "phrase_id", "text", "x0", "y0", "x1", "y1", F.size("token_ids").cast("bigint").alias("n_tokens"), "observation")
@@ -280,7 +271,7 @@ def _spans(frame):
     return frame.sparkSession.createDataFrame([(1, 13, 108, "by_ou", "wraps_up"), (2, 100, 690, "pap", "wraps_down")], "`order` int, start_page bigint, end_page bigint, table_type string, wrap_direction string")
 
 
-@query("row_pages", whole=("all_pages",))
+@query("all_pages")
 def layout_span_lookup(pages):
     return sections.layout_spans(pages, _spans(pages))
 
@@ -330,15 +321,6 @@ def row_range_join_down(phrases):
 
 @query("phrases")
 def cell_grid(phrases):
-    return _cell_grid(phrases.where("page % 7 = 0"))
-
-
-@query("phrases")
-def cell_grid_whole(phrases):
-    return _cell_grid(phrases)
-
-
-def _cell_grid(phrases):
     rows = sections.row_bounds(_boundaries(phrases), wraps_down=True)
     columns = _columns(phrases)
     out = sections.cells(phrases, rows, columns, sections.in_row(phrases, rows, True), sections.in_column(phrases, columns))
@@ -366,16 +348,7 @@ def flag_objects(findings):
 
 @query("phrases")
 def best_overlap_region(phrases):
-    return _best_overlap_region(phrases, phrases.where("phrase_id % 40 = 2"))
-
-
-@query("phrases")
-def best_overlap_region_whole(phrases):
-    return _best_overlap_region(phrases, phrases)
-
-
-def _best_overlap_region(phrases, some):
-    regions = some.select("page", F.col("phrase_id").alias("region_id"), (F.col("phrase_id") % 3).alias("priority"), F.col("x0").alias("x0"), F.col("y0").alias("y0"), (F.col("x0") + 100).alias("x1"), (F.col("y0") + 30).alias("y1"))
+    regions = phrases.select("page", F.col("phrase_id").alias("region_id"), (F.col("phrase_id") % 3).alias("priority"), F.col("x0").alias("x0"), F.col("y0").alias("y0"), (F.col("x0") + 100).alias("x1"), (F.col("y0") + 30).alias("y1"))
     return sections.best_region(phrases.withColumnRenamed("phrase_id", "line_id"), regions)
 
 
@@ -386,11 +359,6 @@ def majority_region(tokens):
 
 @query("tokens")
 def grid_rows(tokens):
-    return sections.grid_lines(tokens.where("page % 5 = 0"), F.col("x0"), 18.0)
-
-
-@query("tokens")
-def grid_rows_whole(tokens):
     return sections.grid_lines(tokens, F.col("x0"), 18.0)
 
 
@@ -401,12 +369,12 @@ def polygon_corners(phrases):
 
 
 # ---- text ------------------------------------------------------------------------------------------------
-@query("tokens")
+@query("marked")
 def observation_classify(tokens):
     return tokens.select("token_id", lexical.observation(F.col("text")).alias("observation"), lexical.observation_confidence(F.col("text")).alias("confidence"))
 
 
-@query("tokens")
+@query("marked")
 def amount_parse(tokens):
     return tokens.select("token_id", lexical.amount(F.col("text")).alias("amount"))
 
@@ -538,34 +506,21 @@ def page_span(rows):
     return export.page_span(rows)
 
 
-@query("rows", "row_pages")
-def table_of_page(rows, pages):
-    spans = export.page_span(rows.where("page % 50 = table_id")).select("table_id", "first_page", "last_page")
-    return export.table_of_page(pages.where("page < 40"), spans)
-
-
 @query("rows", "all_pages")
-def table_of_page_whole(rows, pages):
+def table_of_page(rows, pages):
     return export.table_of_page(pages, export.page_span(rows).select("table_id", "first_page", "last_page"))
 
 
 @query("findings")
 def flag_page_filter(findings):
-    return export.flag_filter(findings.select("page").distinct(), findings, ["no_main_text_anchor", "other_code"], ["main_text_candidate_outside_label_cell"])
+    """The excluded flag only counts on every third page, so that some pages are left."""
+    flagged = findings.where("code <> 'main_text_candidate_outside_label_cell' or page % 3 = 0")
+    return export.flag_filter(findings.select("page").distinct(), flagged, ["no_main_text_anchor", "multiple_money_candidates_in_cell"], ["main_text_candidate_outside_label_cell"])
 
 
 @query("phrases")
 def box_hit_test(phrases):
-    return _box_hit_test(phrases, phrases.where("phrase_id % 16 = 1"))
-
-
-@query("phrases")
-def box_hit_test_whole(phrases):
-    return _box_hit_test(phrases, phrases)
-
-
-def _box_hit_test(phrases, some):
-    points = some.select("page", F.col("phrase_id").alias("point_id"), (F.col("x0") + 1).alias("px"), (F.col("y0") + 3).alias("py"))
+    points = phrases.select("page", F.col("phrase_id").alias("point_id"), (F.col("x0") + 1).alias("px"), (F.col("y0") + 3).alias("py"))
     return export.hit_test(points, phrases.withColumnRenamed("phrase_id", "box_id"))
 
 
@@ -576,7 +531,7 @@ def natural_sort(part):
 
 @query("tree")
 def tree_lines(tree):
-    rows = export.slim_nodes(tree.where("kind in ('region', 'office')").withColumns({"table_id": F.lit(1).cast("bigint"), "tier": F.lit(2).cast("bigint")}))
+    rows = export.slim_nodes(tree.withColumns({"table_id": F.lit(1).cast("bigint"), "tier": F.lit(2).cast("bigint")}))
     return export.tree_json(rows.select("table_id", "row_index", "id", "kind"))
 
 
@@ -587,7 +542,7 @@ def lenient_page_lists(labels):
     return labels.select("id", F.concat_ws(",", F.transform(specs.lenient_pages(spec), lambda x: x.cast("string"))).alias("pages"))
 
 
-@query("row_pages", whole=("all_pages",))
+@query("all_pages")
 def page_spec_filter(pages):
     wanted = specs.page_frame(pages.sparkSession, specs.parse_pages("1-2,3,5-7,20-40"))
     return pages.join(F.broadcast(wanted), "page", "left_semi")
@@ -605,7 +560,7 @@ def recognised_tokens(lines):
     return out.select("page", "token_id", "line_id", "text", F.col("bbox.x0").alias("x0"), F.col("bbox.x1").alias("x1"))
 
 
-@query("row_pages", whole=("all_pages",))
+@query("all_pages")
 def page_union(pages):
     return documents.merge_pages(pages.where("page % 2 = 0"), pages.where("page % 3 = 0"))
 
@@ -700,12 +655,12 @@ def open_levels_at_end(rows):
     return row_ops.open_at_end(rows.select("table_id", "doc_pos", F.when(~F.col("attached"), F.col("rank")).alias("rank")))
 
 
-@query("row_pages", whole=("all_pages",))
+@query("all_pages")
 def type_gate_failures(pages):
     return row_ops.type_gate(sections.layout_spans(pages, _spans(pages)), "pap")[1]
 
 
-@query("row_pages", whole=("all_pages",))
+@query("all_pages")
 def pages_off_span(pages):
     return row_ops.span_split(pages, 13, 108)[1]
 
@@ -753,16 +708,7 @@ def money_or_year(tokens):
 
 @query("phrases")
 def cell_text_fill(phrases):
-    return _cell_text_fill(phrases, phrases.where("phrase_id % 40 = 2"))
-
-
-@query("phrases")
-def cell_text_fill_whole(phrases):
-    return _cell_text_fill(phrases, phrases)
-
-
-def _cell_text_fill(phrases, some):
-    cells = some.select("page", F.col("phrase_id").alias("cell_id"), "x0", "y0", (F.col("x0") + 90).alias("x1"), (F.col("y0") + 40).alias("y1"))
+    cells = phrases.select("page", F.col("phrase_id").alias("cell_id"), "x0", "y0", (F.col("x0") + 90).alias("x1"), (F.col("y0") + 40).alias("y1"))
     return regions.cell_texts(cells, phrases.withColumnRenamed("phrase_id", "line_id"))
 
 
@@ -778,18 +724,49 @@ def zone_schema(pages):
     return regions.zone_schemas(zones)
 
 
+@query("labels")
+def header_cues(labels):
+    text = F.when(F.col("id") % 4 == 0, F.lit("Amount  (PhP)")).when(F.col("id") % 4 == 1, F.lit("FY 2027, Proposed")).when(F.col("id") % 4 == 2, F.lit("(in thousand pesos)")).otherwise(F.lit("amounts of 12027"))
+    c = regions.header_cues(text)
+    return labels.select("id", c["amount_header"].alias("amount_header"), c["year"].alias("year"), c["unit"].alias("unit"))
+
+
 @query("labels")
 def header_roles(labels):
-    text = F.when(F.col("id") % 4 == 0, F.lit("Personnel  Services")).when(F.col("id") % 4 == 1, F.lit("Capital Outlay, total")).when(F.col("id") % 4 == 2, F.lit("MOOE")).otherwise(F.lit("cost"))
+    text = F.when(F.col("id") % 4 == 0, F.concat(F.lit("Personnel"), F.when(F.col("id") % 8 == 0, F.lit("  Services")).otherwise(F.lit("")))).when(F.col("id") % 4 == 1, F.lit("Capital Outlay, total")).when(F.col("id") % 4 == 2, F.lit("MOOE")).otherwise(F.lit("cost"))
     return labels.select("id", regions.header_role(text).alias("role"))
 
 
+def _dual(tree):
+    """Programmes hang on their office in print and on the root by code."""
+    return tree.withColumns({"table_id": F.lit(1).cast("bigint"), "tier": F.length("kind").cast("bigint"), "parent_pdf": F.col("parent"), "parent_prexc": F.when(F.col("kind") == "program", F.lit("root")).otherwise(F.col("parent"))})
+
+
 @query("tree", "amounts")
 def csv_rows(tree, amounts):
-    nodes = export.slim_nodes(tree.where("kind <> 'activity'").withColumns({"table_id": F.lit(1).cast("bigint"), "tier": F.lit(1).cast("bigint")}))
     values = amounts.select(F.concat(F.lit("c"), F.expr("value div 64").cast("string")).alias("id"), F.when(F.col("value") % 2 == 0, F.lit("PS")).otherwise(F.lit("Total")).alias("role"), "value").groupBy("id", "role").agg(F.max("value").alias("value"))
     totals_of = values.where("role = 'Total'").select("id", "role", (F.col("value") + 1).alias("value"))
-    return export.csv_rows(nodes, values, totals_of)
+    return export.unit_csv_rows(export.slim_nodes(_dual(tree)), values, totals_of)
+
+
+@query("tree", "labels")
+def plan_csv_rows(tree, labels):
+    """Labels read for stations and places, on the nodes of the customers of the same number."""
+    read = anatomy.label_anatomy(labels).select(F.concat(F.lit("c"), "id").alias("id"), "chainages", "coordinates")
+    amounts = tree.where("amount is not null").select("id", F.lit("AMOUNT (Php)").alias("role"), F.col("amount").alias("value"))
+    out = export.plan_csv_rows(export.slim_nodes(_dual(tree)), amounts, amounts.limit(0), read)
+    return out.withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
+
+
+@query("tree")
+def tree_row_list(tree):
+    expanded = tree.where("kind <> 'office' or page % 2 = 0").select("id")
+    return hierarchy.row_list(_dual(tree), expanded, "parent_prexc")
+
+
+@query("tree")
+def tree_expand_ancestors(tree):
+    return hierarchy.expand_ancestors(tree, tree.where("page = 7 and kind = 'activity'").select("id"))
 
 
 @query("labels")

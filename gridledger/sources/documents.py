@@ -39,16 +39,42 @@ def bbox(points: Column) -> Column:
     return F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
 
 
+LINE = "array<struct<text:string,score:double,points:array<array<double>>,words:array<string>,word_points:array<array<array<double>>>>>"
+
+
+def payload_lines(payloads: Column, nested: str | None = "res") -> Column:
+    """Lines of a page's recognition payloads in order, as recognised_tokens() takes them.
+
+    payloads: array<struct<texts, scores, polygons, words, word_boxes, res>>; a payload without texts of its own stands for
+    the payloads in its res, and one without texts or polygons gives nothing.
+    """
+
+    def lines(p: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.size(p["texts"]) - 1, F.lit(0)))
+        at = lambda c, i: F.get(p[c], i)
+        line = lambda i: F.struct(at("texts", i).alias("text"), F.round(at("scores", i), 4).alias("score"), at("polygons", i).alias("points"), at("words", i).alias("words"), at("word_boxes", i).alias("word_points"))
+        none = F.array().cast(LINE)
+        own = F.when(F.coalesce(F.size(p["texts"]), F.lit(0)) > 0, F.transform(numbers, line).cast(LINE)).otherwise(none)
+        own = F.when(p["polygons"].isNull(), none).otherwise(own)
+        return F.when(p["texts"].isNull(), F.coalesce(payload_lines(p[nested], None), none)).otherwise(own) if nested else own
+
+    return F.flatten(F.transform(F.filter(payloads, lambda p: p.isNotNull()), lines))
+
+
 def recognised_tokens(results: DataFrame, dpi: float) -> DataFrame:
     """page, token_id, line_id, text, bbox (points), confidence of recognition results.
 
-    results: page, lines array<struct<text, score, points, words array<string>, word_points>>. A line with word
-    boxes gives a token a word, another one token; ids are dense in reading order.
+    results: page, lines array<struct<text, score, points, words array<string>, word_points>>. A line gives a token for
+    each word that isn't blank and has a box; a line without any gives one token. Ids are dense in reading order.
     """
     scale = F.lit(POINTS_PER_INCH / dpi)
     lines = results.select("page", F.posexplode("lines").alias("line_id", "l"))
-    words = F.when(F.coalesce(F.size("l.words"), F.lit(0)) > 0, F.arrays_zip(F.col("l.words").alias("text"), F.col("l.word_points").alias("points"))).otherwise(F.array(F.struct(F.col("l.text").alias("text"), F.col("l.points").alias("points"))))
-    tokens = lines.select("page", "line_id", F.col("l.score").alias("confidence"), F.posexplode(words).alias("word", "t"))
+    boxed = F.least(F.size("l.words"), F.size("l.word_points"))
+    words = F.filter(F.slice(F.arrays_zip(F.col("l.words").alias("text"), F.col("l.word_points").alias("points")), F.lit(1), boxed), lambda w: F.trim(w["text"]) != "")
+    words = F.transform(words, lambda w: F.struct(F.trim(w["text"]).alias("text"), w["points"].alias("points")))
+    found = F.when(F.coalesce(boxed, F.lit(0)) > 0, words)
+    whole = F.array(F.struct(F.col("l.text").alias("text"), F.col("l.points").alias("points")))
+    tokens = lines.select("page", "line_id", F.round("l.score", 4).alias("confidence"), F.posexplode(F.when(F.coalesce(F.size(found), F.lit(0)) > 0, found).otherwise(whole)).alias("word", "t"))
     box = bbox(F.col("t.points"))
     scaled = F.struct(*[F.round(box[c] * scale, 2).alias(c) for c in ("x0", "y0", "x1", "y1")])
     number = F.row_number().over(Window.partitionBy("page").orderBy("line_id", "word")) - 1

@@ -1,8 +1,11 @@
 """The document-table operators on small cases with known results, and on random cases against plain Python."""
 
 import random
+import statistics
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridledger.functions import codes, lexical
@@ -88,6 +91,81 @@ def test_phrases(spark):
     assert [r.text for r in code] == ["310101100238000", "Road"]
 
 
+def split(spark, row, width=5.0):
+    t = tokens(spark, row)
+    texts = [r.text for r in geometry.phrases(t, F.lit(width)).orderBy("phrase_id").collect()]
+    return texts, [r.reason for r in geometry.token_gaps(t, F.lit(width)).orderBy("gap_id").collect()]
+
+
+def test_why_phrases_split(spark):
+    currency = [(0, "TOTAL", 40, 80), (0, "P", 280, 282), (0, "14", 289, 297), (0, ",", 299, 301), (0, "922", 304, 316), (0, "P603", 324, 340), (0, ",", 343, 345), (0, "000", 348, 360)]
+    assert split(spark, currency) == (["TOTAL", "P 14, 922", "P603, 000"], ["currency_prefix_boundary", None, None, None, "currency_prefix_boundary", None, None])
+    assert split(spark, [(0, "Rent", 10, 30), (0, "P", 33, 38), (0, "1,234", 40, 65)]) == (["Rent", "P 1,234"], ["currency_prefix_boundary", None])
+    assert split(spark, [(0, "Phase", 10, 30), (0, "P", 33, 38), (0, "one", 40, 55)]) == (["Phase P one"], [None, None])  # a letter is no currency
+    assert split(spark, [(0, "P1", 10, 20), (0, "and", 22, 30), (0, "PHP5", 33, 50)]) == (["P1 and", "PHP5"], [None, "currency_prefix_boundary"])
+    # A marker whose full stop has too wide a box, from its left edge and its signs.
+    assert split(spark, [(0, "1", 181.08, 182.52), (0, ".", 185.4, 192.6), (0, "Preventive", 199.8, 237.24)], 3.74) == (["1.", "Preventive"], [None, "marker_compensated_gap"])
+    assert split(spark, [(0, "12", 10, 20), (0, ")", 20, 24), (0, "Roads", 34, 60)]) == (["12)", "Roads"], [None, "marker_raw_gap"])
+    assert split(spark, [(0, "a.", 10, 20), (0, "Roads", 28, 60)]) == (["a. Roads"], [None])
+    assert split(spark, [(0, "Alpha", 10, 30), (0, "Beta", 38, 54)], 4.0) == (["Alpha Beta"], [None])
+    assert split(spark, [(0, "1" + "0" * 14, 131.4, 190.8), (0, "General", 201.24, 226.44), (0, "Administration", 236.16, 290.52)]) == (["1" + "0" * 14, "General Administration"], ["program_code_boundary", None])
+
+
+def plain_medians(values, tolerance):
+    """Each value to the nearest running median within tolerance, the oldest of equals."""
+    members, centres, out = [], [], []
+    for v in values:
+        near = [(abs(v - c), k) for k, c in enumerate(centres) if abs(v - c) <= tolerance]
+        k = min(near)[1] if near else len(members)
+        if not near:
+            members.append([])
+            centres.append(v)
+        members[k].append(v)
+        centres[k] = statistics.median(members[k])
+        out.append((k, centres[k]))
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=40), st.integers(1, 6))
+def test_running_medians_as_plainly(values, tolerance):
+    medians = geometry.RunningMedians()
+    got = []
+    for v in values:
+        k = medians.add(float(v), tolerance)
+        got.append((k, medians.centres[k]))
+    assert got == plain_medians(values, tolerance)
+
+
+def test_votes_on_a_slope():
+    import numpy as np
+
+    x = np.tile(np.arange(5) * 100.0, 6)
+    slopes = [0.004, 0.004, 0.004, 0.0045, 0.0035, 0.02 + 0.001]
+    y = np.repeat(np.arange(6) * 50.0, 5) + x * np.repeat(slopes, 5)
+    found = bands.consensus([bands.Band(list(range(5 * k, 5 * k + 5)), 0.0) for k in range(6)], x, y, 150.0, 2.0)
+    # The last band is too steep to vote; the others agree, with a spread of nothing.
+    assert found.accepted and found.value == pytest.approx(0.004) and found.confidence == pytest.approx(5 / 6)
+    spread = bands.consensus([bands.Band(list(range(5 * k, 5 * k + 5)), 0.0) for k in range(3)], x, y + x * np.repeat([0.001, 0, -0.001, 0, 0, 0], 5), 150.0, 2.0)
+    assert spread.confidence == pytest.approx(3 / 6 * (1 - 0.001 / 0.0025))
+    assert not bands.consensus([bands.Band([0, 1, 2, 3, 4], 0.0)], x, y, 150.0, 2.0).accepted and not bands.consensus([], x, y, 150.0, 2.0).accepted
+
+
+def test_halves_of_a_row_merge():
+    import numpy as np
+
+    def join(right, rise):
+        box = np.array([[40, 92, 90, 100], [95, 92, 140, 100], [right, 92 + rise, right + 40, 100 + rise], [40, 112, 90, 120]], float)
+        x, y = (box[:, 0] + box[:, 2]) / 2, box[:, 3]
+        made = [bands.Band([0, 1], 100.0), bands.Band([2], 100.0 + rise), bands.Band([3], 120.0)]
+        return [sorted(b.rows) for b in bands.reconciled(made, box, x, y, 2.0, 360.0)]
+
+    assert join(400, 3.0) == [[0, 1, 2], [3]]
+    assert join(400, 12.0) == [[0, 1], [2], [3]]  # too steep
+    assert join(180, 1.0) == [[0, 1], [2], [3]]  # too near
+    assert join(130, 0.5) == [[0, 1], [2], [3]]  # one lies over the other
+
+
 def test_columns_and_pairs(spark):
     rows = [(1, b, 2 * b, "Label", "text_candidate", 100.0, 140.0, 20.0 * b, 20.0 * b + 8) for b in range(3)] + [(1, b, 2 * b + 1, "1,000", "money_candidate", 500.0, 560.0, 20.0 * b, 20.0 * b + 8) for b in range(3)]
     p = spark.createDataFrame(rows, "page bigint, band_id bigint, phrase_id bigint, text string, observation string, x0 double, x1 double, y0 double, y1 double")
@@ -527,3 +605,19 @@ def test_more_stations_and_places():
     assert place("South 8.1S, 125.2E") == ("South", [(-8.1, 125.2, "decimal_hem", None, False, False)])
     assert place("(RS: 10.98N, 124.91E) Bank") == ("Bank", [(10.98, 124.91, "decimal_hem", "RS", False, False)])
     assert place("Sta 12.5, 13.5 Lobo, Solo") == ("Sta 12.5, 13.5 Lobo, Solo", [])
+
+
+def test_payloads_of_a_page(spark):
+    from gridledger.sources import documents
+
+    box = [[10.0, 20.0], [30.0, 40.0]]
+    flat = "texts:array<string>,scores:array<double>,polygons:array<array<array<double>>>,words:array<array<string>>,word_boxes:array<array<array<array<double>>>>"
+    kind = f"page bigint, payloads array<struct<{flat},res:array<struct<{flat}>>>>"
+    words = (["a b", "c"], [0.91234, 0.5], [box, box], [["a", " ", "b", "more"], []], [[box, box, box], []])
+    alone = (["d"], None, [box], None, None)
+    none = (None,) * 5
+    rows = [(1, [(*words, None), None, (*none, [alone, none, words]), (*none, None)]), (2, [])]
+    df = spark.createDataFrame(rows, kind).select("page", documents.payload_lines(F.col("payloads")).alias("lines"))
+    out = documents.recognised_tokens(df, 72.0).orderBy("token_id").collect()
+    assert [(r.page, r.line_id, r.text, r.confidence) for r in out] == [(1, 0, "a", 0.9123), (1, 0, "b", 0.9123), (1, 1, "c", 0.5), (1, 2, "d", None), (1, 3, "a", 0.9123), (1, 3, "b", 0.9123), (1, 4, "c", 0.5)]
+    assert out[0].bbox.x1 == 30.0

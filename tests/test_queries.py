@@ -40,30 +40,3 @@ def test_query(spark, duck, name):
         return
     want = duck.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in columns)} FROM ({sql}) AS q").fetchall()
     assert plain(rows) == plain(want)
-
-
-#: Queries over all rows, and what the SQL of the query they stand beside says more than theirs.
-WHOLE = {
-    "unit_tier_centres": [(" WHERE event_id % 50 = user_id % 50", "")],
-    "table_of_page": [(" WHERE page % 50 = table_id", ""), ("page < 40 AND ", ""), (" WHERE page % 10 <> 7", "")],
-    "cell_grid": [(" WHERE b.page % 7 = 0", "")],
-    "grid_rows": [(" WHERE page % 5 = 0", "")],
-    "box_hit_test": [(" WHERE p.phrase_id % 16 = 1", "")],
-    "cell_text_fill": [(" WHERE phrase_id % 40 = 2", "")],
-    "best_overlap_region": [(" WHERE phrase_id % 40 = 2", "")],
-    **{n: [(" WHERE page % 10 <> 7", "")] for n in ("layout_span_lookup", "page_spec_filter", "page_union", "type_gate_failures", "pages_off_span")},
-}
-
-
-@pytest.mark.parametrize("name", sorted(WHOLE))
-def test_whole_query(spark, duck, name):
-    sql = plans.oracle_sql()[name]
-    for some, everything in WHOLE[name]:
-        assert some in sql
-        sql = sql.replace(some, everything)
-    out = plans.queries()[f"{name}_whole"](spark, SF)
-    columns = sorted(out.columns)
-    asked = f"SELECT {', '.join(chr(34) + c + chr(34) for c in columns)} FROM "
-    want = plain(duck.sql(f"{asked}({sql}) AS q").fetchall())
-    assert plain(out.select(*[f"`{c}`" for c in columns]).collect()) == want
-    assert want != plain(duck.sql(f"{asked}({plans.oracle_sql()[name]}) AS q").fetchall())

@@ -36,6 +36,27 @@ def test_tokens_to_totals(spark, tmp_path):
         stages.run(spark, tokens, str(tmp_path), first="totals", last="geometry")
 
 
+def test_documents_with_equal_pages_stay_apart(spark, tmp_path):
+    """Two documents give the union of what each gives alone, from tokens to checks."""
+    top, mid = 680 - 514.6, 680 - 496.5
+    drawn = {"x": [("Roads", top, "100,000"), ("North", mid, "60,000"), ("South", mid, "40,000")], "y": [("Ports", top, "9,000"), ("Pier", mid, "8,000"), ("Quay", mid, "500"), ("Dock", mid, "500")]}
+    kind = "document string, page bigint, token_id bigint, text string, x0 double, x1 double, y0 double, y1 double"
+    rows = {d: [(d, *t) for t in page(r)] for d, r in drawn.items()}
+    both = stages.run(spark, spark.createDataFrame(rows["x"] + rows["y"], kind), str(tmp_path / "both"))
+    for table in ("bands", "gaps", "phrases", "columns", "pairs", "cells", "nodes", "checks"):
+        got = {str(tuple(r)) for r in both[table].collect()}
+        columns = [c for c in both[table].columns if c != "document"]
+        want = set()
+        for d in drawn:
+            name = str(tmp_path / d)
+            if table == "bands":
+                stages.run(spark, spark.createDataFrame(rows[d], kind).drop("document"), name)
+            stage = next(k for k in ("geometry", "sections", "hierarchy", "totals") if (tmp_path / d / k / table).exists())
+            want |= {str((d, *r)) for r in spark.read.parquet(f"{name}/{stage}/{table}").select(*columns).collect()}
+        order = [both[table].columns.index(c) for c in ("document", *columns)]
+        assert {str(tuple(r[i] for i in order)) for r in both[table].collect()} == want and got, table
+
+
 def test_enriched_labels(spark):
     rows = [(1, 1, "Road Program", 300.0, 60.0), (1, 2, "This aims to widen K0012 + 100 - K0013 + 200", 0.0, 0.0), (2, 1, "Pier (14.701817, 120.928578)", 0.0, 0.0), (3, 1, "Plain", 0.0, 0.0)]
     out = {r.id: r for r in anatomy.enriched_labels(spark.createDataFrame(rows, "id bigint, line_no int, text string, run_gap_pt double, run_gap_spaces double")).collect()}
