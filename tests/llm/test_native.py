@@ -1,9 +1,12 @@
 """Operators in DataFrame functions, against plain Python."""
 
 import hashlib
+import math
 import random
 import re
+import string
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -46,6 +49,23 @@ def test_shards_are_contiguous_and_near_equal(documents):
     assert len(by) == 10
 
 
+def test_shards_as_plainly(documents):
+    """Every row's shard and slot from prefix sums over the whole sorted table."""
+    rng = random.Random(23)
+    rows = [(rng.choice([None, *range(120)]), rng.choice([None, "", "é" * rng.randrange(40), "x" * int(rng.paretovariate(0.7) * 5 % 900)])) for _ in range(400)]
+    size = lambda t: len((t or "").encode()) + 16
+    crc = lambda t: zlib.crc32((t or "").encode())
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, crc(r[1]), size(r[1])))
+    total, at, want, filled = sum(size(t) for _, t in rows), 0, [], Counter()
+    for d, t in order:
+        shard = min(39, (2 * at + size(t)) * 40 // (2 * total))
+        want.append((d, size(t), crc(t), shard, filled[shard]))
+        filled[shard] += 1
+        at += size(t)
+    out = [(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in shards.byte_shards(documents(rows), 40).collect()]
+    assert Counter(out) == Counter(want)
+
+
 def test_shards_of_odd_rows_and_none(documents):
     check_shards(ODD, shards.byte_shards(documents(ODD), n_shards=3).collect(), 3)
     assert shards.byte_shards(documents([]), n_shards=3).count() == 0
@@ -167,6 +187,75 @@ def test_random_tokens_are_found_and_words_are_not(documents):
         assert [t[int(a) : int(b)] for _, a, b in spans] == ([planted[i]] if i in planted else []), i
 
 
+def plain_log_p(s):
+    """The battery by its definition: counts, runs and correlation of one token."""
+    n = len(s)
+    _, size, uneven = next(e for e in secrets.ENCODINGS if re.search(e[0], s))
+    distance = sum((v - n / size) ** 2 for v in Counter(s).values()) * size / n + (size - len(set(s))) * n / size
+    excess = (n - 1) * (size * uneven - 1)
+    z_even = (size - 1 + excess - distance) / math.sqrt(2 * (size - 1) + 4 * excess)
+    runs = re.sub("[^aB0]+", "-", re.sub("[0-9]+", "0", re.sub("B+", "B", re.sub("[A-Z]+[_-]?", "B", re.sub("a+", "a", re.sub("[A-Z]?[a-z]+[_-]?", "a", s))))))
+    rate = secrets.CLASS_CHANGES
+    z_runs = (len(runs) - 1 - (n - 1) * rate) / math.sqrt(max(n - 1, 1) * rate * (1 - rate))
+    x = [ord(c) for c in s]
+    mean = sum(x) / n
+    spread = sum((v - mean) ** 2 for v in x)
+    serial = sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / spread if spread > 1e-9 else 1.0
+    clip = lambda z: max(-6.0, min(6.0, z))
+    z = ((clip(z_even) + clip(z_runs)) / math.sqrt(2) - max(0.0, abs(serial) * math.sqrt(n) - 3)) / secrets.DISPERSION
+    return math.log10(1 + math.exp(min(600.0, 1.5976 * z + 0.070565 * z**3)))
+
+
+def names_of_words(rng, n):
+    """A name of n characters from the words of the licence templates, in one of five styles."""
+    words, out, style = " ".join(t.words for t in licenses.TEMPLATES).split(), "", rng.choice(["snake", "camel", "plain", "upper", "kebab"])
+    while len(out) < n:
+        w = rng.choice(words)
+        out += {"camel": w.capitalize(), "plain": w, "upper": w.upper() + "_", "snake": w + "_", "kebab": w + "-"}[style]
+        if rng.random() < 0.1:
+            out += str(rng.randrange(100))
+    return out[:n]
+
+
+def test_p_values_hold_on_names_of_words():
+    rng = random.Random(21)
+    for n in (16, 20, 24, 32, 48, 96):
+        p = [plain_log_p(names_of_words(rng, n)) for _ in range(6000)]
+        for k in (1, 2, 3):
+            assert sum(v >= k for v in p) / len(p) <= 10**-k * 1.2, (n, k)
+        keys = [plain_log_p("".join(rng.choices(string.ascii_letters + string.digits, k=n))) for _ in range(500)]
+        assert sum(v >= 2 for v in keys) / len(keys) > (0.7 if n < 24 else 0.95)
+
+
+def test_the_battery_and_its_discoveries_as_plainly(documents):
+    """Every token's p-value, the false-discovery cuts and the spans, worked out again in plain Python."""
+    rng = random.Random(22)
+    signs = [string.ascii_letters + string.digits + "+/", string.digits, "0123456789abcdef", string.ascii_uppercase + "234567", string.ascii_lowercase, string.ascii_lowercase + string.digits, "ab", "_-/+Z"]
+    given = []
+    for i in range(120):
+        parts = [names_of_words(rng, rng.randrange(3, 60)) for _ in range(20)] + ["".join(rng.choices(rng.choice(signs), k=rng.randrange(16, 110))) for _ in range(rng.choice([0, 0, 1, 4]))]
+        rng.shuffle(parts)
+        given.append((i, rng.choice([" ", "\n", " é "]).join(parts)))
+    tokens = [(d, m.start(), m.end(), plain_log_p(m[0])) for d, t in given for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}={0,2}", t)]
+    stratum = lambda t: sum(t[2] - t[1] >= s for s in secrets.STRATA)
+    binned = lambda t: min(secrets.BINS, math.floor(t[3] * 10))
+    cut = {}
+    for s in range(len(secrets.STRATA) + 1):
+        own = sorted((binned(t) for t in tokens if stratum(t) == s), reverse=True)
+        fits = [b for k, b in enumerate(own, 1) if (k == len(own) or own[k] < b) and 10 ** (-b / 10) <= 0.001 * k / len(own)]
+        cut[s] = min(fits, default=secrets.BINS + 1)
+    out = {r.doc_id: r.spans for r in secrets.scan(documents(given)).collect()}
+    edge = lambda t: abs(t[3] * 10 - round(t[3] * 10)) < 1e-6  # noqa: E731  a p-value on the edge of a bin may fall on either side
+    n = 0
+    for d, t in given:
+        base = [(a, b) for a, _, b in plain_spans(t)]
+        want = {f"random:{a}:{b}" for i, a, b, p in tokens if i == d and binned((i, a, b, p)) >= cut[stratum((i, a, b, p))] and not any(x < b and a < y for x, y in base) and not edge((i, a, b, p))}
+        got = {x for x in out[d].split(",") if x.startswith("random")}
+        assert want <= got and len(got - want) <= sum(edge(x) for x in tokens if x[0] == d)
+        n += len(want)
+    assert n > 20
+
+
 def test_very_long_tokens(documents):
     rng = random.Random(5)
     key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200_000))
