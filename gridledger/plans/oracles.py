@@ -5,6 +5,16 @@ from __future__ import annotations
 _WHY = "CASE WHEN c.kind IN ('subtotal', 'grand_total') THEN 1 WHEN c.excluded THEN 1 WHEN c.code IS NOT NULL AND substr(c.code, 7, 1) IN ('2', '3') THEN 1 ELSE 0 END"
 
 
+def _medians(value: str, order: str, tolerance: float, where: str) -> str:
+    """Row by row of a page: the members of all clusters so far, and the cluster that the row joins."""
+    near = f"list_min(list_filter(list_transform(s.members, lambda m, i: {{{{'d': abs(r.v - list_aggregate(m, 'median')), 'i': i}}}}), lambda e: e.d <= {tolerance}))"
+    return f"""WITH RECURSIVE r AS (SELECT page, phrase_id AS id, {value} AS v, row_number() OVER (PARTITION BY page ORDER BY {order}, phrase_id) AS n FROM {{phrases}} WHERE {where}),
+       s AS (SELECT page, id, n, [[v]] AS members, CAST(1 AS BIGINT) AS k FROM r WHERE n = 1
+         UNION ALL SELECT page, id, n, CASE WHEN near IS NULL THEN list_append(members, [v]) ELSE list_transform(members, lambda m, i: CASE WHEN i = near.i THEN list_append(m, v) ELSE m END) END, CAST(coalesce(near.i, len(members) + 1) AS BIGINT)
+         FROM (SELECT r.page, r.id, r.n, r.v, s.members, {near} AS near FROM s JOIN r ON r.page = s.page AND r.n = s.n + 1) AS j)
+       SELECT s.page, s.id, s.k - 1 AS cluster, list_aggregate(f.members[s.k], 'median') AS centre FROM s JOIN (SELECT page, arg_max(members, n) AS members FROM s GROUP BY page) f ON f.page = s.page""".replace("{{", "{").replace("}}", "}")
+
+
 def _checks(boundary: str = "FALSE", tolerance: int = 0, kids: str = "SELECT * FROM {tree}", parents: str = "TRUE", extra: str = "") -> str:
     return f"""
     kids AS ({kids}),
@@ -238,4 +248,6 @@ ORACLES = {
     "tree_row_list": """WITH t AS (SELECT *, CASE WHEN kind = 'program' THEN 'root' ELSE parent END AS up FROM {tree})
        SELECT id, doc_pos, CAST(CASE kind WHEN 'table_root' THEN 0 WHEN 'region' THEN 1 WHEN 'program' THEN 1 ELSE 2 END AS BIGINT) AS depth, id IN (SELECT up FROM t WHERE up IS NOT NULL) AS has_children FROM t""",
     "header_cues": "SELECT id, id % 4 = 0 AS amount_header, id % 4 = 1 AS year, id % 4 = 2 AS unit FROM {labels}",
+    "amount_column_clusters": _medians("x1", "x1, y1", 7.5, "observation = 'money_candidate'"),
+    "label_indent_clusters": _medians("x0", "x0, y0", 5.0, "observation <> 'money_candidate'"),
 }

@@ -210,7 +210,7 @@ def money_anchor_window(phrases):
 @query("phrases")
 def amount_column_clusters(phrases):
     shaped = phrases.where("observation = 'money_candidate'").select("page", F.col("phrase_id").alias("id"), "x1", "y1", F.lit(7.5).alias("tolerance"))
-    return geometry.running_median_clusters(shaped, "x1", ["x1", "y1"], "tolerance")
+    return geometry.running_median_clusters(shaped, "x1", ["x1", "y1", "id"], "tolerance")
 
 
 @query("phrases")
@@ -692,7 +692,7 @@ def repaired_claims(phrases):
 @query("phrases")
 def label_indent_clusters(phrases):
     shaped = phrases.where("observation <> 'money_candidate'").select("page", F.col("phrase_id").alias("id"), "x0", "y0", F.lit(5.0).alias("tolerance"))
-    return geometry.running_median_clusters(shaped, "x0", ["x0", "y0"], "tolerance")
+    return geometry.running_median_clusters(shaped, "x0", ["x0", "y0", "id"], "tolerance")
 
 
 @query("phrases")
