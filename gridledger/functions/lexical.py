@@ -191,3 +191,11 @@ def latitude_first(a: Column, b: Column) -> Column:
 def haystack(*parts: Column) -> Column:
     """What a search looks at: all parts that there are, in lower case."""
     return F.lower(F.concat_ws(" ", *parts))
+
+
+PREVIEW = 48
+
+
+def preview(label: Column) -> Column:
+    """The first signs of a label, for the details of a flag."""
+    return F.substring(label, 1, PREVIEW)

@@ -250,4 +250,7 @@ ORACLES = {
     "header_cues": "SELECT id, id % 4 = 0 AS amount_header, id % 4 = 1 AS year, id % 4 = 2 AS unit FROM {labels}",
     "amount_column_clusters": _medians("x1", "x1, y1", 7.5, "observation = 'money_candidate'"),
     "label_indent_clusters": _medians("x0", "x0, y0", 5.0, "observation <> 'money_candidate'"),
+    "page_extracts": "SELECT page, 'page' AS label, string_agg(CAST(token_id AS STRING), ',' ORDER BY token_id) AS token_ids, (SELECT string_agg(CAST(band_id AS STRING), ',' ORDER BY band_id) FROM (SELECT DISTINCT page AS p, band_id FROM {tokens}) b WHERE b.p = t.page) AS line_ids, count(*) AS n_tokens, count(DISTINCT band_id) AS n_lines, round(avg((token_id % 64) / 64E0), 6) AS mean_confidence FROM {tokens} t GROUP BY page",
+    "zone_texts": "WITH l AS (SELECT page, band_id, string_agg(text, ' ' ORDER BY x0, token_id) AS text FROM {tokens} GROUP BY 1, 2) SELECT page, band_id % 2 AS zone_id, string_agg(text, ' ' ORDER BY band_id) AS text FROM l GROUP BY 1, 2",
+    "label_previews": "SELECT id, left(label || ' ' || label, 48) AS preview FROM {labels}",
 }

@@ -778,3 +778,26 @@ def station_chips(labels):
 def flag_messages(findings):
     code = F.when(F.col("seq") % 3 == 0, F.lit("continuation_merged")).when(F.col("seq") % 3 == 1, F.lit("weak_page_fit")).otherwise(F.col("code"))
     return findings.select("page", "seq", flags.severity(code, "unit").alias("severity"), flags.message(code, "unit").alias("message"))
+
+
+def _page_lines(tokens):
+    return tokens.groupBy("page", F.col("band_id").alias("line_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "token_id", "text"))), lambda t: t["text"]), " ").alias("text"))
+
+
+@query("tokens")
+def page_extracts(tokens):
+    out = regions.page_extracts(tokens.withColumn("confidence", (F.col("token_id") % 64) / 64.0), _page_lines(tokens))
+    say = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return out.select("page", "label", say("token_ids"), say("line_ids"), "n_tokens", "n_lines", "mean_confidence")
+
+
+@query("tokens")
+def zone_texts(tokens):
+    lines = _page_lines(tokens)
+    zones = lines.groupBy("page", (F.col("line_id") % 2).alias("zone_id")).agg(F.collect_list("line_id").alias("line_ids"))
+    return regions.zone_texts(zones, lines)
+
+
+@query("labels")
+def label_previews(labels):
+    return labels.select("id", lexical.preview(F.concat("label", F.lit(" "), "label")).alias("preview"))

@@ -621,3 +621,57 @@ def test_payloads_of_a_page(spark):
     out = documents.recognised_tokens(df, 72.0).orderBy("token_id").collect()
     assert [(r.page, r.line_id, r.text, r.confidence) for r in out] == [(1, 0, "a", 0.9123), (1, 0, "b", 0.9123), (1, 1, "c", 0.5), (1, 2, "d", None), (1, 3, "a", 0.9123), (1, 3, "b", 0.9123), (1, 4, "c", 0.5)]
     assert out[0].bbox.x1 == 30.0
+
+
+def test_manifests_exports_and_runs(tmp_path):
+    import hashlib
+
+    source = tmp_path / "volume.pdf"
+    source.write_bytes(b"%PDF" * 400_000)
+    manifest = documents.run_manifest(str(source), [3, 1, 3], {"dpi": 200, "a": 1}, {"numpy": "2"})
+    assert manifest == {"document": {"name": "volume.pdf", "sha256": hashlib.sha256(b"%PDF" * 400_000).hexdigest()}, "pages": [1, 3], "settings": {"a": 1, "dpi": 200}, "packages": {"numpy": "2"}}
+    out = tmp_path / "export"
+    out.mkdir()
+    for name in ("kept.json", "old.json", "old.csv", "note.txt"):
+        (out / name).write_text("")
+    with pytest.raises(ValueError):
+        documents.prune_stale(str(out), {"kept.json"})
+    (out / "index.json").write_text("{}")
+    assert documents.prune_stale(str(out), {"kept.json"}) == ["old.csv", "old.json"] and sorted(p.name for p in out.iterdir()) == ["index.json", "kept.json", "note.txt"]
+    for run in ("b", "a", "c"):
+        (tmp_path / "runs" / run).mkdir(parents=True)
+    for run in ("b", "a"):
+        (tmp_path / "runs" / run / "viewer.json").write_text("{}")
+    assert documents.list_runs(str(tmp_path / "runs")) == ["a", "b"] and documents.list_runs(str(tmp_path / "none")) == []
+    assert export.flag_source(3, 3) == "index" and export.flag_source(2, 3) == "summary"
+
+
+def test_confidences_and_column_order(spark):
+    assert one(spark, lexical.assignment_confidence(F.lit(1.0), F.lit(0.5), F.lit(0.0))) == 0.7
+    roles = ["Total", "Amount 10", "Amount 2", "other", "CO", "another", "PS", "amount 3", "MOOE"]
+    out = export.column_vocabulary(spark.createDataFrame([(r,) for r in roles + roles], "role string")).orderBy("position").collect()
+    assert [r.role for r in out] == ["PS", "MOOE", "CO", "Amount 2", "amount 3", "Amount 10", "another", "other", "Total"]
+
+
+def test_zone_texts_end_after_forty_lines(spark):
+    lines = spark.createDataFrame([(1, i, None if i == 3 else f"l{i}") for i in range(60)] + [(2, 0, "x")], "page bigint, line_id bigint, text string")
+    zones = spark.createDataFrame([(1, 0, list(range(59, -1, -1))), (1, 1, [5, 5, 77]), (2, 0, [])], "page bigint, zone_id bigint, line_ids array<bigint>")
+    out = {(r.page, r.zone_id): r.text for r in regions.zone_texts(zones, lines).collect()}
+    assert out == {(1, 0): " ".join("" if i == 3 else f"l{i}" for i in range(40)), (1, 1): "l5", (2, 0): ""}
+
+
+def test_exported_rows(spark):
+    kind = "id string, parent string, kind string, code string, synthetic boolean, page bigint, doc_pos bigint, label string, table_id bigint, tier bigint, parent_pdf string, parent_prexc string"
+    rows = [("root", None, "table_root", None, False, None, 0, "all", 1, 0, None, None), ("s", "root", "shell", None, True, None, 1, "shell", 1, 0, "root", "root"), ("a", "root", "program", "310101000000000", False, 3, 2, "A", 1, 1, "root", "s"), ("b", "a", "activity", "310101200007000", False, 4, 3, "B", 1, 1, "a", "a")]
+    nodes = export.slim_nodes(spark.createDataFrame(rows, kind))
+    amounts = spark.createDataFrame([("a", "PS", 5), ("a", "Total", 9), ("b", "CO", 1), ("b", "AMOUNT (Php)", 7)], "id string, role string, value bigint")
+    totals_of = spark.createDataFrame([("a", "Total", 10), ("b", "Total", None), ("b", "MOOE", 4)], "id string, role string, value bigint")
+    unit = export.unit_csv_rows(nodes, amounts, totals_of).orderBy("row_index").collect()
+    assert tuple(unit[0].asDict()) == export.UNIT_COLUMNS
+    # a's parent by code is a shell, which isn't exported, so a is at the top there
+    assert [tuple(r)[7:] for r in unit] == [("root", "s", 1, 0, "0", 5, None, None, 10), ("a", "a", 2, 1, "2", None, 4, 1, None)]
+    station = "array<struct<kind:string,from:string,to:string,incomplete:boolean>>"
+    read = spark.createDataFrame([("a", [("K", "1+2", None, False), ("C", "C0+1", "C0+2", True)], [(1.5, 2.5), (3.5, 4.5)]), ("b", [], [])], f"id string, chainages {station}, coordinates array<struct<lat:double,lon:double>>")
+    plan = export.plan_csv_rows(nodes, amounts, totals_of.limit(0), read).orderBy("row_index").collect()
+    assert tuple(plan[0].asDict()) == export.PLAN_COLUMNS
+    assert [(r.parent_id, r.amount, r.chainages, r.lat, r.lon) for r in plan] == [("root", None, '[{"kind": "K", "from": "1+2"}, {"kind": "C", "from": "C0+1", "to": "C0+2", "incomplete": true}]', 1.5, 2.5), ("a", 7, None, None, None)]
