@@ -231,14 +231,70 @@ def separators(phrases: DataFrame) -> DataFrame:
 
 @by_document("page")
 def alignment_fits(phrases: DataFrame, columns: DataFrame) -> DataFrame:
-    """page, column_id, n_pairs, slope, slope_mad, review: slopes from a column's amounts to the leftmost other
-    phrase of their band, at least 40 points to the left; fewer than three pairs are for review.
+    """page, column_id, n_pairs, slope, slope_mad, review: how bottoms rise from the leftmost text left of an amount on its
+    band to the amount, between their middles, where these are at least 40 points apart; fewer than three pairs are
+    for review, and a column without pairs has slope 0. Markers, codes and other amounts are no such text.
 
     columns: page, column_id, phrase_id of clustered amounts.
     """
-    amounts = phrases.join(columns, ["page", "phrase_id"]).select("page", "band_id", "column_id", F.col("x1").alias("ax"), F.col("y1").alias("ay"), F.col("x0").alias("ax0"), F.col("phrase_id").alias("amount_id"))
-    peers = phrases.where("observation <> 'money_candidate'").select("page", "band_id", F.col("x0").alias("px"), F.col("x1").alias("px1"), F.col("y1").alias("py"))
-    pairs = amounts.join(peers, ["page", "band_id"]).where(F.col("ax0") - F.col("px1") >= LABEL_AMOUNT_GAP).groupBy("page", "column_id", "amount_id", "ax", "ay").agg(F.min_by(F.struct("px", "py"), F.struct("px", "py")).alias("p"))
-    slopes = pairs.select(F.struct("page", "column_id").alias("k"), ((F.col("ay") - F.col("p.py")) / (F.col("ax") - F.col("p.px"))).alias("slope"))
-    fits = median_mad(slopes, "k", "slope")
-    return fits.select("k.page", "k.column_id", F.col("n").alias("n_pairs"), F.col("median").alias("slope"), F.col("mad").alias("slope_mad"), (F.col("n") < COLUMN_MEMBERS).alias("review"))
+    middle = (F.col("x0") + F.col("x1")) / 2
+    amounts = phrases.join(columns, ["page", "phrase_id"]).select("page", "band_id", "column_id", middle.alias("ax"), F.col("y1").alias("ay"), F.col("x0").alias("ax0"), F.col("phrase_id").alias("amount_id"))
+    peers = phrases.where("observation in ('text_candidate', 'mixed_candidate')").select("page", "band_id", F.col("phrase_id").alias("peer"), F.col("x0").alias("px0"), middle.alias("px"), F.col("x1").alias("px1"), F.col("y1").alias("py"))
+    pairs = amounts.join(peers, ["page", "band_id"]).where("px1 < ax0").groupBy("page", "column_id", "amount_id", "ax", "ay").agg(F.min_by(F.struct("px", "py"), F.struct("px0", "peer")).alias("p"))
+    apart = pairs.where(F.col("ax") - F.col("p.px") >= LABEL_AMOUNT_GAP)
+    slopes = apart.select(F.struct("page", "column_id").alias("k"), ((F.col("ay") - F.col("p.py")) / (F.col("ax") - F.col("p.px"))).alias("slope"))
+    fits = median_mad(slopes, "k", "slope").select("k.page", "k.column_id", "n", "median", "mad")
+    every = columns.select("page", "column_id").distinct().join(fits, ["page", "column_id"], "left")
+    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    return every.select("page", "column_id", n.alias("n_pairs"), F.coalesce("median", F.lit(0.0)).alias("slope"), F.coalesce("mad", F.lit(0.0)).alias("slope_mad"), (n < COLUMN_MEMBERS).alias("review"))
+
+
+# ---- drift of a page's columns ---------------------------------------------------------------------------
+def _middle_y() -> Column:
+    return (F.col("y0") + F.col("y1")) / 2
+
+
+@by_document("page")
+def page_drift(money: DataFrame) -> DataFrame:
+    """page, drift: how far right edges shift with height, from all near pairs of a page's amounts."""
+    return column_drift(money.select("page", F.col("phrase_id").alias("id"), F.col("x1").alias("x"), _middle_y().alias("y")), ["page"])
+
+
+@by_document("page")
+def without_drift(phrases: DataFrame, drifts: DataFrame, page_height: Column) -> DataFrame:
+    """phrases with left_x and right_x as they would be at the page's middle height, and drift."""
+    shift = F.col("drift") * (_middle_y() - page_height / 2)
+    out = phrases.join(drifts.select("page", "drift"), "page", "left").withColumn("drift", F.coalesce("drift", F.lit(0.0)))
+    return out.withColumns({"left_x": F.col("x0") - shift, "right_x": F.col("x1") - shift})
+
+
+@by_document("page")
+def anchored_columns(members: DataFrame, tolerance: Column, page_height: Column) -> DataFrame:
+    """page, column_id, n_phrases, right_x, right_mad, raw_right_x, amount_left_x, top, bottom, right_top, right_bottom,
+    left_top, left_bottom, context_confidence, recurring of clustered amounts as without_drift() gives them.
+
+    right_top to left_bottom: where the column's slanted edges are at its top and bottom. The confidence that its members are
+    amounts grows with their number, up to three, and falls with the spread of their edges.
+    """
+    w = Window.partitionBy("page", "column_id")
+    rows = members.withColumns({"_t": tolerance, "_h": page_height, "_m": F.median("right_x").over(w)})
+    g = rows.groupBy("page", "column_id").agg(
+        F.count(F.lit(1)).alias("n_phrases"), F.first("_m").alias("right"), F.median(F.abs(F.col("right_x") - F.col("_m"))).alias("mad"), F.median("x1").alias("raw"), F.min("left_x").alias("left"),
+        F.min("y0").alias("top"), F.max("y1").alias("bottom"), F.first("drift").alias("drift"), F.first("_t").alias("_t"), F.first("_h").alias("_h"),
+    )
+    at = lambda x, y: F.round(F.col(x) + F.col("drift") * (F.col(y) - F.col("_h") / 2), 2)
+    context = F.least(F.lit(1.0), F.col("n_phrases") / COLUMN_MEMBERS) * F.greatest(F.lit(0.0), 1 - F.col("mad") / F.col("_t"))
+    return g.select(
+        "page", "column_id", "n_phrases", F.round("right", 3).alias("right_x"), F.round("mad", 3).alias("right_mad"), F.round("raw", 3).alias("raw_right_x"), F.round("left", 3).alias("amount_left_x"), F.round("top", 2).alias("top"), F.round("bottom", 2).alias("bottom"),
+        at("right", "top").alias("right_top"), at("right", "bottom").alias("right_bottom"), at("left", "top").alias("left_top"), at("left", "bottom").alias("left_bottom"), F.round(context, 3).alias("context_confidence"), (F.col("n_phrases") >= COLUMN_MEMBERS).alias("recurring"),
+    )
+
+
+@by_document("page")
+def relative_anchors(phrases: DataFrame, anchors: DataFrame) -> DataFrame:
+    """page, phrase_id, edge, corrected_x, distance of phrases as without_drift() gives them: amounts by their right edge, texts by
+    their left one, and how far that lies left of the page's anchor (null without one). Markers and codes have none."""
+    rows = phrases.where("observation not in ('marker_candidate', 'code_candidate')").join(anchors.select("page", "reference_x"), "page", "left")
+    amount = F.col("observation") == "money_candidate"
+    x = F.when(amount, F.col("right_x")).otherwise(F.col("left_x"))
+    return rows.select("page", "phrase_id", F.when(amount, F.lit("right")).otherwise(F.lit("left")).alias("edge"), F.round(x, 3).alias("corrected_x"), F.round(F.col("reference_x") - x, 3).alias("distance"))

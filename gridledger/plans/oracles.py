@@ -118,9 +118,17 @@ ORACLES = {
     "reference_anchor": f"WITH {_SUMMARY}, w AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY recurring DESC, right_x DESC) AS k FROM s) SELECT page, right_x AS reference_x, CASE WHEN recurring THEN 'recurring' ELSE 'singleton' END AS support FROM w WHERE k = 1",
     "label_amount_pairing": "WITH a AS (SELECT page, band_id, min(x0) AS f, string_agg(CAST(phrase_id AS STRING), ',' ORDER BY phrase_id) AS amount_ids FROM {phrases} WHERE observation = 'money_candidate' GROUP BY 1, 2), l AS (SELECT p.page, p.band_id, p.phrase_id, a.amount_ids, row_number() OVER (PARTITION BY p.page, p.band_id ORDER BY p.x0, p.phrase_id) AS k FROM {phrases} p JOIN a ON a.page = p.page AND a.band_id = p.band_id WHERE p.observation <> 'money_candidate' AND p.x1 <= a.f) SELECT page, band_id, phrase_id AS label_id, amount_ids FROM l WHERE k = 1",
     "separator_candidates": "WITH j AS (SELECT a.page, a.band_id, a.phrase_id AS amount_id, l.phrase_id AS label_id, a.x0, l.x1, row_number() OVER (PARTITION BY a.page, a.phrase_id ORDER BY l.x1 DESC, l.phrase_id DESC) AS k FROM {phrases} a JOIN {phrases} l ON l.page = a.page AND l.band_id = a.band_id AND l.x1 <= a.x0 WHERE a.observation = 'money_candidate' AND l.observation <> 'money_candidate') SELECT page, band_id, amount_id, label_id, round((x1 + x0) / 2, 2) AS x, round(x0 - x1, 2) AS gap FROM j WHERE k = 1",
-    "alignment_fits": f"""WITH m AS ({_MONEY}), j AS (SELECT m.page, m.column_id, m.x1 AS ax, m.y1 AS ay, p.x0 AS px, p.y1 AS py, row_number() OVER (PARTITION BY m.page, m.phrase_id ORDER BY p.x0, p.y1) AS k FROM m JOIN {{phrases}} p ON p.page = m.page AND p.band_id = m.band_id AND p.observation <> 'money_candidate' AND m.x0 - p.x1 >= 40),
-      s AS (SELECT page, column_id, (ay - py) / (ax - px) AS slope FROM j WHERE k = 1), c AS (SELECT page, column_id, median(slope) AS med, count(*) AS n FROM s GROUP BY 1, 2)
-      SELECT page, column_id, any_value(n) AS n_pairs, round(any_value(med), 6) AS slope, round(median(abs(slope - med)), 6) AS slope_mad, any_value(n) < 3 AS review FROM s JOIN c USING (page, column_id) GROUP BY 1, 2""",
+    "alignment_fits": f"""WITH m AS ({_MONEY}), j AS (SELECT m.page, m.column_id, (m.x0 + m.x1) / 2 AS ax, m.y1 AS ay, (p.x0 + p.x1) / 2 AS px, p.y1 AS py, row_number() OVER (PARTITION BY m.page, m.phrase_id ORDER BY p.x0, p.phrase_id) AS k FROM m JOIN {{phrases}} p ON p.page = m.page AND p.band_id = m.band_id AND p.observation IN ('text_candidate', 'mixed_candidate') AND p.x1 < m.x0),
+      s AS (SELECT page, column_id, (ay - py) / (ax - px) AS slope FROM j WHERE k = 1 AND ax - px >= 40), c AS (SELECT page, column_id, median(slope) AS med, count(*) AS n FROM s GROUP BY 1, 2), f AS (SELECT page, column_id, any_value(n) AS n, any_value(med) AS med, median(abs(slope - med)) AS mad FROM s JOIN c USING (page, column_id) GROUP BY 1, 2)
+      SELECT page, column_id, coalesce(n, 0) AS n_pairs, round(coalesce(med, 0E0), 6) AS slope, round(coalesce(mad, 0E0), 6) AS slope_mad, coalesce(n, 0) < 3 AS review FROM (SELECT DISTINCT page, column_id FROM m) k LEFT JOIN f USING (page, column_id)""",
+    "page_drifts": """WITH e AS (SELECT page, phrase_id, x1, (y0 + y1) / 2 AS y FROM {phrases} WHERE observation = 'money_candidate'), d AS (SELECT a.page, median((b.x1 - a.x1) / (b.y - a.y)) AS d FROM e a JOIN e b ON b.page = a.page AND a.phrase_id < b.phrase_id WHERE abs(b.y - a.y) BETWEEN 8 AND 120 AND abs(b.x1 - a.x1) <= 12 GROUP BY 1)
+      SELECT page, round(CASE WHEN abs(d) <= 0.05 THEN d ELSE 0 END, 6) + 0E0 AS drift FROM (SELECT DISTINCT page FROM e) k LEFT JOIN d USING (page)""",
+    "anchored_columns": """WITH p AS (SELECT *, 0.015625E0 * (page % 3) AS drift, CAST(floor(x1 / 60) AS BIGINT) AS column_id FROM {phrases} WHERE observation = 'money_candidate'), c AS (SELECT *, x0 - drift * ((y0 + y1) / 2 - 432) AS l, x1 - drift * ((y0 + y1) / 2 - 432) AS r FROM p),
+      m AS (SELECT page, column_id, median(r) AS med, median(x1) AS raw, min(l) AS l, min(y0) AS top, max(y1) AS bottom, count(*) AS n, any_value(drift) AS drift FROM c GROUP BY 1, 2), d AS (SELECT page, column_id, median(abs(r - med)) AS mad FROM c JOIN (SELECT page, column_id, med FROM m) USING (page, column_id) GROUP BY 1, 2)
+      SELECT page, column_id, n AS n_phrases, round(med, 3) AS right_x, round(mad, 3) AS right_mad, round(raw, 3) AS raw_right_x, round(l, 3) AS amount_left_x, top, bottom, round(med + drift * (top - 432), 2) AS right_top, round(med + drift * (bottom - 432), 2) AS right_bottom, round(l + drift * (top - 432), 2) AS left_top, round(l + drift * (bottom - 432), 2) AS left_bottom,
+        round(least(1E0, n / 3) * greatest(0E0, 1 - mad / 32), 3) AS context_confidence, n >= 3 AS recurring FROM m JOIN d USING (page, column_id)""",
+    "relative_anchors": """WITH p AS (SELECT *, 0.015625E0 * (page % 3) * ((y0 + y1) / 2 - 432) AS shift FROM {phrases}) SELECT page, phrase_id, CASE WHEN observation = 'money_candidate' THEN 'right' ELSE 'left' END AS edge, round(CASE WHEN observation = 'money_candidate' THEN x1 ELSE x0 END - shift, 3) AS corrected_x,
+        CASE WHEN page % 5 > 0 THEN round(700E0 - (CASE WHEN observation = 'money_candidate' THEN x1 ELSE x0 END - shift), 3) END AS distance FROM p""",
     "orphan_amounts": "WITH a AS (SELECT page, band_id, min(x0) AS f FROM {phrases} WHERE observation = 'money_candidate' GROUP BY 1, 2) SELECT p.page, p.phrase_id FROM {phrases} p JOIN a ON a.page = p.page AND a.band_id = p.band_id WHERE p.observation = 'money_candidate' AND NOT EXISTS (SELECT 1 FROM {phrases} l WHERE l.page = p.page AND l.band_id = p.band_id AND l.observation <> 'money_candidate' AND l.x1 <= a.f)",
     "unassigned_tokens": "SELECT page, token_id FROM {tokens} WHERE token_id % 16 = 1 OR y0 < 20",
     # ---- sections

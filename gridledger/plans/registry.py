@@ -241,6 +241,29 @@ def alignment_fits(phrases):
     return out.select("page", "column_id", "n_pairs", F.round("slope", 6).alias("slope"), F.round("slope_mad", 6).alias("slope_mad"), "review")
 
 
+@query("phrases")
+def page_drifts(phrases):
+    out = geometry.page_drift(phrases.where("observation = 'money_candidate'"))
+    return out.select("page", F.round("drift", 6).alias("drift"))
+
+
+def _straightened(phrases):
+    drifts = phrases.select("page", (0.015625 * (F.col("page") % 3)).alias("drift")).distinct()
+    return geometry.without_drift(phrases, drifts, F.lit(864.0))
+
+
+@query("phrases")
+def anchored_columns(phrases):
+    members = _straightened(phrases.where("observation = 'money_candidate'")).withColumn("column_id", F.expr("cast(floor(x1 / 60) as bigint)"))
+    return geometry.anchored_columns(members, F.lit(32.0), F.lit(864.0))
+
+
+@query("phrases")
+def relative_anchors(phrases):
+    anchors = phrases.where("page % 5 > 0").select("page", F.lit(700.0).alias("reference_x")).distinct()
+    return geometry.relative_anchors(_straightened(phrases), anchors)
+
+
 @query("phrases")
 def orphan_amounts(phrases):
     pairs = geometry.label_amount_pairs(phrases).select("page", F.explode("amount_ids").alias("phrase_id"))

@@ -23,8 +23,8 @@ Tables = dict[str, DataFrame]
 CENTRES = (514.6, 496.5, 479.0, 461.0, 444.0, 426.0, 409.0, 391.3)
 
 
-def geometry_stage(tables: Tables, page_width: float = 720.0, **_) -> Tables:
-    """bands, gaps, phrases, columns, column_members, anchors, pairs, separators from tokens."""
+def geometry_stage(tables: Tables, page_width: float = 720.0, page_height: float = 864.0, **_) -> Tables:
+    """bands, gaps, phrases, columns, column_members, anchors, distances, pairs, separators from tokens."""
     tokens = geometry.usable(tables["tokens"])
     own = document_of(tokens)
     page = [*own, "page"]
@@ -33,13 +33,17 @@ def geometry_stage(tables: Tables, page_width: float = 720.0, **_) -> Tables:
     banded = stage_table(tokens.drop("band_id").join(found.select(*page, "token_id", "band_id"), [*page, "token_id"]).join(widths, page), "stage-banded")
     wide = F.col("char_width")
     phrases = stage_table(geometry.phrases(banded, wide), "stage-phrases")
-    money = geometry.money_window(phrases, F.lit(page_width)).join(widths, page).withColumn("tolerance", F.greatest(F.lit(6.0), 1.5 * wide))
-    clusters = geometry.running_median_clusters(money, "x1", ["x1", "y1"], "tolerance", id_column="phrase_id")
-    members = stage_table(phrases.join(clusters.select(*page, F.col("id").alias("phrase_id"), F.col("cluster").alias("column_id")), [*page, "phrase_id"]), "stage-columns")
-    columns = geometry.column_summary(members)
+    height = F.lit(page_height)
+    drifts = stage_table(geometry.page_drift(geometry.money_window(phrases, F.lit(page_width))), "stage-drifts")
+    straight = stage_table(geometry.without_drift(phrases, drifts, height), "stage-straight")
+    money = geometry.money_window(straight, F.lit(page_width)).join(widths, page).withColumn("tolerance", F.greatest(F.lit(6.0), 1.5 * wide))
+    clusters = geometry.running_median_clusters(money, "right_x", ["x1", "y1", "phrase_id"], "tolerance", id_column="phrase_id")
+    members = stage_table(money.join(clusters.select(*page, F.col("id").alias("phrase_id"), F.col("cluster").alias("column_id")), [*page, "phrase_id"]), "stage-columns")
+    columns = stage_table(geometry.anchored_columns(members, F.col("tolerance"), height).withColumn("left_x", F.col("amount_left_x")), "stage-anchored")
+    anchors = geometry.reference_anchor(columns)
     return {
         "bands": found, "gaps": geometry.token_gaps(banded, wide), "phrases": phrases, "column_members": members, "columns": columns,
-        "anchors": geometry.reference_anchor(columns), "pairs": geometry.label_amount_pairs(phrases), "separators": geometry.separators(phrases),
+        "anchors": anchors, "distances": geometry.relative_anchors(straight, anchors), "pairs": geometry.label_amount_pairs(phrases), "separators": geometry.separators(phrases),
     }
 
 
@@ -61,11 +65,11 @@ def section_stage(tables: Tables, wraps_down: bool = False, page_width: float =
 
 
 def hierarchy_stage(tables: Tables, centres: tuple[float, ...] = CENTRES, **_) -> Tables:
-    """nodes of one table a document: level from the label's distance to the amount anchor, parent from row order."""
+    """nodes of one table a document: level from the label's distance to the amount anchor, drift taken out, parent from row order."""
     own = document_of(tables["phrases"])
     page = [*own, "page"]
-    label = tables["phrases"].select(*page, F.col("phrase_id").alias("anchor_id"), F.col("x0").alias("label_x"))
-    placed = tables["rows"].join(label, [*page, "anchor_id"]).join(tables["anchors"], page).select(*page, "row_id", (F.col("reference_x") - F.col("label_x")).alias("distance"))
+    label = tables["distances"].select(*page, F.col("phrase_id").alias("anchor_id"), "distance").where("distance is not null")
+    placed = tables["rows"].join(label, [*page, "anchor_id"]).select(*page, "row_id", "distance")
     cells = tables["cells"]
     text = cells.where("role = 'Labels'").select(*page, "row_id", F.col("text").alias("label"))
     total = hierarchy.row_totals(cells.withColumn("n_money", F.size("phrase_ids"))).select(*page, "row_id", F.col("total.value").alias("amount"))
@@ -100,7 +104,7 @@ def run(spark: SparkSession, tokens: DataFrame | None, path: str, first: str = "
     if end < begin:
         raise ValueError(f"{last} comes before {first}")
     tables: Tables = {} if tokens is None else {"tokens": tokens}
-    known = {"geometry": ("bands", "gaps", "phrases", "column_members", "columns", "anchors", "pairs", "separators"), "sections": ("sections", "rows", "cells"), "hierarchy": ("nodes",)}
+    known = {"geometry": ("bands", "gaps", "phrases", "column_members", "columns", "anchors", "distances", "pairs", "separators"), "sections": ("sections", "rows", "cells"), "hierarchy": ("nodes",)}
     for name in names[:begin]:
         tables |= {t: spark.read.parquet(f"{path}/{name}/{t}") for t in known[name]}
     for name in names[begin : end + 1]:
