@@ -261,4 +261,22 @@ ORACLES = {
     "page_extracts": "SELECT page, 'page' AS label, string_agg(CAST(token_id AS STRING), ',' ORDER BY token_id) AS token_ids, (SELECT string_agg(CAST(band_id AS STRING), ',' ORDER BY band_id) FROM (SELECT DISTINCT page AS p, band_id FROM {tokens}) b WHERE b.p = t.page) AS line_ids, count(*) AS n_tokens, count(DISTINCT band_id) AS n_lines, round(avg((token_id % 64) / 64E0), 6) AS mean_confidence FROM {tokens} t GROUP BY page",
     "zone_texts": "WITH l AS (SELECT page, band_id, string_agg(text, ' ' ORDER BY x0, token_id) AS text FROM {tokens} GROUP BY 1, 2) SELECT page, band_id % 2 AS zone_id, string_agg(text, ' ' ORDER BY band_id) AS text FROM l GROUP BY 1, 2",
     "label_previews": "SELECT id, left(label || ' ' || label, 48) AS preview FROM {labels}",
+    # Row by row of a table: the open stack (with each entry's parent) and the programmes by prefix so far.
+    "unit_stack_parents": """WITH RECURSIVE r AS (SELECT table_id, id, row_number() OVER (PARTITION BY table_id ORDER BY doc_pos) AS n, CAST(floor(page / 40) AS BIGINT) AS seg, '31010' || CAST(supp % 9 AS STRING) AS prefix,
+         CASE WHEN doc_pos % 19 = 0 THEN 'section' WHEN doc_pos % 23 = 0 THEN 'subtotal' WHEN doc_pos % 29 = 0 THEN 'funding' WHEN rank = 0 THEN 'program' WHEN rank < 3 THEN 'activity' WHEN rank < 5 THEN 'region' ELSE 'office' END AS kind FROM {rows}),
+       s AS (SELECT table_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS STRING) AS id, CAST(NULL AS BIGINT) AS seg, [{'tier': 0, 'id': 'root', 'coded': FALSE, 'up': 'root'}] AS stack, CAST(MAP([], []) AS MAP(STRING, STRING)) AS programs, CAST(NULL AS STRING) AS parent, CAST(NULL AS STRING) AS flag, CAST(NULL AS STRING) AS match FROM (SELECT DISTINCT table_id FROM r) t
+         UNION ALL SELECT table_id, n, id, seg,
+           CASE kind WHEN 'section' THEN [{'tier': 0, 'id': id, 'coded': FALSE, 'up': 'root'}] WHEN 'subtotal' THEN opened WHEN 'funding' THEN kept
+             WHEN 'region' THEN list_append(CASE WHEN replaced THEN list_slice(kept, 1, len(kept) - 1) ELSE kept END, {'tier': 1, 'id': id, 'coded': FALSE, 'up': parent}) WHEN 'office' THEN list_append(kept, {'tier': 2, 'id': id, 'coded': FALSE, 'up': parent})
+             ELSE list_append(kept, {'tier': 1, 'id': id, 'coded': TRUE, 'up': parent}) END,
+           CASE WHEN kind = 'program' THEN map_concat(programs, MAP([prefix], [id])) ELSE programs END, parent,
+           nullif(concat_ws(',', CASE WHEN gap THEN 'carry_gap_reset' END, CASE WHEN kind = 'subtotal' THEN 'subtotal_parent_unmatched' END, CASE WHEN kind = 'activity' AND program IS NULL THEN 'activity_without_program_parent' END), ''), CASE WHEN kind = 'subtotal' THEN 'open_section' END
+         FROM (SELECT *, kind = 'region' AND kept[-1].tier = 1 AND NOT kept[-1].coded AS replaced,
+                 CASE kind WHEN 'section' THEN 'root' WHEN 'subtotal' THEN opened[1].id WHEN 'activity' THEN coalesce(program, kept[-1].id) WHEN 'region' THEN CASE WHEN kept[-1].tier = 1 AND NOT kept[-1].coded THEN kept[-1].up ELSE kept[-1].id END ELSE kept[-1].id END AS parent
+               FROM (SELECT *, CASE WHEN kind = 'program' OR (kind = 'activity' AND program IS NULL) THEN [opened[1]]
+                         WHEN kind = 'activity' THEN CASE WHEN place IS NULL THEN [opened[1]] ELSE list_slice(opened, 1, place) END ELSE list_filter(opened, lambda e, i: i = 1 OR e.tier < 2) END AS kept
+                     FROM (SELECT *, list_position(list_transform(opened, lambda e: e.id), program) AS place
+                           FROM (SELECT r.table_id, r.n, r.id, r.seg, r.kind, r.prefix, s.programs, s.seg IS NOT NULL AND s.seg <> r.seg AS gap, CASE WHEN s.seg IS NOT NULL AND s.seg <> r.seg THEN [{'tier': 0, 'id': 'root', 'coded': FALSE, 'up': 'root'}] ELSE s.stack END AS opened,
+                                   CASE WHEN r.kind = 'activity' THEN s.programs[r.prefix] END AS program FROM s JOIN r ON r.table_id = s.table_id AND r.n = s.n + 1) a) b) c) d)
+       SELECT table_id, id, parent, flag, match FROM s WHERE n > 0""",
 }
